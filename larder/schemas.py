@@ -4,58 +4,90 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+
+STRING, INT, BIGINT, DOUBLE, BOOLEAN = StringType(), IntegerType(), LongType(), DoubleType(), BooleanType()
+STRINGS = ArrayType(STRING)
+
+
+def _struct(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def _records(*fields: str) -> ArrayType:
+    return ArrayType(_struct(**dict.fromkeys(fields, STRING)))
 
 
 # Raw files. Types are explicit so that no pass over the data is spent on inference.
-RAW_LAYER1 = _ddl(
-    "id STRING, title STRING, url STRING, partition STRING, "
-    "ingredients ARRAY<STRUCT<text: STRING>>, instructions ARRAY<STRUCT<text: STRING>>"
+RAW_LAYER1 = _struct(
+    id=STRING, title=STRING, url=STRING, partition=STRING,
+    ingredients=_records("text"), instructions=_records("text"),
+)
+RAW_LAYER2 = _struct(id=STRING, images=_records("id", "url"))
+RAW_DET_INGRS = _struct(id=STRING, ingredients=_records("text"), valid=ArrayType(BOOLEAN))
+RAW_NUTRITION = _struct(
+    title=STRING,
+    nutr_values_per100g=_struct(
+        energy=DOUBLE, fat=DOUBLE, protein=DOUBLE, salt=DOUBLE, saturates=DOUBLE, sugars=DOUBLE
+    ),
 )
-RAW_LAYER2 = _ddl("id STRING, images ARRAY<STRUCT<id: STRING, url: STRING>>")
-RAW_DET_INGRS = _ddl("id STRING, ingredients ARRAY<STRUCT<text: STRING>>, valid ARRAY<BOOLEAN>")
-RAW_NUTRITION = _ddl(
-    "title STRING, nutr_values_per100g STRUCT<energy: DOUBLE, fat: DOUBLE, protein: DOUBLE, "
-    "salt: DOUBLE, saturates: DOUBLE, sugars: DOUBLE>"
-)
-RAW_KAGGLE = _ddl(
-    "name STRING, id STRING, minutes STRING, tags STRING, nutrition STRING, n_steps STRING, description STRING"
+RAW_KAGGLE = _struct(
+    name=STRING, id=STRING, minutes=STRING, tags=STRING, nutrition=STRING, n_steps=STRING, description=STRING
 )
 
 # Staging tables.
-LAYER1 = _ddl(
-    "id STRING, title STRING, url STRING, partition STRING, instructions_text STRING, "
-    "ingredients_raw ARRAY<STRING>, n_steps INT, title_norm STRING"
-)
-LAYER2 = _ddl("id STRING, image_url STRING, image_urls ARRAY<STRING>, has_image BOOLEAN")
-DET_INGRS = _ddl("id STRING, ingredients_validated ARRAY<STRING>, n_ingredients_validated INT")
-NUTRITION = _ddl(
-    "title STRING, title_norm STRING, energy_kcal DOUBLE, fat_g DOUBLE, protein_g DOUBLE, "
-    "salt_g DOUBLE, saturates_g DOUBLE, sugars_g DOUBLE"
-)
-KAGGLE = _ddl(
-    "kaggle_id STRING, cook_minutes BIGINT, n_steps BIGINT, description STRING, tags ARRAY<STRING>, "
-    "title_norm STRING, kaggle_energy_kcal DOUBLE"
-)
+LAYER1 = _struct(
+    id=STRING, title=STRING, url=STRING, partition=STRING, instructions_text=STRING,
+    ingredients_raw=STRINGS, n_steps=INT, title_norm=STRING,
+)
+LAYER2 = _struct(id=STRING, image_url=STRING, image_urls=STRINGS, has_image=BOOLEAN)
+DET_INGRS = _struct(id=STRING, ingredients_validated=STRINGS, n_ingredients_validated=INT)
+NUTRITION = _struct(
+    title=STRING, title_norm=STRING, energy_kcal=DOUBLE, fat_g=DOUBLE, protein_g=DOUBLE,
+    salt_g=DOUBLE, saturates_g=DOUBLE, sugars_g=DOUBLE,
+)
+KAGGLE = _struct(
+    kaggle_id=STRING, cook_minutes=BIGINT, n_steps=BIGINT, description=STRING, tags=STRINGS,
+    title_norm=STRING, kaggle_energy_kcal=DOUBLE,
+)
 
-# Published tables; the column order is part of the contract.
-RECIPES_MAIN = _ddl(
-    "recipe_id STRING, title STRING, description STRING, instructions_text STRING, "
-    "ingredients_raw ARRAY<STRING>, ingredients_validated ARRAY<STRING>, n_ingredients_validated INT, "
-    "n_steps INT, cook_minutes INT, cook_time_category STRING, image_url STRING, image_urls ARRAY<STRING>, "
-    "has_image BOOLEAN, source_url STRING, mit_energy_kcal DOUBLE, kaggle_energy_kcal DOUBLE, "
-    "nutri_score STRING, tags ARRAY<STRING>"
+# Columns of the published tables; their order is part of the contract.
+RECIPES_MAIN = _struct(
+    recipe_id=STRING,
+    title=STRING,
+    description=STRING,
+    instructions_text=STRING,
+    ingredients_raw=STRINGS,
+    ingredients_validated=STRINGS,
+    n_ingredients_validated=INT,
+    n_steps=INT,
+    cook_minutes=INT,
+    cook_time_category=STRING,
+    image_url=STRING,
+    image_urls=STRINGS,
+    has_image=BOOLEAN,
+    source_url=STRING,
+    mit_energy_kcal=DOUBLE,
+    kaggle_energy_kcal=DOUBLE,
+    nutri_score=STRING,
+    tags=STRINGS,
 )
-INGREDIENTS_INDEX = _ddl(
-    "recipe_id STRING, title STRING, nutri_score STRING, image_url STRING, "
-    "cook_time_category STRING, ingredient STRING"
+INGREDIENTS_INDEX = _struct(
+    recipe_id=STRING, title=STRING, nutri_score=STRING, image_url=STRING, cook_time_category=STRING, ingredient=STRING
 )
-RECIPES_NUTRITION_DETAIL = _ddl(
-    "recipe_id STRING, fat_g DOUBLE, protein_g DOUBLE, salt_g DOUBLE, saturates_g DOUBLE, sugars_g DOUBLE"
+RECIPES_NUTRITION_DETAIL = _struct(
+    recipe_id=STRING, fat_g=DOUBLE, protein_g=DOUBLE, salt_g=DOUBLE, saturates_g=DOUBLE, sugars_g=DOUBLE
 )
 
 
