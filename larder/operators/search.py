@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType
 from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
-from larder.sources.tables import write_clustered
+from larder.sources.tables import export, read_table, write_clustered
 
 
 @dataclass(frozen=True)
@@ -33,12 +33,12 @@ class TextIndex:
 
     def save(self, path: str) -> TextIndex:
         """Write the index clustered by term, so a query reads the files of its terms only, and reopen it."""
+        spark = self.postings.sparkSession
         write_clustered(self.postings, f"{path}/postings", ["term", self.key])
-        saved = open_index(self.postings.sparkSession, path, self.key, self.fields, self.pattern, self.stemmer, self)
-        terms = saved.postings.groupBy("term").agg(F.count("*").alias("df"))
-        write_clustered(terms, f"{path}/terms", ["term"])
-        self.corpus.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
-        return saved
+        postings = spark.read.schema(self.postings.schema).parquet(f"{path}/postings")
+        write_clustered(_document_frequencies(postings), f"{path}/terms", ["term"])
+        export(self.corpus, f"{path}/corpus")
+        return open_index(spark, path, self.key, self.fields, self.pattern, self.stemmer)
 
 
 def open_index(
@@ -48,13 +48,13 @@ def open_index(
     fields: Sequence[str],
     pattern: str = "[a-z0-9]+",
     stemmer: str = "english",
-    like: TextIndex | None = None,
 ) -> TextIndex:
-    def table(name: str) -> DataFrame:
-        reader = spark.read.schema(getattr(like, name).schema) if like else spark.read
-        return reader.parquet(f"{path}/{name}")
+    postings, terms, corpus = (read_table(spark, f"{path}/{name}") for name in ("postings", "terms", "corpus"))
+    return TextIndex(postings, terms, corpus, key, tuple(fields), pattern, stemmer)
+
 
-    return TextIndex(table("postings"), table("terms"), table("corpus"), key, tuple(fields), pattern, stemmer)
+def _document_frequencies(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def _tf(field: str) -> str:
@@ -92,7 +92,7 @@ def build_index(
     postings = occurrences.groupBy("term", key, "dl").agg(
         *(F.count_if(F.col("field") == i).alias(_tf(f)) for i, f in enumerate(fields))
     )
-    terms = postings.groupBy("term").agg(F.count("*").alias("df"))
+    terms = _document_frequencies(postings)
     corpus = docs.agg(F.count("*").alias("n_docs"), F.avg(length).alias("avgdl"))
     return TextIndex(postings, terms, corpus, key, tuple(fields), pattern, stemmer)
 
