@@ -80,13 +80,12 @@ def build_index(
 
     docs = df.select(F.col(key), *(tokens(f).alias(f"_t{i}") for i, f in enumerate(fields)))
     length = reduce(add, (F.size(f"_t{i}") for i in range(len(fields))))
-    tagged = F.concat(
-        *(
-            F.transform(f"_t{i}", lambda t, n=i: F.struct(F.lit(n).alias("field"), t.alias("word")))
-            for i in range(len(fields))
-        )
-    )
-    occurrences = docs.select(key, length.alias("dl"), F.explode(tagged).alias("t")).select(
+
+    def tagged(i: int) -> Column:
+        return F.transform(f"_t{i}", lambda t: F.struct(F.lit(i).alias("field"), t.alias("word")))
+
+    all_tokens = F.concat(*(tagged(i) for i in range(len(fields))))
+    occurrences = docs.select(key, length.alias("dl"), F.explode(all_tokens).alias("t")).select(
         key, "dl", STEMMERS[stemmer](F.col("t.word")).alias("term"), "t.field"
     )
     postings = occurrences.groupBy("term", key, "dl").agg(
