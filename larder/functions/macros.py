@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from larder.constants import SCORE_BANDS, SCORE_TOP, TIME_BANDS, TIME_MISSING, TIME_TOP
-from larder.functions.text import WHITESPACE
+from larder.functions.text import WHITESPACE, WHITESPACE_CLASS
 
 
 def _bands_sql(arg: str, op: str, bounds, top: str, missing: str) -> str:
@@ -18,7 +18,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     spaces = "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE)
     bodies = {
         "normalize_title(t STRING) RETURNS STRING": (
-            f"btrim(lower(regexp_replace(coalesce(t, ''), '[^a-zA-Z0-9{spaces}]', '')), '{spaces}')"
+            f"btrim(lower(array_join(regexp_extract_all(coalesce(t, ''), r'[a-zA-Z0-9{WHITESPACE_CLASS}]+', 0), '')), '{spaces}')"
         ),
         "nutri_score(kcal DOUBLE) RETURNS STRING": _bands_sql("kcal", "<", SCORE_BANDS, SCORE_TOP, "NULL"),
         "cook_time_cat(minutes BIGINT) RETURNS STRING": _bands_sql(

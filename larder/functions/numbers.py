@@ -14,7 +14,7 @@ DIGITS = r"\A[0-9]+\z"
 
 def leading_number(c: Column | str) -> Column:
     """First number of a vector printed as text, such as ``"[312.4, 12.0]"``; null when it is none."""
-    bare = F.regexp_replace(_col(c), r"[\[\]]", "")
+    bare = F.translate(_col(c), "[]", "")
     text = strip(F.get(F.split(bare, ","), F.lit(0)))
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 

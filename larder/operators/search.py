@@ -14,13 +14,14 @@ from pyspark.sql.types import ArrayType
 from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
+from larder.session import materialise
 from larder.sources.tables import export, read_table, write_clustered
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``postings``: one row per (term, key) with the document length and one tf column per field.
-    ``terms``: document frequency per term. ``corpus``: one row with the document count and mean length.
+    """A stored index. ``postings``: one row per (term, key) with the document length and one tf column per
+    field. ``terms``: document frequency per term. ``corpus``: one row, document count and mean length.
     """
 
     postings: DataFrame
@@ -28,24 +29,19 @@ class TextIndex:
     corpus: DataFrame
     key: str
     fields: tuple[str, ...]
-    pattern: str = "[a-z0-9]+"
-    stemmer: str = "english"
+    pattern: str
+    stemmer: str
 
-    def save(self, path: str) -> TextIndex:
-        """Write the index clustered by term, so a query reads the files of its terms only, and reopen it."""
-        spark = self.postings.sparkSession
-        write_clustered(self.postings, f"{path}/postings", ["term", self.key])
-        postings = spark.read.schema(self.postings.schema).parquet(f"{path}/postings")
-        write_clustered(_document_frequencies(postings), f"{path}/terms", ["term"])
-        export(self.corpus, f"{path}/corpus")
-        return open_index(spark, path, self.key, self.fields, self.pattern, self.stemmer)
+
+def _tf(field: str) -> str:
+    return f"tf_{field}"
 
 
 def open_index(
     spark: SparkSession,
     path: str,
-    key: str,
-    fields: Sequence[str],
+    key: str = "recipe_id",
+    fields: Sequence[str] = ("title", "ingredients_validated"),
     pattern: str = "[a-z0-9]+",
     stemmer: str = "english",
 ) -> TextIndex:
@@ -53,47 +49,46 @@ def open_index(
     return TextIndex(postings, terms, corpus, key, tuple(fields), pattern, stemmer)
 
 
-def _document_frequencies(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term").agg(F.count("*").alias("df"))
-
-
-def _tf(field: str) -> str:
-    return f"tf_{field}"
-
-
-def build_index(
+def create_index(
     df: DataFrame,
+    path: str,
     key: str = "recipe_id",
     fields: Sequence[str] = ("title", "ingredients_validated"),
     pattern: str = "[a-z0-9]+",
     stemmer: str = "english",
 ) -> TextIndex:
-    """Index of the given text or array columns (array items are read one after the other).
+    """Index text or array columns (array items are read one after the other) and store the index.
 
-    No stop words. Tokens are counted per (term, key) before anything is grouped by term, so a word found
-    in every document stays spread over the keys.
+    No stop words. ``key`` is unique. The texts, smaller than their postings, are shuffled once by key, so
+    counting words needs no further shuffle and a word found in every document stays spread. The
+    postings are written once, then stored clustered by term: a query reads the files of its terms only.
     """
+    spark = df.sparkSession
 
     def tokens(field: str) -> Column:
         is_array = isinstance(df.schema[field].dataType, ArrayType)
         return words(F.array_join(field, " ") if is_array else F.col(field), pattern)
 
-    docs = df.select(F.col(key), *(tokens(f).alias(f"_t{i}") for i, f in enumerate(fields)))
-    length = reduce(add, (F.size(f"_t{i}") for i in range(len(fields))))
-
     def tagged(i: int) -> Column:
         return F.transform(f"_t{i}", lambda t: F.struct(F.lit(i).alias("field"), t.alias("word")))
 
-    all_tokens = F.concat(*(tagged(i) for i in range(len(fields))))
-    occurrences = docs.select(key, length.alias("dl"), F.explode(all_tokens).alias("t")).select(
-        key, "dl", STEMMERS[stemmer](F.col("t.word")).alias("term"), "t.field"
-    )
-    postings = occurrences.groupBy("term", key, "dl").agg(
-        *(F.count_if(F.col("field") == i).alias(_tf(f)) for i, f in enumerate(fields))
+    parts = range(len(fields))
+    docs = df.select(key, *fields).repartition(key).select(key, *(tokens(f).alias(f"_t{i}") for i, f in enumerate(fields)))
+    occurrences = docs.select(
+        key,
+        reduce(add, (F.size(f"_t{i}") for i in parts)).alias("dl"),
+        F.explode(F.concat(*(tagged(i) for i in parts))).alias("t"),
+    ).select(key, "dl", STEMMERS[stemmer](F.col("t.word")).alias("term"), "t.field")
+    counted = occurrences.groupBy(key, "term", "dl").agg(
+        *(F.count_if(F.col("field") == i).cast("int").alias(_tf(f)) for i, f in enumerate(fields))
     )
-    terms = _document_frequencies(postings)
-    corpus = docs.agg(F.count("*").alias("n_docs"), F.avg(length).alias("avgdl"))
-    return TextIndex(postings, terms, corpus, key, tuple(fields), pattern, stemmer)
+    counted = materialise(counted, name="postings")
+    write_clustered(counted, f"{path}/postings", ["term", key])
+    write_clustered(counted.groupBy("term").agg(F.count("*").alias("df")), f"{path}/terms", ["term"])
+    total = counted.agg(F.sum(reduce(add, (F.col(_tf(f)) for f in fields))).alias("n")).scalar()
+    corpus = df.agg(F.count("*").alias("n_docs")).select("n_docs", (total / F.col("n_docs")).alias("avgdl"))
+    export(corpus, f"{path}/corpus")
+    return open_index(spark, path, key, fields, pattern, stemmer)
 
 
 def query_terms(spark: SparkSession, query: str, pattern: str = "[a-z0-9]+", stemmer: str = "english") -> list[str]:

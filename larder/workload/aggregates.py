@@ -10,7 +10,7 @@ from larder.operators.dedupe import distinct_keys
 from larder.operators.filters import Facets
 from larder.plans.serving import category_charts
 from larder.workload import bindings as b
-from larder.workload.registry import query, table
+from larder.workload.registry import query, table, texts
 
 FACETS = Facets(scores=["A", "B"], classes=["rapide", "moyen"], kcal_min=10, kcal_max=140)
 WHERE = "nutri_score IN ('A', 'B') AND cook_time_category IN ('rapide', 'moyen') AND mit_energy_kcal BETWEEN 10 AND 140"
@@ -171,7 +171,7 @@ def a10_tags(spark, sf):
       WHERE length(trim(item)) > 1 GROUP BY item ORDER BY freq DESC, item LIMIT 15""",
 )
 def a10_words(spark, sf):
-    return charts.top_items(table(spark, sf, "documents").select(F.split("text", " ").alias("words")), "words")
+    return charts.top_items(texts(spark, sf).select(F.split("text", " ").alias("words")), "words")
 
 
 @query(
@@ -321,7 +321,7 @@ _WORDS_OF_DOCS = "words AS (SELECT doc_id, lower(trim(unnest(string_split(text,
     _WORDS_OF_DOCS,
 )
 def a21_words(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    docs = texts(spark, sf).select("doc_id", F.split("text", " ").alias("words"))
     index = items.inverted_index(docs, "words", carry=["doc_id"])
     return items.owners_of_all(index, ["the", "and", "of", "the"], owner="doc_id")
 

@@ -16,7 +16,7 @@ from larder.functions.arrays import length
 from larder.functions.bands import score_band, time_band
 from larder.operators.items import inverted_index
 from larder.plans.publish import nutrition_detail
-from larder.workload.registry import table
+from larder.workload.registry import table, texts
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +128,7 @@ def doc_title() -> Column:
 
 def raw_layer1(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split("text", "\n")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"),
         doc_title().alias("title"),
         F.concat(F.lit("https://d.example.org/"), "doc_id").alias("url"),
@@ -147,7 +147,7 @@ def raw_layer2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_det_ingrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the labelled documents, valid when longer than four characters."""
-    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+    labelled = texts(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
     words = F.split("text", " ")
     return labelled.select(
         F.col("doc_id").cast("string").alias("id"),

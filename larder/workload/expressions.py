@@ -8,7 +8,7 @@ from larder.constants import NO_ITEMS, NO_STEPS
 from larder.functions import arrays, bands, macros, numbers, text
 from larder.plans import ingest
 from larder.workload import bindings as b
-from larder.workload.registry import query, table
+from larder.workload.registry import query, table, texts
 
 
 def _digest(items) -> F.Column:
@@ -31,7 +31,7 @@ def p1(spark, sf):
     f"SELECT doc_id, length(k) AS n, md5(k) AS digest FROM (SELECT doc_id, {b.KEY_SQL.format('text')} AS k FROM documents) d",
 )
 def p1_texts(spark, sf):
-    key = table(spark, sf, "documents").select("doc_id", text.title_key("text").alias("k"))
+    key = texts(spark, sf).select("doc_id", text.title_key("text").alias("k"))
     return key.select("doc_id", F.length("k").cast("bigint").alias("n"), F.md5("k").alias("digest"))
 
 
@@ -41,7 +41,7 @@ def p1_texts(spark, sf):
 )
 def p2(spark, sf):
     steps = F.transform(F.split("text", "\n"), lambda s: F.struct(s.alias("text")))
-    docs = table(spark, sf, "documents").select("doc_id", steps.alias("steps"))
+    docs = texts(spark, sf).select("doc_id", steps.alias("steps"))
     return docs.select("doc_id", F.md5(text.joined_texts("steps")).alias("digest"))
 
 
@@ -51,7 +51,7 @@ def p2(spark, sf):
 )
 def p3(spark, sf):
     words = F.transform(F.split("text", " "), lambda s: F.struct(s.alias("text")))
-    docs = table(spark, sf, "documents").select("doc_id", text.field_texts(words).alias("texts"))
+    docs = texts(spark, sf).select("doc_id", text.field_texts(words).alias("texts"))
     return docs.select("doc_id", F.size("texts").alias("n"), _digest("texts").alias("digest"))
 
 
@@ -81,7 +81,7 @@ def p5(spark, sf):
 )
 def p6(spark, sf):
     words = F.split("text", " ")
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf).select(
         "doc_id",
         F.transform(words, lambda w: F.struct(w.alias("text"))).alias("records"),
         F.transform(words, lambda w: F.length(w) > 4).alias("mask"),
@@ -262,7 +262,7 @@ def p23(spark, sf):
               if trim(s, {b.SPACES}) <> ''] AS steps FROM documents) d""",
 )
 def p24(spark, sf):
-    steps = table(spark, sf, "documents").select("doc_id", text.numbered_steps("text").alias("steps"))
+    steps = texts(spark, sf).select("doc_id", text.numbered_steps("text").alias("steps"))
     return steps.select("doc_id", F.size("steps").alias("n"), _digest("steps").alias("digest"))
 
 

@@ -15,7 +15,7 @@ from larder.plans.ingest import stage_kaggle
 from larder.session import scratch
 from larder.sources.tables import export
 from larder.workload import bindings as b
-from larder.workload.registry import query, table
+from larder.workload.registry import query, table, texts
 
 FULL_STATE = {"nutri_scores": ["A", "B"], "cook_cats": ["rapide", "long"], "kcal_min": 20, "kcal_max": 150}
 
@@ -63,7 +63,7 @@ def f5(spark, sf):
     "SELECT doc_id FROM documents WHERE text ILIKE '%the_and%of%'",
 )
 def f5_wildcards(spark, sf):
-    return table(spark, sf, "documents").filter(filters.holds_text("text", "the_and%of")).select("doc_id")
+    return texts(spark, sf).filter(filters.holds_text("text", "the_and%of")).select("doc_id")
 
 
 @query(
@@ -171,7 +171,7 @@ def f13(spark, sf):
       WHERE length(trim(word)) > 1 GROUP BY word""",
 )
 def f14(spark, sf):
-    words = unnested(table(spark, sf, "documents").select(F.split("text", " ").alias("w")), "w", "word", keep=[])
+    words = unnested(texts(spark, sf).select(F.split("text", " ").alias("w")), "w", "word", keep=[])
     return words.filter(filters.long_enough("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -269,7 +269,7 @@ def d1(spark, sf):
     """SELECT min(doc_id) AS doc_id, md5(text) AS digest FROM documents GROUP BY text""",
 )
 def d1_text(spark, sf):
-    docs = table(spark, sf, "documents").select("text", "doc_id")
+    docs = texts(spark, sf).select("text", "doc_id")
     return keep_one(docs, ["text"]).select("doc_id", F.md5("text").alias("digest"))
 
 

@@ -13,7 +13,7 @@ from larder.operators.items import inverted_index, unnested
 from larder.plans.assemble import assemble
 from larder.plans.ingest import RESOURCES
 from larder.workload import bindings as b
-from larder.workload.registry import query, table
+from larder.workload.registry import query, table, texts
 
 
 @query(
@@ -128,7 +128,7 @@ def j6(spark, sf):
     "SELECT doc_id, unnest(string_split(text, E'\\n')) AS line FROM documents",
 )
 def j7(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    docs = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines"))
     return unnested(docs, "lines", "line")
 
 
@@ -221,7 +221,7 @@ _WORD_INDEX = f"""SELECT w AS ingredient, count(*) AS n, count(DISTINCT doc_id)
 
 @query("u1_inverted_index_of_texts", _WORD_INDEX)
 def u1_texts(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    docs = texts(spark, sf).select("doc_id", F.split("text", " ").alias("words"))
     words = inverted_index(docs, "words", carry=["doc_id"])
     return words.groupBy("ingredient").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 

@@ -50,19 +50,20 @@ MAIN_INDEX = _postings(
 
 
 @lru_cache(maxsize=8)
-def _saved_index(app: str, spark, sf: str, kind: str) -> search.TextIndex:
-    return _build(spark, sf, kind).save(scratch(spark, f"text-index-{kind}"))
+def _stored(app: str, spark, sf: str, kind: str) -> search.TextIndex:
+    return _create(spark, sf, kind)
 
 
-def _build(spark, sf: str, kind: str) -> search.TextIndex:
+def _create(spark, sf: str, kind: str) -> search.TextIndex:
+    path = scratch(spark, f"text-index-{kind}")
     if kind == "documents":
-        return search.build_index(table(spark, sf, "documents"), "doc_id", ("text", "source"))
-    return search.build_index(b.main(spark, sf), "recipe_id", ("title", "ingredients_raw"))
+        return search.create_index(table(spark, sf, "documents"), path, "doc_id", ("text", "source"))
+    return search.create_index(b.main(spark, sf), path, "recipe_id", ("title", "ingredients_raw"))
 
 
 def _index(spark, sf: str, kind: str) -> search.TextIndex:
-    """The saved index of this session; like a catalog's, it is built once and queried many times."""
-    return _saved_index(spark.sparkContext.applicationId, spark, sf, kind)
+    """The stored index of this session; like a catalog's, it is built once and queried many times."""
+    return _stored(spark.sparkContext.applicationId, spark, sf, kind)
 
 
 @query(
@@ -73,9 +74,9 @@ def _index(spark, sf: str, kind: str) -> search.TextIndex:
     DOC_INDEX,
 )
 def r1(spark, sf):
-    index = _build(spark, sf, "documents").save(scratch(spark, "r1"))
+    index = _create(spark, sf, "documents")
     sums = index.postings.groupBy("term").agg(
-        F.sum("tf_text").alias("tf_text"), F.sum("tf_source").alias("tf_source"), F.sum("dl").cast("bigint").alias("dl")
+        F.sum("tf_text").alias("tf_text"), F.sum("tf_source").alias("tf_source"), F.sum("dl").alias("dl")
     )
     corpus = index.corpus
     return sums.join(index.terms, "term").select(

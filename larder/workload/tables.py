@@ -17,7 +17,7 @@ from larder.sources import tables as store
 from larder.sources.raw import read_csv_records, read_json_records
 from larder.streaming.incremental import append_new_files
 from larder.workload import bindings as b
-from larder.workload.registry import query, table
+from larder.workload.registry import query, table, texts
 
 _LAYER1 = "SELECT id, title_norm, n_steps, md5(instructions_text) AS steps, CAST(len(ingredients_raw) AS INTEGER) AS n_items FROM layer1"
 
@@ -48,7 +48,7 @@ def s1_array_lines(spark, sf):
 def s2(spark, sf):
     """Whole texts as quoted CSV fields: they hold line breaks, and the names hold quotes and commas."""
     path = scratch(spark, "s2")
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf).select(
         F.concat(F.lit('"q", '), "lang").alias("name"), F.col("doc_id").alias("id"), F.col("text").alias("description")
     )
     (
@@ -153,7 +153,7 @@ def s9(spark, sf):
     f"SELECT doc_id, {b.KEY_SQL.format('source')} AS title_norm, md5(text) AS digest FROM documents",
 )
 def s10(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", title_key("source").alias("title_norm"), F.md5("text").alias("digest"))
+    docs = texts(spark, sf).select("doc_id", title_key("source").alias("title_norm"), F.md5("text").alias("digest"))
     return store.export(docs, scratch(spark, "s10"))
 
 
