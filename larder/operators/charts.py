@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.constants import (
@@ -68,13 +68,19 @@ def histogram(
     range is a scalar subquery over the same pruned column; the rows go through one count per bin.
     """
     values = facets.apply(main).filter(F.col(column) < cap).select(F.col(column).cast("double").alias("x"))
-    low = values.agg(F.min("x").alias("low")).scalar()
-    high = values.agg(F.max("x").alias("high")).scalar()
-    width = (high - low) / F.lit(float(bins))
-    slot = F.when(width > 0, F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counts = values.groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("count"))
+    span = values.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high")).alias("span")).scalar()
+    placed = values.select("x", span.alias("span")).select(
+        "x", "span.low", ((F.col("span.high") - F.col("span.low")) / F.lit(float(bins))).alias("width")
+    )
+    slot = F.least(F.floor((F.col("x") - F.col("low")) / F.col("width")), F.lit(bins - 1))
+    slot = F.when(F.col("width") > 0, slot).otherwise(F.lit(0)).cast("int")
+    counts = placed.groupBy(slot.alias("bin"), "low", "width").agg(F.count("*").alias("count"))
+
+    def edge(n: Column) -> Column:
+        return F.col("low") + n * F.col("width")
+
     return counts.select(
-        "bin", (low + F.col("bin") * width).alias("bin_start"), (low + (F.col("bin") + 1) * width).alias("bin_end"), "count"
+        "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"), "count"
     ).orderBy("bin")
 
 

@@ -99,6 +99,22 @@ def query_terms(spark: SparkSession, query: str, pattern: str = "[a-z0-9]+", ste
     return row.first()["terms"]
 
 
+def _hits(index: TextIndex, wanted: Sequence[str], fields: Sequence[str] | None) -> DataFrame:
+    """Postings of the terms in the fields; the term filter reaches the scan."""
+    tf = reduce(add, (F.col(_tf(f)) for f in (fields or index.fields)))
+    found = index.postings.filter(F.col("term").isin(list(wanted)))
+    return found.select(index.key, "term", "dl", tf.alias("tf")).filter(F.col("tf") > 0)
+
+
+def _terms_of(index: TextIndex, query: str) -> list[str]:
+    return query_terms(index.postings.sparkSession, query, index.pattern, index.stemmer)
+
+
+def matches(index: TextIndex, query: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """Keys of the documents that hold any query term in the fields, unranked."""
+    return _hits(index, _terms_of(index, query), fields).select(index.key).distinct()
+
+
 def bm25(
     index: TextIndex,
     query: str,
@@ -109,19 +125,16 @@ def bm25(
     """(key, score) of every document that holds any query term in the fields.
 
     Document length, document frequency and the corpus numbers are those of the whole index; ``fields``
-    limits the term frequency. The term filter reaches the postings scan. Broadcast are at most as many
-    rows as the query has words.
+    limits the term frequency. Broadcast are at most as many rows as the query has words.
     """
-    wanted = query_terms(index.postings.sparkSession, query, index.pattern, index.stemmer)
-    tf = reduce(add, (F.col(_tf(f)) for f in (fields or index.fields)))
-    hits = index.postings.filter(F.col("term").isin(wanted)).select(index.key, "term", "dl", tf.alias("tf"))
+    wanted = _terms_of(index, query)
     weights = F.broadcast(index.terms.filter(F.col("term").isin(wanted)))
     n_docs = index.corpus.select("n_docs").scalar()
     avgdl = index.corpus.select("avgdl").scalar()
     idf = F.log((n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = idf * (F.col("tf") * F.lit(k1 + 1)) / (F.col("tf") + norm)
-    scored = hits.filter(F.col("tf") > 0).join(weights, "term")
+    scored = _hits(index, wanted, fields).join(weights, "term")
     return scored.groupBy(index.key).agg(F.sum(part).alias("score"))
 
 
@@ -183,7 +196,7 @@ def full_text_advanced(
     text = " ".join(t for t in (name, ingredient) if t)
     if text:
         fields = [f for f, asked in ((name_field, name), (item_field, ingredient)) if asked]
-        found = found.join(bm25(index, text, fields).select(index.key), index.key, "left_semi")
+        found = found.join(matches(index, text, fields), index.key, "left_semi")
     found = found.orderBy(order_by) if order_by else found
     return found.limit(n).select(
         "recipe_id", "title", "cook_minutes", "cook_time_category", "nutri_score", "image_url", item_field

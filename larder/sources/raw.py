@@ -34,7 +34,8 @@ def read_csv_records(
 ) -> DataFrame:
     """Records of a CSV file with a header: quoted fields, doubled quotes, and line breaks inside quotes.
 
-    All columns are strings, matched to the schema by header name, and null where the file lacks one.
+    All columns are strings, matched to the schema by header name, and null where the file or the row
+    lacks one.
     A file whose fields may hold line breaks cannot be split, so its rows are rebalanced after the
     scan; ``multi_line=False`` reads files without them in parallel.
     """
@@ -43,7 +44,6 @@ def read_csv_records(
         .option("inferSchema", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
-        .option("mode", "FAILFAST")
         .csv(path)
     )
     rows = with_optional(rows, {f.name: f.dataType.simpleString() for f in schema}).select(*schema.names)
