@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from larder.functions.arrays import first, length, masked_texts, non_empty
 from larder.functions.numbers import digits, leading_number
 from larder.functions.text import blank_to_null, field_texts, joined_texts, listed_items, title_key
 from larder.operators.dedupe import first_seen
+from larder.session import concurrently
 from larder.sources.raw import read_csv_records, read_json_records
 from larder.sources.tables import write_staging
 
@@ -107,10 +109,11 @@ def ingest(
     layout: str = "array",
     only: tuple[str, ...] = tuple(RESOURCES),
 ) -> dict[str, str]:
-    """Write the staging tables and return their paths. A failing resource fails the run."""
-    paths = {}
-    for name in only:
-        staged = RESOURCES[name].stage(scan(spark, raw_dir, name, layout))
-        paths[name] = f"{staging_dir}/{name}"
-        write_staging(staged, paths[name], disposition)
+    """Write the staging tables, side by side, and return their paths. A failing resource fails the run."""
+    paths = {name: f"{staging_dir}/{name}" for name in only}
+
+    def load(name: str) -> None:
+        write_staging(RESOURCES[name].stage(scan(spark, raw_dir, name, layout)), paths[name], disposition)
+
+    concurrently(spark, [partial(load, name) for name in only])
     return paths

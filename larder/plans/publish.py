@@ -17,7 +17,7 @@ from larder.operators.items import inverted_index
 from larder.operators.profile import table_stats
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.ingest import ingest
-from larder.session import materialise
+from larder.session import concurrently, materialise
 from larder.sources.tables import read_table, write_clustered, write_partitioned
 
 
@@ -85,9 +85,15 @@ def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catal
     """
     catalog = Catalog(out_dir)
     wide = materialise(enriched(assembled), name="assembled")
-    write_partitioned(recipes_main(wide), catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file)
-    write_clustered(ingredients_index(wide), catalog.index, ["ingredient", "recipe_id"], rows_per_file)
-    write_clustered(nutrition_detail(wide), catalog.details, ["recipe_id"], rows_per_file)
+    main, index, details = recipes_main(wide), ingredients_index(wide), nutrition_detail(wide)
+    concurrently(
+        wide.sparkSession,
+        [
+            lambda: write_partitioned(main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file),
+            lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file),
+            lambda: write_clustered(details, catalog.details, ["recipe_id"], rows_per_file),
+        ]
+    )
     return catalog
 
 

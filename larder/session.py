@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Spark does the planning; these only leave it room to: adaptive plans, skewed joins split at run time,
@@ -69,3 +72,10 @@ def materialise(df: DataFrame, path: str | None = None, name: str = "table") ->
     path = path or scratch(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> None:
+    """Run independent jobs side by side, so the last tasks of one leave no executor idle. A failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()

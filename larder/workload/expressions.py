@@ -15,15 +15,13 @@ def _digest(items) -> F.Column:
     return F.md5(F.array_join(items, "|"))
 
 
-NOISY_NAME = F.concat_ws("", F.lit("  "), F.upper("p_name"), F.lit(" & "), F.col("p_brand"), F.lit("!\t"))
-
-
 _NOISY_SQL = "'  ' || upper(p_name) || ' & ' || p_brand || E'!\\t'"
 
 
 @query("p1_title_key", f"SELECT p_partkey, {b.KEY_SQL.format(_NOISY_SQL)} AS title_norm FROM part")
 def p1(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", text.title_key(NOISY_NAME).alias("title_norm"))
+    noisy = F.concat(F.lit("  "), F.upper("p_name"), F.lit(" & "), F.col("p_brand"), F.lit("!\t"))
+    return table(spark, sf, "part").select("p_partkey", text.title_key(noisy).alias("title_norm"))
 
 
 @query(

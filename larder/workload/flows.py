@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from larder.constants import MACROS
@@ -9,7 +11,7 @@ from larder.plans import ingest, publish
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.quality import quality_report
 from larder.plans.serving import dashboard
-from larder.session import scratch
+from larder.session import concurrently, scratch
 from larder.sources.tables import write_staging
 from larder.workload import bindings as b
 from larder.workload.registry import query
@@ -28,8 +30,8 @@ def _write_raw(spark, sf: str) -> str:
 
 def _write_staging(spark, sf: str) -> str:
     root = scratch(spark, "staging")
-    for name, resource in ingest.RESOURCES.items():
-        write_staging(resource.stage(b.RAW[name](spark, sf)), f"{root}/{name}")
+    staged = {name: resource.stage(b.RAW[name](spark, sf)) for name, resource in ingest.RESOURCES.items()}
+    concurrently(spark, [partial(write_staging, df, f"{root}/{name}") for name, df in staged.items()])
     return root
 
 
