@@ -111,11 +111,18 @@ def known_by_column(df: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def completeness(main: DataFrame, details: DataFrame, key: str = "recipe_id") -> DataFrame:
-    """Count and share of complete, usable and incomplete recipes; the first class that fits wins."""
-    joined = with_details(main, details, key)
+    """Count and share of complete, usable and incomplete recipes; the first class that fits wins.
+
+    Both sides are reduced to flags before the join, so only a key and two flags per recipe are shuffled.
+    """
+    of_main = main.select(key, all_present(main.columns).alias("_all"), usable().alias("_usable"))
+    of_details = details.select(key, all_present(details.columns).alias("_macros"))
     status = (
-        F.when(all_present(joined.columns), F.lit(COMPLETE)).when(usable(), F.lit(USABLE)).otherwise(F.lit(INCOMPLETE))
+        F.when(F.col("_all") & F.coalesce("_macros", F.lit(False)), F.lit(COMPLETE))
+        .when(F.col("_usable"), F.lit(USABLE))
+        .otherwise(F.lit(INCOMPLETE))
     )
+    joined = with_details(of_main, of_details, key)
     classes = (COMPLETE, USABLE, INCOMPLETE)
     n = F.count("*")
     row = joined.select(status.alias("status")).agg(

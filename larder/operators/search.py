@@ -135,6 +135,8 @@ def bm25(
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = idf * (F.col("tf") * F.lit(k1 + 1)) / (F.col("tf") + norm)
     scored = _hits(index, wanted, fields).join(weights, "term")
+    if len(wanted) == 1:  # one posting per document: nothing to add up, nothing to shuffle
+        return scored.select(index.key, part.alias("score"))
     return scored.groupBy(index.key).agg(F.sum(part).alias("score"))
 
 
@@ -152,9 +154,15 @@ def full_text(
     fields: Sequence[str] | None = None,
     columns: Sequence[str] = ("recipe_id", "title", "nutri_score", "cook_time_category"),
 ) -> DataFrame:
-    """The n best matches with their catalog columns, best first; a blank query finds nothing."""
+    """The n best matches with their catalog columns, best first; a blank query finds nothing.
+
+    The n keys are fetched first and filter the catalog's scan, which then skips files by bloom filter.
+    """
     top = best(bm25(index, query, fields), index.key, n)
-    found = main.select(*columns).join(F.broadcast(top), index.key)
+    rows = top.collect()
+    hits = main.sparkSession.createDataFrame(rows, top.schema)
+    keys = [row[index.key] for row in rows]
+    found = main.select(*columns).filter(F.col(index.key).isin(keys)).join(F.broadcast(hits), index.key)
     return found.orderBy(F.desc("score"), index.key).limit(n)
 
 

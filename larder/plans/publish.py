@@ -89,7 +89,9 @@ def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catal
     concurrently(
         wide.sparkSession,
         [
-            lambda: write_partitioned(main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file),
+            lambda: write_partitioned(
+                main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file, lookup=["recipe_id"]
+            ),
             lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file),
             lambda: write_clustered(details, catalog.details, ["recipe_id"], rows_per_file),
         ]

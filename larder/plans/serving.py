@@ -12,7 +12,7 @@ from larder.operators.filters import Facets
 from larder.operators.items import item_catalog
 from larder.operators.joins import with_details
 from larder.plans.publish import Catalog
-from larder.sources.tables import export, register_views
+from larder.sources.tables import export, pin, register_views
 
 # Column order of the joined view's macros.
 VIEW_MACROS = ("fat_g", "protein_g", "salt_g", "sugars_g", "saturates_g")
@@ -85,18 +85,30 @@ def category_charts(main: DataFrame, facets: Facets = charts.NO_FACETS) -> DataF
     return rows.groupBy("l.chart", "l.label").agg(F.sum("count").alias("count"))
 
 
+CHART_COLUMNS = (
+    "recipe_id", "title", "nutri_score", "cook_time_category", "cook_minutes", "mit_energy_kcal",
+    "ingredients_validated", "tags",
+)
+
+
 def dashboard(
-    main: DataFrame, details: DataFrame, state: dict | None = None, seed: int = 0
+    main: DataFrame, details: DataFrame, state: dict | None = None, seed: int = 0, keep: bool = False
 ) -> dict[str, DataFrame]:
-    """Every chart of the dashboard under one filter state. Pin ``main`` first if it fits the executors."""
+    """Every chart of the dashboard under one filter state.
+
+    The facets filter the chart columns once. ``keep`` pins the filtered rows on the executors, which pays
+    if all charts are drawn and the rows fit; without it each chart is a pruned scan of its own.
+    """
     facets = Facets.from_state(state)
+    rows = facets.apply(main).select(*CHART_COLUMNS)
+    rows = pin(rows) if keep else rows
     return {
-        "kcal_histogram": charts.histogram(main, facets),
-        "macro_totals": charts.macro_totals(details, main, facets),
-        "score_counts": charts.score_counts(main, facets),
-        "class_counts": charts.class_counts(main, facets),
-        "cook_curve": charts.cook_curve(main, facets),
-        "scatter": charts.scatter(details, main, facets, seed=seed),
-        "top_ingredients": charts.top_items(main, "ingredients_validated", facets),
-        "top_tags": charts.top_items(main, "tags", facets),
+        "kcal_histogram": charts.histogram(rows),
+        "macro_totals": charts.macro_totals(details, rows, facets),
+        "score_counts": charts.score_counts(rows),
+        "class_counts": charts.class_counts(rows),
+        "cook_curve": charts.cook_curve(rows),
+        "scatter": charts.scatter(details, rows, seed=seed),
+        "top_ingredients": charts.top_items(rows, "ingredients_validated"),
+        "top_tags": charts.top_items(rows, "tags"),
     }

@@ -35,26 +35,31 @@ def write_staging(df: DataFrame, path: str, disposition: str = "replace") -> Non
     df.write.mode(MODES[disposition]).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 0) -> None:
-    writer = clustered(df, by).write.mode("overwrite")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+def _file_options(rows_per_file: int, lookup: Sequence[str]) -> dict[str, str]:
+    options = {"maxRecordsPerFile": str(rows_per_file)} if rows_per_file else {}
+    if lookup:
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        options |= {f"parquet.bloom.filter.enabled#{column}": "true" for column in lookup}
+    return options
+
+
+def write_clustered(
+    df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = ()
+) -> None:
+    """``lookup`` names columns that get bloom filters: equality on them skips row groups in any order of rows."""
+    clustered(df, by).write.mode("overwrite").options(**_file_options(rows_per_file, lookup)).parquet(path)
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition: str, by: Sequence[str], rows_per_file: int = 0
+    df: DataFrame, path: str, partition: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = ()
 ) -> None:
     """One folder per partition value, each clustered on ``by``.
 
     Ranges run over (partition, by), so a folder with most of the rows is written by many tasks and a
     task writes to few folders. Null is a folder of its own and reads back as null.
     """
-    keys = [partition, *by]
-    writer = clustered(df, keys).write.mode("overwrite").partitionBy(partition)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+    writer = clustered(df, [partition, *by]).write.mode("overwrite")
+    writer.options(**_file_options(rows_per_file, lookup)).partitionBy(partition).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

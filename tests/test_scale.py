@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from larder.operators import charts, lookup, sampling
+from larder.operators import charts, lookup, profile, sampling
 from larder.operators.dedupe import keep_one
 from larder.operators.filters import Facets
 from larder.operators.items import inverted_index, item_catalog
 from larder.operators.joins import frequent_values, restrict_to, small_side, spread_left_join
 from larder.plans.assemble import assemble
 from larder.plans.ingest import RESOURCES
+from larder.plans.serving import dashboard
 from larder.session import concurrently, materialise, scratch
 from larder.sources.tables import spread, write_clustered, write_partitioned
 from larder.workload import bindings as b
@@ -189,3 +191,35 @@ def test_concurrent_jobs_raise(spark):
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_completeness_shuffles_flags_only(stored):
+    spark = stored[0].sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(profile.completeness(stored[0], stored[2]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = [text[m.end() :].split("\n")[1] for m in re.finditer(r"Exchange hashpartitioning\(recipe_id", text)]
+    assert len(below) == 2
+    for line in below:
+        names = re.sub(r".*Project \[(.*)\].*", r"\1", line)
+        assert " AS _all" in names and " AS _usable" in names or " AS _macros" in names
+        assert not re.search(r", (instructions_text|ingredients_raw|fat_g)#\d+(,|$)", names)
+
+
+def test_bloom_filters_reach_the_files(spark, tmp_path):
+    df = spark.range(2000).select(F.sha1(F.col("id").cast("string")).alias("k"), (F.col("id") % 3).alias("g"))
+    write_partitioned(df, str(tmp_path / "b"), "g", ["k"], lookup=["k"])
+    files = list((tmp_path / "b").rglob("*.parquet"))
+    assert files and sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 2000
+    wanted = df.first()["k"]
+    assert spark.read.parquet(str(tmp_path / "b")).filter(F.col("k") == wanted).count() == 1
+
+
+def test_kept_dashboard_equals_pruned_scans(stored):
+    main, _, details = stored
+    state = {"nutri_scores": ["A", "B"], "cook_cats": [], "kcal_min": 5, "kcal_max": 3500}
+    once, kept = dashboard(main, details, state), dashboard(main, details, state, keep=True)
+    assert {k: rows(v) for k, v in once.items()} == {k: rows(v) for k, v in kept.items()}
+    assert "InMemoryTableScan" in plan(kept["score_counts"])
