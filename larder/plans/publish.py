@@ -76,15 +76,9 @@ class Catalog:
         return main, read_table(spark, self.index), read_table(spark, self.details)
 
 
-def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
-    """Write the three tables.
-
-    The joined rows are written once to the shared scratch folder and all three tables come from that
-    copy: the joins run once although range partitioning reads its input twice, and the index describes
-    exactly the rows of the main table.
-    """
+def store(wide: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
+    """Write the three tables from rows that hold the main contract's columns and the macros."""
     catalog = Catalog(out_dir)
-    wide = materialise(enriched(assembled), name="assembled")
     main, index, details = recipes_main(wide), ingredients_index(wide), nutrition_detail(wide)
     concurrently(
         wide.sparkSession,
@@ -94,11 +88,21 @@ def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catal
             ),
             lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file),
             lambda: write_clustered(details, catalog.details, ["recipe_id"], rows_per_file),
-        ]
+        ],
     )
     return catalog
 
 
+def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
+    """Write the three tables.
+
+    The joined rows are written once to the shared scratch folder and all three tables come from that
+    copy: the joins run once although range partitioning reads its input twice, and the index describes
+    exactly the rows of the main table.
+    """
+    return store(materialise(enriched(assembled), name="assembled"), out_dir, rows_per_file)
+
+
 def transform(spark: SparkSession, staging_dir: str, out_dir: str) -> Catalog:
     return publish(assemble(read_staging(spark, staging_dir)), out_dir)
 

@@ -1,12 +1,15 @@
 """Catalog-shaped views of the given tables, as DataFrames and as the same CTEs for the oracle.
 
 ``events`` play the recipes (one per event, whole table): the type and user make the title, ``value`` the
-energy, ``$.k`` of ``props`` the minutes. Nulls follow from the event type. ``documents``, ``labels``,
+energy, ``$.k`` of ``props`` the minutes. Nulls follow from the event type. ``main``, ``index`` and ``details``
+are the tables published from them, in the published layout. ``documents``, ``labels``,
 ``pages``, ``events`` and ``customer`` play the five raw files of the pipeline.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,8 @@ from larder import schemas
 from larder.constants import MACROS
 from larder.functions.arrays import length
 from larder.functions.bands import score_band, time_band
-from larder.operators.items import inverted_index
-from larder.plans.publish import nutrition_detail
+from larder.plans.publish import Catalog, store
+from larder.session import materialise, scratch
 from larder.workload.registry import table, texts
 
 
@@ -58,16 +61,30 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.select(*schemas.RECIPES_MAIN.names, *MACROS)
 
 
-def main(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fresh_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide(spark, sf_dir).select(*schemas.RECIPES_MAIN.names)
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nutrition_detail(wide(spark, sf_dir))
+@lru_cache(maxsize=8)
+def _published(app: str, spark: SparkSession, sf_dir: str) -> Catalog:
+    return store(materialise(wide(spark, sf_dir), name="wide"), scratch(spark, "catalog"))
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The published tables of this session: written once from all events, then queried many times."""
+    return _published(spark.sparkContext.applicationId, spark, sf_dir)
+
+
+def main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog(spark, sf_dir).read(spark)[0]
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inverted_index(main(spark, sf_dir))
+    return catalog(spark, sf_dir).read(spark)[1]
+
+
+def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog(spark, sf_dir).read(spark)[2]
 
 
 SCORE_SQL = (

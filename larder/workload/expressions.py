@@ -59,7 +59,7 @@ def p3(spark, sf):
     b.MAIN,
 )
 def p4(spark, sf):
-    return b.main(spark, sf).select("recipe_id", arrays.length("tags").alias("n_tags"))
+    return b.fresh_main(spark, sf).select("recipe_id", arrays.length("tags").alias("n_tags"))
 
 
 @query(
@@ -69,7 +69,7 @@ def p4(spark, sf):
 )
 def p5(spark, sf):
     first = F.coalesce(arrays.first("image_urls"), F.lit("none"))
-    return b.main(spark, sf).select("recipe_id", first.alias("first_url"), arrays.non_empty("image_urls").alias("has_any"))
+    return b.fresh_main(spark, sf).select("recipe_id", first.alias("first_url"), arrays.non_empty("image_urls").alias("has_any"))
 
 
 @query(
@@ -167,7 +167,7 @@ def p12(spark, sf):
     b.MAIN,
 )
 def p14(spark, sf):
-    rows = b.main(spark, sf).select(
+    rows = b.fresh_main(spark, sf).select(
         F.col("nutri_score").isNull().alias("unscored"), arrays.length("ingredients_validated").alias("n")
     )
     return rows.groupBy("unscored", "n").agg(F.count("*").alias("n_recipes"))
@@ -180,7 +180,7 @@ def p14(spark, sf):
 )
 def p15(spark, sf):
     score = F.coalesce(bands.score_band("mit_energy_kcal"), F.lit("none"))
-    return b.main(spark, sf).select("recipe_id", score.alias("score"))
+    return b.fresh_main(spark, sf).select("recipe_id", score.alias("score"))
 
 
 @query(
@@ -189,7 +189,7 @@ def p15(spark, sf):
     b.MAIN,
 )
 def p16(spark, sf):
-    return b.main(spark, sf).select("recipe_id", bands.time_band("cook_minutes").alias("time_class"))
+    return b.fresh_main(spark, sf).select("recipe_id", bands.time_band("cook_minutes").alias("time_class"))
 
 
 @query(
@@ -199,7 +199,7 @@ def p16(spark, sf):
 )
 def p17(spark, sf):
     score = bands.fallback_score("mit_energy_kcal", "kaggle_energy_kcal")
-    return b.main(spark, sf).select("recipe_id", score.alias("score"))
+    return b.fresh_main(spark, sf).select("recipe_id", score.alias("score"))
 
 
 @query(
@@ -217,7 +217,7 @@ def p18(spark, sf):
     b.MAIN,
 )
 def p19(spark, sf):
-    tags = b.main(spark, sf).select("recipe_id", arrays.or_empty("tags").alias("tags"))
+    tags = b.fresh_main(spark, sf).select("recipe_id", arrays.or_empty("tags").alias("tags"))
     return tags.select("recipe_id", F.size("tags").alias("n"), F.array_join("tags", "|").alias("tag_list"))
 
 
@@ -237,7 +237,7 @@ def p20(spark, sf):
     b.MAIN,
 )
 def p22(spark, sf):
-    known = b.main(spark, sf).filter(F.col("cook_minutes").isNotNull())
+    known = b.fresh_main(spark, sf).filter(F.col("cook_minutes").isNotNull())
     return known.groupBy(numbers.bucket("cook_minutes", 5).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -247,7 +247,7 @@ def p22(spark, sf):
     b.MAIN,
 )
 def p23(spark, sf):
-    return b.main(spark, sf).groupBy(bands.labelled("nutri_score").alias("score")).agg(F.count("*").alias("n"))
+    return b.fresh_main(spark, sf).groupBy(bands.labelled("nutri_score").alias("score")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -285,7 +285,7 @@ def p25(spark, sf):
 )
 def p26(spark, sf):
     images = arrays.candidates("image_url", "image_urls")
-    return b.main(spark, sf).select("recipe_id", F.array_join(images, "|").alias("images"))
+    return b.fresh_main(spark, sf).select("recipe_id", F.array_join(images, "|").alias("images"))
 
 
 @query(

@@ -9,7 +9,7 @@ from larder.constants import MACROS
 from larder.functions.numbers import leading_number
 from larder.functions.text import title_key
 from larder.operators.dedupe import keep_one
-from larder.operators.items import top_values
+from larder.operators.items import inverted_index, top_values
 from larder.plans import ingest, serving
 from larder.plans.publish import nutrition_detail, recipes_main
 from larder.session import scratch
@@ -122,21 +122,21 @@ def _by_score(main):
 @query("s7_partitioned_sink", _BY_SCORE, b.MAIN)
 def s7(spark, sf):
     path = scratch(spark, "s7")
-    store.write_partitioned(b.main(spark, sf), path, "nutri_score", ["title", "recipe_id"])
+    store.write_partitioned(b.fresh_main(spark, sf), path, "nutri_score", ["title", "recipe_id"])
     return _by_score(store.read_table(spark, path))
 
 
 @query("s7_partition_pruning", "SELECT recipe_id, title FROM main WHERE nutri_score IN ('D', 'E')", b.MAIN)
 def s7_pruning(spark, sf):
     path = scratch(spark, "s7")
-    store.write_partitioned(b.main(spark, sf), path, "nutri_score", ["title", "recipe_id"])
+    store.write_partitioned(b.fresh_main(spark, sf), path, "nutri_score", ["title", "recipe_id"])
     return store.read_table(spark, path).filter(F.col("nutri_score").isin("D", "E")).select("recipe_id", "title")
 
 
 @query("s8_unpartitioned_sinks", "SELECT count(*) AS n_index, count(DISTINCT ingredient) AS n_items FROM item_index", b.MAIN, b.INDEX)
 def s8(spark, sf):
     path = scratch(spark, "s8")
-    store.export(b.index(spark, sf), path)
+    store.export(inverted_index(b.fresh_main(spark, sf)), path)
     written = store.read_table(spark, path)
     return written.agg(F.count("*").alias("n_index"), F.count_distinct("ingredient").alias("n_items"))
 
@@ -144,7 +144,7 @@ def s8(spark, sf):
 @query("s9_clustered_layout", "SELECT recipe_id, title FROM item_index WHERE ingredient = 'item 42'", b.MAIN, b.INDEX)
 def s9(spark, sf):
     path = scratch(spark, "s9")
-    store.write_clustered(b.index(spark, sf), path, ["ingredient", "recipe_id"])
+    store.write_clustered(inverted_index(b.fresh_main(spark, sf)), path, ["ingredient", "recipe_id"])
     return store.read_table(spark, path).filter("ingredient = 'item 42'").select("recipe_id", "title")
 
 
@@ -174,7 +174,7 @@ def s11(spark, sf):
     b.DETAILS,
 )
 def s12(spark, sf):
-    store.register_views({"s12_full": serving.full_view(b.main(spark, sf), b.details(spark, sf))})
+    store.register_views({"s12_full": serving.full_view(b.fresh_main(spark, sf), nutrition_detail(b.wide(spark, sf)))})
     return spark.sql(
         """SELECT recipe_id, title, coalesce(fat_g, -1.0D) AS fat_g, coalesce(sugars_g, -1.0D) AS sugars_g FROM s12_full"""
     )
@@ -186,7 +186,7 @@ def s12(spark, sf):
     b.MAIN,
 )
 def s13(spark, sf):
-    old = b.main(spark, sf).drop("image_urls")
+    old = b.fresh_main(spark, sf).drop("image_urls")
     new = schemas.with_optional(old, {"image_urls": "array<string>", "title": "string"})
     return new.select("recipe_id", F.coalesce(F.array_join("image_urls", "|"), F.lit("absent")).alias("urls"), "title")
 
@@ -210,7 +210,7 @@ def s13_contract(spark, sf):
     b.DETAILS,
 )
 def s14(spark, sf):
-    master = serving.master_table(b.main(spark, sf), b.details(spark, sf), scratch(spark, "s14"))
+    master = serving.master_table(b.fresh_main(spark, sf), nutrition_detail(b.wide(spark, sf)), scratch(spark, "s14"))
     return master.groupBy(F.col("nutri_score").isNull().alias("unscored")).agg(
         F.count("*").alias("n"), F.count("fat_g").alias("n_fat"), F.count("protein_g").alias("n_protein")
     )
@@ -223,13 +223,13 @@ def s14(spark, sf):
     b.DETAILS,
 )
 def s14_narrow(spark, sf):
-    narrow = serving.search_table(b.main(spark, sf), b.details(spark, sf), scratch(spark, "s14"))
+    narrow = serving.search_table(b.fresh_main(spark, sf), nutrition_detail(b.wide(spark, sf)), scratch(spark, "s14"))
     return narrow.filter("cook_minutes <= 10").select("recipe_id", "instructions_text")
 
 
 @query("s15_pinned_table", "SELECT ingredient, count(*) AS n FROM item_index GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10", b.MAIN, b.INDEX)
 def s15(spark, sf):
-    return top_values(store.pin(b.index(spark, sf)), "ingredient", 10, "n")
+    return top_values(store.pin(inverted_index(b.fresh_main(spark, sf))), "ingredient", 10, "n")
 
 
 @query(

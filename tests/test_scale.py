@@ -48,11 +48,7 @@ def test_no_funnel_in_plan(spark, name):
 
 @pytest.fixture(scope="module")
 def stored(spark):
-    path = scratch(spark, "stored")
-    write_partitioned(b.main(spark, SF_DIR), f"{path}/main", "nutri_score", ["title", "recipe_id"])
-    write_clustered(b.index(spark, SF_DIR), f"{path}/index", ["ingredient", "recipe_id"])
-    write_clustered(b.details(spark, SF_DIR), f"{path}/details", ["recipe_id"])
-    return tuple(spark.read.parquet(f"{path}/{t}") for t in ("main", "index", "details"))
+    return b.catalog(spark, SF_DIR).read(spark)
 
 
 def test_facets_prune_partitions_columns_and_rows(stored):
