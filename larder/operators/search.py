@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType
 from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
-from larder.session import materialise
+from larder.session import concurrently, materialise
 from larder.sources.tables import export, read_table, write_clustered
 
 
@@ -83,11 +83,17 @@ def create_index(
         *(F.count_if(F.col("field") == i).cast("int").alias(_tf(f)) for i, f in enumerate(fields))
     )
     counted = materialise(counted, name="postings")
-    write_clustered(counted, f"{path}/postings", ["term", key])
-    write_clustered(counted.groupBy("term").agg(F.count("*").alias("df")), f"{path}/terms", ["term"])
+    terms = counted.groupBy("term").agg(F.count("*").alias("df"))
     total = counted.agg(F.sum(reduce(add, (F.col(_tf(f)) for f in fields))).alias("n")).scalar()
     corpus = df.agg(F.count("*").alias("n_docs")).select("n_docs", (total / F.col("n_docs")).alias("avgdl"))
-    export(corpus, f"{path}/corpus")
+    concurrently(
+        spark,
+        [
+            lambda: write_clustered(counted, f"{path}/postings", ["term", key]),
+            lambda: write_clustered(terms, f"{path}/terms", ["term"]),
+            lambda: export(corpus, f"{path}/corpus"),
+        ],
+    )
     return open_index(spark, path, key, fields, pattern, stemmer)
 
 

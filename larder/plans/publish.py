@@ -70,10 +70,18 @@ class Catalog:
     def details(self) -> str:
         return f"{self.root}/recipes_nutrition_detail"
 
+    def read_main(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.main, schemas.RECIPES_MAIN)
+
+    def read_index(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.index, schemas.INGREDIENTS_INDEX)
+
+    def read_details(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.details, schemas.RECIPES_NUTRITION_DETAIL)
+
     def read(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """(main, index, details), columns in contract order."""
-        main = read_table(spark, self.main).select(*schemas.RECIPES_MAIN.names)
-        return main, read_table(spark, self.index), read_table(spark, self.details)
+        """(main, index, details)"""
+        return self.read_main(spark), self.read_index(spark), self.read_details(spark)
 
 
 def store(wide: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:

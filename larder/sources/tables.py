@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 MODES = {"replace": "overwrite", "append": "append"}
 
@@ -62,9 +63,14 @@ def write_partitioned(
     writer.options(**_file_options(rows_per_file, lookup)).partitionBy(partition).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a Parquet table; a missing one is a plain FileNotFoundError."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Scan a Parquet table; a missing one is a plain FileNotFoundError.
+
+    With a schema no file is opened before the query runs, and the columns come in its order.
+    """
     try:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path).select(*schema.names)
         return spark.read.parquet(path)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":

@@ -29,7 +29,7 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     image = F.when(kind != "click", F.concat(F.lit("https://img.example.org/"), event, F.lit(".jpg")))
     items = F.array(kind, F.concat(F.lit(" Item "), k.cast("string"), F.lit(" ")), F.concat(F.lit("user "), user), F.lit("  "))
-    base = table(spark, sf_dir, "events").select(
+    base = texts(spark, sf_dir, "events").select(
         event.alias("recipe_id"),
         F.concat_ws(" ", kind, user).alias("title"),
         F.when(kind != "view", F.col("props")).alias("description"),
@@ -76,15 +76,15 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
 
 
 def main(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).read(spark)[0]
+    return catalog(spark, sf_dir).read_main(spark)
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).read(spark)[1]
+    return catalog(spark, sf_dir).read_index(spark)
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).read(spark)[2]
+    return catalog(spark, sf_dir).read_details(spark)
 
 
 SCORE_SQL = (

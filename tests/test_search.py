@@ -76,6 +76,7 @@ def test_ranked_search(main, index):
     want = brute_force("tomato", ["title", "ingredients_raw"])
     assert found == sorted(want, key=lambda d: (-want[d], d))
     assert search.full_text(main, index, "tomato", n=1).count() == 1
+    assert search.full_text(main, index, " ").count() == 0 and search.full_text(main, index, "none").count() == 0
     assert [r.recipe_id for r in search.full_text_by_name(main, index, "brulee").collect()] == ["3"]
     assert [r.recipe_id for r in search.full_text_by_item(main, index, "cream").collect()] == ["3"]
 
