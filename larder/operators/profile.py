@@ -169,7 +169,7 @@ def outliers(
     main: DataFrame,
     limits: dict[str, float] | None = None,
     order: str = "mit_energy_kcal",
-    tie: str = "title",
+    tie: str = "recipe_id",
     n: int = OUTLIER_ROWS,
     columns: Sequence[str] = ("title", "n_ingredients_validated", "mit_energy_kcal", "cook_minutes", "source_url"),
 ) -> DataFrame:

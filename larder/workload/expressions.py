@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.constants import NO_ITEMS, NO_STEPS
 from larder.functions import arrays, bands, macros, numbers, text
-from larder.plans import ingest
+from larder.plans import ingest, publish
 from larder.workload import bindings as b
 from larder.workload.registry import query, table, texts
 
@@ -230,6 +230,32 @@ def p20(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.clean_item(noisy).alias("item"))
 
 
+@query(
+    "p21_published_projection",
+    f"""SELECT recipe_id, source_url, n_ingredients_validated, coalesce(cook_minutes, -1) AS cook_minutes, cook_time_category,
+      has_image, coalesce(nutri_score, 'none') AS nutri_score, coalesce(array_to_string(tags, '|'), '') AS tag_list,
+      coalesce(fat_g, -1) AS fat_g FROM wide""",
+    b.WIDE,
+)
+def p21(spark, sf):
+    """The contract's columns from joined rows under their staging names and types."""
+    joined = b.wide(spark, sf).drop("n_ingredients_validated", "cook_time_category", "nutri_score")
+    joined = joined.withColumnsRenamed({"recipe_id": "id", "source_url": "url"}).withColumns(
+        {"cook_minutes": F.col("cook_minutes").cast("bigint"), "has_image": F.when(F.col("has_image"), True)}
+    )
+    return publish.enriched(joined).select(
+        "recipe_id",
+        "source_url",
+        "n_ingredients_validated",
+        F.coalesce("cook_minutes", F.lit(-1)).alias("cook_minutes"),
+        "cook_time_category",
+        "has_image",
+        F.coalesce("nutri_score", F.lit("none")).alias("nutri_score"),
+        F.array_join("tags", "|").alias("tag_list"),
+        F.coalesce("fat_g", F.lit(-1.0)).alias("fat_g"),
+    )
+
+
 @query(
     "p22_bucket",
     """SELECT CAST(floor(cook_minutes / 5) * 5 AS BIGINT) AS bucket, count(*) AS n

@@ -211,7 +211,7 @@ def l3(spark, sf):
     b.MAIN,
 )
 def l4(spark, sf):
-    top = profile.outliers(b.main(spark, sf), LIMITS, tie="recipe_id", columns=["recipe_id", "mit_energy_kcal"])
+    top = profile.outliers(b.main(spark, sf), LIMITS, columns=["recipe_id", "mit_energy_kcal"])
     return top.select("recipe_id", F.coalesce("mit_energy_kcal", F.lit(-1.0)).alias("kcal"))
 
 

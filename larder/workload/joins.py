@@ -176,13 +176,13 @@ def j9(spark, sf):
 
 
 @query(
-    "j_star_revenue",
+    "j3_star_cascade",
     """SELECT r_name, count(*) AS n_lines, count(DISTINCT o_orderkey) AS n_orders,
       round(sum(l_quantity), 1) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
 )
-def j_star(spark, sf):
+def j3_star(spark, sf):
     """The base-and-dimensions shape of the catalog at volume: a fact table through four dimensions."""
     nations = table(spark, sf, "nation").join(
         joins.small_side(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
