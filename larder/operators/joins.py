@@ -19,35 +19,43 @@ def left_join_on(base: DataFrame, dim: DataFrame, base_key: str, dim_key: str) -
     return base.join(dim, base[base_key] == dim[dim_key], "left").drop(dim[dim_key])
 
 
-def frequent_values(df: DataFrame, column: str, n: int = 64) -> DataFrame:
-    """The n most frequent values of a column: a value with 1/n of all rows or more is among them."""
+def frequent_values(df: DataFrame, column: str, n: int = 1024, width: int | None = None) -> DataFrame:
+    """(value, ways) of the n most frequent values of a column; one with 1/n of all rows or more is among them.
+
+    ``ways`` is the value's share of ``width`` tasks (default: the shuffle width), so the ways add up to at
+    most width + n however the values are distributed.
+    """
+    width = width or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    return counts.orderBy(F.desc("_n"), column).limit(n).select(column)
+    total = counts.agg(F.sum("_n")).scalar()
+    top = counts.orderBy(F.desc("_n"), column).limit(n)
+    return top.select(column, F.ceil(F.lit(width) * F.col("_n") / total).cast("int").alias("ways"))
 
 
 def spread_left_join(
-    base: DataFrame, dim: DataFrame, base_key: str, dim_key: str, hot: DataFrame, spread_by: Sequence[str], ways: int = 64
+    base: DataFrame, dim: DataFrame, base_key: str, dim_key: str, hot: DataFrame, spread_by: Sequence[str]
 ) -> DataFrame:
     """Left join that stays balanced when some base keys hold a large part of all rows.
 
-    ``hot`` lists those keys (at most a few dozen rows, from ``frequent_values``, hence broadcast). Base
-    rows of a hot key spread over ``ways`` sub-keys by hash of ``spread_by``; the dimension's row for it is
-    repeated once per sub-key. All other keys join as usual. Null base keys match nothing and are spread
-    too. The result equals ``left_join_on`` whatever ``hot`` holds.
+    ``hot`` lists those keys and their ways (about a thousand rows, from ``frequent_values``, hence
+    broadcast). Base rows of a hot key spread over its ways by hash of ``spread_by``; the dimension's row
+    for it is repeated once per way. All other keys join as usual. Null base keys match nothing and are
+    spread too. The result equals ``left_join_on`` whatever ``hot`` holds.
     """
-    hot = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hot")))
-    way = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
+    value, ways = hot.columns
+    hot = F.broadcast(hot.select(F.col(value).alias("_hot"), F.col(ways).alias("_ways")))
+    draw = F.xxhash64(*spread_by)
     left = (
         base.join(hot, base[base_key] == F.col("_hot"), "left")
-        .withColumn("_way", F.when(F.col("_hot").isNotNull() | F.col(base_key).isNull(), way).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn("_way", F.when(F.col(base_key).isNull(), draw).otherwise(F.pmod(draw, F.coalesce("_ways", F.lit(1)))))
+        .drop("_hot", "_ways")
     )
-    ways_of = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     right = (
         dim.join(hot, dim[dim_key] == F.col("_hot"), "left")
-        .withColumn("_dim_way", F.explode(ways_of))
+        .withColumn("_dim_way", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
+        .withColumn("_dim_way", F.col("_dim_way").cast("bigint"))
         .withColumnRenamed(dim_key, "_dim_key")
-        .drop("_hot")
+        .drop("_hot", "_ways")
     )
     on = (left[base_key] == right["_dim_key"]) & (left["_way"] == right["_dim_way"])
     return left.join(right, on, "left").drop("_way", "_dim_key", "_dim_way")

@@ -15,6 +15,7 @@ from larder.operators.joins import restrict_to
 from larder.operators.sampling import fixed_sample
 from larder.schemas import with_optional
 
+# The columns of the record card and of a short search result.
 CARD = (
     "recipe_id", "title", "instructions_text", "ingredients_validated", "cook_minutes",
     "image_url", "image_urls", "mit_energy_kcal", "nutri_score",

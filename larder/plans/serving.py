@@ -14,7 +14,7 @@ from larder.operators.joins import with_details
 from larder.plans.publish import Catalog
 from larder.sources.tables import export, pin, register_views
 
-# Column order of the joined view's macros.
+# Column order of the joined view's macros.
 VIEW_MACROS = ("fat_g", "protein_g", "salt_g", "sugars_g", "saturates_g")
 
 
@@ -47,7 +47,7 @@ def master_table(main: DataFrame, details: DataFrame, path: str, key: str = "rec
     return export(with_details(main, details, key), path)
 
 
-# Columns of the narrow table for search.
+# Columns of the narrow table for search.
 SEARCH_COLUMNS = (
     "recipe_id", "title", "cook_minutes", "cook_time_category", "nutri_score", "mit_energy_kcal",
     "image_url", "ingredients_raw", "instructions_text",

@@ -58,8 +58,8 @@ def j2(spark, sf):
 @query("j2_spread_left_join", _J2, _TITLES)
 def j2_spread(spark, sf):
     parts = _parts(spark, sf)
-    hot = joins.frequent_values(parts, "title_norm", 8)
-    joined = joins.spread_left_join(parts, _title_dim(spark, sf), "title_norm", "dim_key", hot, ["p_partkey"], ways=8)
+    hot = joins.frequent_values(parts, "title_norm", 16, width=64)
+    joined = joins.spread_left_join(parts, _title_dim(spark, sf), "title_norm", "dim_key", hot, ["p_partkey"])
     return joined.select("p_partkey", F.coalesce("kcal", F.lit(-1.0)).alias("kcal"))
 
 

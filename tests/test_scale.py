@@ -104,7 +104,7 @@ def test_spread_join_bounds_the_largest_share(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = spread_left_join(base, dim, "t", "d", frequent_values(base, "t", 4), ["id"], ways=16)
+        joined = spread_left_join(base, dim, "t", "d", frequent_values(base, "t", 4, width=48), ["id"])
         shares = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert joined.filter("v = 1").count() == 2000 and joined.count() == 6000
     finally:
