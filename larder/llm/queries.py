@@ -4,21 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import token_counts, token_files
+from larder.llm import mixing, simhash, token_counts, token_files, url_aliases, warc_audit
 from larder.llm.common import n_bytes
 from larder.llm.registry import TOKENIZER, Run, table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of every document: doc_id, fingerprint, component_id."""
+    found = simhash.clusters(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in seekable files, read back: doc_id, start, n_tokens, ids_crc32."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
 
+def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's archive record against a replica with planted damage: where it lies, its hash, its status."""
+    pages = table(spark, sf_dir, "pages")
+    return warc_audit.report(pages, warc_audit.damaged_copy(pages))
+
+
+def op7_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by rules, or else by its aliases: page_id, host, path, rule, verdict."""
+    return url_aliases.verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document: doc_id, n_bytes, n_tokens, over_limit."""
     counted = token_counts.with_token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=2048)
     return counted.select("doc_id", n_bytes("text").alias("n_bytes"), "n_tokens", "over_limit")
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op4_token_files, op9_token_counts)}
-ORACLES: dict[str, str] = {}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in the mix: doc_id, size, source_size, target, taken."""
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Run] = {
+    f.__name__: f
+    for f in (op1_simhash, op4_token_files, op6_warc_audit, op7_url_aliases, op9_token_counts, op10_mixing)
+}
+ORACLES: dict[str, str] = {"op6_warc_audit": warc_audit.ORACLE, "op7_url_aliases": url_aliases.ORACLE}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,8 +40,42 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+class Splitter:
+    """The vocabulary's rules before the merges: special strings, normal form, lower case, pre-tokens."""
+
+    def __init__(self, spec: dict):
+        steps = spec["pre_tokenizer"]["pretokenizers"]
+        words = next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split")
+        self.words, self.words_and_ends = regex.compile(words), regex.compile(words + "|\n")
+        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+
+    @staticmethod
+    def normal(text: str) -> str:
+        # Lower case letter by letter: a sigma at a word's end is not special here.
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def has_special(self, chunk: str) -> bool:
+        return self.special is not None and self.special.search(chunk) is not None
+
+    def parts(self, chunk: str) -> tuple[list[str], int]:
+        """The pre-tokens of one chunk, and how many special strings stand between them."""
+        parts = self.special.split(chunk) if self.special else [chunk]
+        return [w for part in parts[::2] for w in self.words.findall(self.normal(part))], len(parts) // 2
+
+    def plain(self, some: list[str]) -> Iterator[list[str]]:
+        """The pre-tokens of each chunk, in one pass over all; none may hold a special string."""
+        own: list[str] = []
+        for word in self.words_and_ends.findall(self.normal("\n".join(some)) + "\n" if some else ""):
+            if word == "\n":
+                yield own
+                own = []
+            else:
+                own.append(word)
+
+
 class RankTable:
-    """The vocabulary's pairs as sorted arrays, with its splitting rules."""
+    """The vocabulary's pairs as sorted arrays."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -55,20 +90,7 @@ class RankTable:
         order = np.argsort(codes)
         self.codes, self.ranks = codes[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        steps = spec["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
-        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-
-    def pre_tokens(self, chunk: str) -> tuple[list[bytes], int]:
-        """The chunk's pre-tokens after normalisation, and how many special strings stand between them."""
-        parts = self.special.split(chunk) if self.special else [chunk]
-        words: list[bytes] = []
-        for part in parts[::2]:
-            # Lower case letter by letter: a sigma at a word's end is not special here.
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            words += [w.encode() for w in self.words.findall(part)]
-        return words, len(parts) // 2
+        self.split = Splitter(spec)
 
     def surviving(self, words: list[bytes]) -> np.ndarray:
         """How many symbols are left of each pre-token after all merges."""
@@ -106,10 +128,13 @@ def table(path: str) -> tuple[RankTable, dict[str, int]]:
 
 
 def count_chunks(ranks: RankTable, new: list[str]) -> list[int]:
-    split = [ranks.pre_tokens(c) for c in new]
-    distinct = list({w for words, _ in split for w in words})
-    size = dict(zip(distinct, ranks.surviving(distinct).tolist(), strict=True)) if distinct else {}
-    return [special + sum(size[w] for w in words) for words, special in split]
+    odd = {c: ranks.split.parts(c) for c in new if ranks.split.has_special(c)}
+    plain = zip([c for c in new if c not in odd], ranks.split.plain([c for c in new if c not in odd]), strict=True)
+    words = {c: own for c, own in plain} | {c: own for c, (own, _) in odd.items()}
+    distinct = list({w for own in words.values() for w in own})
+    left = ranks.surviving([w.encode() for w in distinct]).tolist() if distinct else []
+    size = dict(zip(distinct, left, strict=True))
+    return [sum(map(size.__getitem__, words[c])) + (odd[c][1] if c in odd else 0) for c in new]
 
 
 def count_texts(texts: list[bytes], path: str) -> list[int]:

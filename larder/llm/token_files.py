@@ -12,10 +12,11 @@ that manifest, itself a table in the shared folder, says which files count, so a
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from typing import BinaryIO
 
@@ -30,13 +31,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from larder.llm.common import groups, quoted, remembered, texts_of
-from larder.llm.token_counts import chunks
+from larder.llm.token_counts import Splitter, byte_letters, chunks
 from larder.session import materialise, scratch
 
 # Fixed values of the seekable format.
 INDEX_MAGIC, TABLE_MAGIC, CLOSING_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 IDS = np.dtype("<u4")
+# Letters from here on are left to the library's own rules.
+SIMPLE = "\u0250"
+# Chunks and pre-tokens that a worker process remembers before it starts anew.
+MOST_KNOWN = 400_000
 MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -49,7 +54,7 @@ class FrameWriter:
 
     def __init__(self, out: BinaryIO, frame_tokens: int):
         self.out, self.frame_bytes = out, frame_tokens * IDS.itemsize
-        self.press, self.waiting, self.table = zstandard.ZstdCompressor(level=3), bytearray(), bytearray()
+        self.press, self.waiting, self.table = zstandard.ZstdCompressor(level=1), bytearray(), bytearray()
         self.docs: list[tuple[int, int, int]] = []
         self.frames = self.written = 0
 
@@ -131,29 +136,49 @@ class FrameReader:
         return b"".join(out)
 
 
-@lru_cache(maxsize=4)
-def _library(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
-    return Tokenizer.from_file(path), {}
-
-
-def encoder(path: str, end_id: int | None) -> Callable[[list[bytes]], Iterator[bytes]]:
-    """Texts to id bytes with the library. As no token spans white space, each distinct chunk is encoded once."""
-    end = b"" if end_id is None else np.array([end_id], IDS).tobytes()
-
-    def encode(texts: list[bytes]) -> Iterator[bytes]:
-        model, cache = _library(path)
+class Encoder:
+    """Texts to id bytes with the library. As no token spans white space, each distinct chunk is encoded once.
 
-        def learn(new: list[str]) -> Iterator[bytes]:
-            for i in range(0, len(new), 50_000):
-                for e in model.encode_batch_fast(new[i : i + 50_000], add_special_tokens=False):
-                    yield np.array(e.ids, IDS).tobytes()
+    Chunks of letters below ``SIMPLE``, where no rule depends on Unicode's version, go to the library's model by
+    pre-tokens, and each distinct pre-token once; all others go through the whole library.
+    """
 
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            self.split = Splitter(json.load(file))
+        self.library = Tokenizer.from_file(path)
+        self.letters = str.maketrans(dict(enumerate(byte_letters())))
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return np.array([t.id for t in tokens], IDS).tobytes()
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        odd = {c for c in new if not (c.isascii() or max(c) < SIMPLE) or "<|" in c and self.split.has_special(c)}
+        out: dict[str, bytes] = {}
+        whole = sorted(odd)
+        for i in range(0, len(whole), 10_000):
+            found = self.library.encode_batch_fast(whole[i : i + 10_000], add_special_tokens=False)
+            out.update((c, np.array(e.ids, IDS).tobytes()) for c, e in zip(whole[i : i + 10_000], found, strict=True))
+        plain = [c for c in new if c not in odd]
+        parts = list(self.split.plain(plain))
+        known = remembered(self.words, {w for own in parts for w in own}, lambda some: map(self._word, some), MOST_KNOWN)
+        out.update((c, b"".join(map(known.__getitem__, own))) for c, own in zip(plain, parts, strict=True))
+        return [out[c] for c in new]
+
+    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [chunks(t.decode()) for t in texts]
-        known = remembered(cache, {c for own in split for c in own}, learn, most=700_000)
+        known = remembered(self.chunks, {c for own in split for c in own}, self._learn, MOST_KNOWN)
         for own in split:
-            yield b"".join(map(known.__getitem__, own)) + end
+            yield b"".join(map(known.__getitem__, own))
+
 
-    return encode
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker process, which keeps what it has learned."""
+    return Encoder(path)
 
 
 def write(
@@ -172,7 +197,7 @@ def write(
     key are told apart by their text's hash, so no range is unbounded. A long document spans frames; memory is one
     batch of texts and one frame.
     """
-    encode = encoder(tokenizer, end_id)
+    end = b"" if end_id is None else np.array([end_id], IDS).tobytes()
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = name = out = stream = None
@@ -186,8 +211,8 @@ def write(
                     name = f"part-{number:06d}-{uuid.uuid4().hex}.zst"
                     stream = store.open_output_stream(f"{root}/{name}", compression=None)
                     out = FrameWriter(stream, frame_tokens)
-                for encoded in encode(some):
-                    out.add(next(ids), encoded)
+                for encoded in encoder(tokenizer)(some):
+                    out.add(next(ids), encoded + end)
         if out is not None:
             out.close()
             stream.close()
