@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import mixing, simhash, token_counts, token_files, url_aliases, warc_audit
+from larder.llm import decontaminate, mixing, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
 from larder.llm.common import n_bytes
 from larder.llm.registry import TOKENIZER, Run, table
 
@@ -15,11 +16,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and both likenesses."""
+    return spotsigs.edits(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in seekable files, read back: doc_id, start, n_tokens, ids_crc32."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from rows that are not held out: doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.with_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score", predicted)
+
+
 def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's archive record against a replica with planted damage: where it lies, its hash, its status."""
     pages = table(spark, sf_dir, "pages")
@@ -31,6 +45,11 @@ def op7_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_aliases.verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, edited or not: doc_id, item_id, similarity, end_word."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document: doc_id, n_bytes, n_tokens, over_limit."""
     counted = token_counts.with_token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=2048)
@@ -42,8 +61,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+# fmt: off
 QUERIES: dict[str, Run] = {
     f.__name__: f
-    for f in (op1_simhash, op4_token_files, op6_warc_audit, op7_url_aliases, op9_token_counts, op10_mixing)
+    for f in (
+        op1_simhash, op2_spotsigs, op4_token_files, op5_toxicity, op6_warc_audit, op7_url_aliases,
+        op8_decontaminate, op9_token_counts, op10_mixing,
+    )
 }
+# fmt: on
 ORACLES: dict[str, str] = {"op6_warc_audit": warc_audit.ORACLE, "op7_url_aliases": url_aliases.ORACLE}
