@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, mixing, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
+from larder.llm import decontaminate, mixing, repeats, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
 from larder.llm.common import n_bytes
 from larder.llm.registry import TOKENIZER, Run, table
 
@@ -21,6 +21,11 @@ def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edits(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated 400-byte strings: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in seekable files, read back: doc_id, start, n_tokens, ids_crc32."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
@@ -65,8 +70,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
-        op1_simhash, op2_spotsigs, op4_token_files, op5_toxicity, op6_warc_audit, op7_url_aliases,
-        op8_decontaminate, op9_token_counts, op10_mixing,
+        op1_simhash, op2_spotsigs, op3_suffix_repeats, op4_token_files, op5_toxicity, op6_warc_audit,
+        op7_url_aliases, op8_decontaminate, op9_token_counts, op10_mixing,
     )
 }
 # fmt: on
