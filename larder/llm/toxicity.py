@@ -251,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         rows.unpersist()
     y = np.array([k[0] for k in known], float)
     if len(set(y)) < 2:
-        return Model(insults, threats, tuple(4.0 if ("negated", False) in name else 1.0 for name in LABELS), -3.0)
+        return Model(insults, threats, tuple(6.0 if ("negated", False) in name else 1.0 for name in LABELS), -3.0)
     weights = _regress(np.array([k[1] for k in known]), y)
     return Model(insults, threats, tuple(weights[:-1].tolist()), float(weights[-1]))
 

@@ -1,0 +1,80 @@
+"""The corpus pipeline, stage by stage, against plain versions of its decisions."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from larder.llm import mixing
+from larder.llm.registry import TOKENIZER
+from test_simhash import brute_classes, brute_fingerprint
+from tokenizers import Tokenizer
+
+
+@pytest.fixture(scope="module")
+def folder(spark, words, tmp_path_factory):
+    rng = random.Random(12)
+    place = str(tmp_path_factory.mktemp("tables"))
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(30)) for i in range(5)]
+    docs, labels = [], []
+    for i in range(300):
+        body, toxic = text(rng.randint(20, 90)), int(i % 10 == 3)
+        if toxic:
+            body += " you idiot " + text(5)
+        elif i % 10 == 5:
+            body += " " + items[i % 5][1] + " " + text(9)
+        elif i % 10 == 7:
+            body = docs[i - 1][1]
+        docs.append((i, body, "en", f"s{i % 4}", len(body)))
+        if i % 2:
+            labels.append((i, 1, toxic))
+    docs.append((400, None, "en", None, 0))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{place}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
+    return place, docs, items
+
+
+def test_stages(spark, folder):
+    place, rows, items = folder
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    texts = {k: t or "" for k, t, *_ in rows}
+    left = {k for k in texts if "idiot" not in texts[k]}
+    for (name, stage), n in zip(corpus_pipeline.STAGES[:4], range(4), strict=True):
+        docs = stage(spark, docs, place).cache()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        found = Counter(r["doc_id"] for r in docs.collect())
+        if n == 1:
+            classes = brute_classes({brute_fingerprint(texts[k]) for k in left})
+            least = {}
+            for k in sorted(left):
+                least.setdefault(classes[brute_fingerprint(texts[k])], k)
+            left = set(least.values())
+        if n == 2:
+            left = {k for k in left if not any(t in texts[k] for _, t in items)}
+        if n < 3:
+            assert found == Counter(left), name
+        else:
+            assert set(found) <= left and max(found.values()) <= 3
+            sizes = Counter()
+            for k in left:
+                sizes[rows[k][3] if k < 300 else None] += len(texts[k].split())
+            targets = mixing.targets(sizes, sum(sizes.values()))
+            for source, target in targets.items():
+                taken = sum(len(texts[k].split()) * c for k, c in found.items() if (rows[k][3] if k < 300 else None) == source)
+                assert taken == pytest.approx(target, abs=40)
+    library, at = Tokenizer.from_file(TOKENIZER), 0
+    for r in corpus_pipeline.STAGES[4][1](spark, docs, place).orderBy("start").collect():
+        ids = [*library.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+def test_run_goes_through_all_stages(spark, folder):
+    out = corpus_pipeline.run(spark, folder[0])
+    assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 100
