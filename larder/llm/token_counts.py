@@ -63,10 +63,14 @@ class Splitter:
         parts = self.special.split(chunk) if self.special else [chunk]
         return [w for part in parts[::2] for w in self.words.findall(self.normal(part))], len(parts) // 2
 
+    def flat(self, some: list[str]) -> list[str]:
+        """The pre-tokens of all chunks in one list, with a line end after each chunk; no chunk may hold a special string."""
+        return self.words_and_ends.findall(self.normal("\n".join(some)) + "\n") if some else []
+
     def plain(self, some: list[str]) -> Iterator[list[str]]:
-        """The pre-tokens of each chunk, in one pass over all; none may hold a special string."""
+        """The pre-tokens of each chunk."""
         own: list[str] = []
-        for word in self.words_and_ends.findall(self.normal("\n".join(some)) + "\n" if some else ""):
+        for word in self.flat(some):
             if word == "\n":
                 yield own
                 own = []

@@ -40,8 +40,10 @@ WITH_CHECKSUMS = 0x80
 IDS = np.dtype("<u4")
 # Letters from here on are left to the library's own rules.
 SIMPLE = "\u0250"
+# Stands between chunks where many are looked up at once; no vocabulary has this id.
+CHUNK_END = b"\xff" * 4
 # Chunks and pre-tokens that a worker process remembers before it starts anew.
-MOST_KNOWN = 400_000
+MOST_KNOWN = 600_000
 MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -153,19 +155,28 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         tokens = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in tokens], IDS).tobytes()
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _plain(self, some: list[str]) -> list[bytes]:
+        """The ids of chunks, looked up by pre-token in one row of ids and cut at the chunks' ends."""
+        flat = self.split.flat(some)
+        known = remembered(self.words, set(flat) - {"\n"}, lambda new: map(self._word, new), MOST_KNOWN)
+        known["\n"] = CHUNK_END
+        row = b"".join(map(known.__getitem__, flat))
+        ends = (np.flatnonzero(np.frombuffer(row, IDS) == np.frombuffer(CHUNK_END, IDS)) * IDS.itemsize).tolist()
+        return [row[a:b] for a, b in zip([0, *(e + IDS.itemsize for e in ends)], ends)]  # noqa: B905
 
     def _learn(self, new: list[str]) -> list[bytes]:
         odd = {c for c in new if not (c.isascii() or max(c) < SIMPLE) or "<|" in c and self.split.has_special(c)}
+        if not odd:
+            return self._plain(new)
+        whole = [c for c in new if c in odd]
         out: dict[str, bytes] = {}
-        whole = sorted(odd)
         for i in range(0, len(whole), 10_000):
             found = self.library.encode_batch_fast(whole[i : i + 10_000], add_special_tokens=False)
             out.update((c, np.array(e.ids, IDS).tobytes()) for c, e in zip(whole[i : i + 10_000], found, strict=True))
-        plain = [c for c in new if c not in odd]
-        parts = list(self.split.plain(plain))
-        known = remembered(self.words, {w for own in parts for w in own}, lambda some: map(self._word, some), MOST_KNOWN)
-        out.update((c, b"".join(map(known.__getitem__, own))) for c, own in zip(plain, parts, strict=True))
+        rest = [c for c in new if c not in odd]
+        out.update(zip(rest, self._plain(rest), strict=True))
         return [out[c] for c in new]
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
