@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import quoted, texts_of
 from larder.llm.suffixes import SuffixRanks, longest_previous_factors
-from larder.session import materialise
+from larder.session import materialise, remove, scratch
 
 LENGTH = 400
 GRAM = 128
@@ -88,24 +88,20 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _anchor_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's distinct anchors, and whether the text itself has one twice."""
     for part in parts:
-        for ids, some in _pieces(part.column(0), part.column(1)):
-            found = [np.unique(anchors(t)[0], return_counts=True) for t in some]
+        for i in range(0, part.num_rows, 512):
+            some = part.slice(i, 512)
+            found = [np.unique(anchors(t)[0], return_counts=True) for t in texts_of(some.column(2))]
+            sizes = [len(h) for h, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([h for h, _ in found])),
-                    pa.array(np.repeat(ids, [len(h) for h, _ in found])),
+                    *(pa.array(np.repeat(some.column(k).to_numpy(zero_copy_only=False), sizes)) for k in (0, 1)),
                     pa.array(np.concatenate([n > 1 for _, n in found])),
                 ],
-                ["anchor", "x", "twice"],
+                ["anchor", "x", "y", "twice"],
             )
 
 
-def _pieces(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    keys = ids.to_numpy(zero_copy_only=False)
-    for i in range(0, len(keys), 512):
-        yield keys[i : i + 512], texts_of(texts.slice(i, 512))
-
-
 CONTEXT = pa.schema(
     [
         ("anchor", pa.int64()), ("c", pa.binary()), ("context", pa.binary()), ("d", pa.binary()), ("starts", pa.list_(pa.int64()))
@@ -236,16 +232,21 @@ def _digest(text: Column) -> Column:
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
-    """``anchor, c, context, d, starts`` for all anchors that occur twice, and the texts that have them."""
-    x = F.xxhash64("t").alias("x")
-    rows = texts.select(x, F.col("t")).mapInArrow(_anchor_rows, "anchor long, x long, twice boolean")
-    rows = materialise(rows, name="anchors")
+    """``d, t, anchors``: distinct texts and those of their anchors that occur twice in all texts.
+
+    A text is known by two independent 64-bit hashes here, so that its anchors and the text itself are dealt out alike.
+    """
+    marked = texts.select(F.xxhash64("t").alias("x"), F.xxhash64(F.lit(1), "t").alias("y"), "t")
+    copy = scratch(texts.sparkSession, "anchors")
+    rows = materialise(marked.mapInArrow(_anchor_rows, "anchor long, x long, y long, twice boolean"), copy)
     # Copies of a text have its anchors too; they are settled by the text's count.
-    least = rows.groupBy("anchor").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.max("twice").alias("twice"))
-    again = least.where("twice OR a <> b").select("anchor")
-    own = rows.join(again, "anchor", "left_semi").groupBy("x").agg(F.collect_set("anchor").alias("anchors"))
-    distinct = texts.select(_digest(F.col("t")).alias("d"), x, "t").groupBy("x", "d").agg(F.first("t").alias("t"))
-    return materialise(distinct.join(own, "x").select("d", "t", "anchors"), name="repeat-texts")
+    least = rows.groupBy("anchor").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x", "y")), F.max("twice").alias("twice"))
+    again = least.where("twice OR min_x <> max_x OR min_y <> max_y").select("anchor")
+    own = rows.join(again, "anchor", "left_semi").groupBy("x", "y").agg(F.collect_set("anchor").alias("anchors"))
+    distinct = marked.groupBy("x", "y").agg(F.first("t").alias("t"))
+    held = materialise(distinct.join(own, ["x", "y"]).select(_digest(F.col("t")).alias("d"), "t", "anchors"), name="repeat-texts")
+    remove(texts.sparkSession, copy)
+    return held
 
 
 def removals(texts: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
