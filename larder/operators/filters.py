@@ -73,8 +73,8 @@ class Facets:
 
 
 def holds_text(column: str, text: str) -> Column:
-    """Case-insensitive substring. ``%`` and ``_`` in the text are wildcards."""
-    return F.col(column).ilike(f"%{text}%")
+    """Case-insensitive substring. ``%`` and ``_`` in the text are wildcards, a backslash is itself."""
+    return F.col(column).ilike("%" + text.replace("\\", "\\\\") + "%")
 
 
 def usable(image: str = "has_image", kcal: str = "mit_energy_kcal", items: str = "n_ingredients_validated") -> Column:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-
 
 def left_join(base: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return base.join(dim, key, "left")
@@ -19,16 +17,16 @@ def left_join_on(base: DataFrame, dim: DataFrame, base_key: str, dim_key: str) -
     return base.join(dim, base[base_key] == dim[dim_key], "left").drop(dim[dim_key])
 
 
-def frequent_values(df: DataFrame, column: str, n: int = 1024, width: int | None = None) -> DataFrame:
-    """(value, ways) of the n most frequent values of a column; one with 1/n of all rows or more is among them.
+def frequent_values(df: DataFrame, column: str, width: int | None = None) -> DataFrame:
+    """(value, ways) of every value that holds more than 1/width of the known rows, so at most ``width`` values.
 
     ``ways`` is the value's share of ``width`` tasks (default: the shuffle width), so the ways add up to at
-    most width + n however the values are distributed.
+    most twice the width however the values are distributed.
     """
     width = width or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    top = counts.orderBy(F.desc("_n"), column).limit(n)
+    top = counts.filter(F.col("_n") * F.lit(width) > total)
     return top.select(column, F.ceil(F.lit(width) * F.col("_n") / total).cast("int").alias("ways"))
 
 
@@ -37,7 +35,7 @@ def spread_left_join(
 ) -> DataFrame:
     """Left join that stays balanced when some base keys hold a large part of all rows.
 
-    ``hot`` lists those keys and their ways (about a thousand rows, from ``frequent_values``, hence
+    ``hot`` lists those keys and their ways (from ``frequent_values``: at most one row for each task, hence
     broadcast). Base rows of a hot key spread over its ways by hash of ``spread_by``; the dimension's row
     for it is repeated once per way. All other keys join as usual. Null base keys match nothing and are
     spread too. The result equals ``left_join_on`` whatever ``hot`` holds.
@@ -61,11 +59,6 @@ def spread_left_join(
     return left.join(right, on, "left").drop("_way", "_dim_key", "_dim_way")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast if it is counted to hold at most ``max_rows`` rows; else leave it as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def restrict_to(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of base whose key is in ids. The ids are made distinct before the shuffle that the join needs anyway."""
     return base.join(ids.select(key).distinct(), key, "left_semi")

@@ -14,14 +14,15 @@ from pyspark.sql.types import ArrayType
 from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
-from larder.session import concurrently, materialise
-from larder.sources.tables import export, read_table, write_clustered
+from larder.session import concurrently, materialise, remove, scratch
+from larder.sources.tables import export, write_clustered
 
 
 @dataclass(frozen=True)
 class TextIndex:
     """A stored index. ``postings``: one row per (term, key) with the document length and one tf column per
-    field. ``terms``: document frequency per term. ``corpus``: one row, document count and mean length.
+    field. ``terms``: document frequency and idf per term. ``corpus``: one row, document count, mean length and the
+    settings that the index was built with; the numbers are read once, when the index is opened.
     """
 
     postings: DataFrame
@@ -31,22 +32,27 @@ class TextIndex:
     fields: tuple[str, ...]
     pattern: str
     stemmer: str
+    avgdl: float | None
+
+
+CORPUS = "n_docs bigint, avgdl double, key string, key_type string, fields array<string>, pattern string, stemmer string"
+TERMS = "term string, df bigint, idf double"
 
 
 def _tf(field: str) -> str:
     return f"tf_{field}"
 
 
-def open_index(
-    spark: SparkSession,
-    path: str,
-    key: str = "recipe_id",
-    fields: Sequence[str] = ("title", "ingredients_validated"),
-    pattern: str = "[a-z0-9]+",
-    stemmer: str = "english",
-) -> TextIndex:
-    postings, terms, corpus = (read_table(spark, f"{path}/{name}") for name in ("postings", "terms", "corpus"))
-    return TextIndex(postings, terms, corpus, key, tuple(fields), pattern, stemmer)
+def open_index(spark: SparkSession, path: str) -> TextIndex:
+    """The index with the settings it was built with; all schemas are declared, no file is opened to guess one."""
+    corpus = spark.read.schema(CORPUS).parquet(f"{path}/corpus")
+    made = corpus.first()
+    counts = ", ".join(f"`{_tf(f)}` int" for f in made["fields"])
+    postings = spark.read.schema(f"`{made['key']}` {made['key_type']}, term string, dl int, {counts}").parquet(f"{path}/postings")
+    terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
+    return TextIndex(
+        postings, terms, corpus, made["key"], tuple(made["fields"]), made["pattern"], made["stemmer"], made["avgdl"]
+    )
 
 
 def create_index(
@@ -82,10 +88,15 @@ def create_index(
     counted = occurrences.groupBy(key, "term", "dl").agg(
         *(F.count_if(F.col("field") == i).cast("int").alias(_tf(f)) for i, f in enumerate(fields))
     )
-    counted = materialise(counted, name="postings")
-    terms = counted.groupBy("term").agg(F.count("*").alias("df"))
-    total = counted.agg(F.sum(reduce(add, (F.col(_tf(f)) for f in fields))).alias("n")).scalar()
-    corpus = df.agg(F.count("*").alias("n_docs")).select("n_docs", (total / F.col("n_docs")).alias("avgdl"))
+    copy = scratch(spark, "postings")
+    counted = materialise(counted, copy)
+    # Documents are counted in the stored index; those without any word are the rest of the input's row count.
+    total, n_docs = counted.agg(F.sum(reduce(add, (F.col(_tf(f)) for f in fields))).alias("n")).first()["n"], df.count()
+    found = F.col("df")
+    idf = F.log((F.lit(n_docs) - found + F.lit(0.5)) / (found + F.lit(0.5)) + F.lit(1.0))
+    terms = counted.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", idf)
+    made = [(n_docs, (total or 0) / n_docs if n_docs else None, key, dict(df.dtypes)[key], list(fields), pattern, stemmer)]
+    corpus = spark.createDataFrame(made, CORPUS)
     concurrently(
         spark,
         [
@@ -94,12 +105,16 @@ def create_index(
             lambda: export(corpus, f"{path}/corpus"),
         ],
     )
-    return open_index(spark, path, key, fields, pattern, stemmer)
+    remove(spark, copy)
+    return open_index(spark, path)
 
 
 def query_terms(spark: SparkSession, query: str, pattern: str = "[a-z0-9]+", stemmer: str = "english") -> list[str]:
-    """The distinct terms of a search string, by the same expressions that built the index."""
-    row = spark.sql("SELECT :q AS q", args={"q": query}).select(
+    """The distinct terms of a search string, by the same expressions that built the index.
+
+    A table of one literal row is folded by the optimizer, so no job runs.
+    """
+    row = spark.sql("SELECT * FROM VALUES (:q) AS t(q)", args={"q": query}).select(
         F.array_distinct(F.transform(words("q", pattern), STEMMERS[stemmer])).alias("terms")
     )
     return row.first()["terms"]
@@ -134,15 +149,10 @@ def bm25(
     limits the term frequency. Broadcast are at most as many rows as the query has words.
     """
     wanted = _terms_of(index, query)
-    weights = F.broadcast(index.terms.filter(F.col("term").isin(wanted)))
-    n_docs = index.corpus.select("n_docs").scalar()
-    avgdl = index.corpus.select("avgdl").scalar()
-    idf = F.log((n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
-    part = idf * (F.col("tf") * F.lit(k1 + 1)) / (F.col("tf") + norm)
+    weights = F.broadcast(index.terms.filter(F.col("term").isin(wanted)).select("term", "idf"))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(index.avgdl))
+    part = F.col("idf") * (F.col("tf") * F.lit(k1 + 1)) / (F.col("tf") + norm)
     scored = _hits(index, wanted, fields).join(weights, "term")
-    if len(wanted) == 1:  # one posting per document: nothing to add up, nothing to shuffle
-        return scored.select(index.key, part.alias("score"))
     return scored.groupBy(index.key).agg(F.sum(part).alias("score"))
 
 
@@ -162,13 +172,10 @@ def full_text(
 ) -> DataFrame:
     """The n best matches with their catalog columns, best first; a blank query finds nothing.
 
-    The n keys are fetched first and filter the catalog's scan, which then skips files by bloom filter.
+    ``columns`` start with the index's key. The n best keys, at most n rows, are broadcast to the catalog's scan.
     """
     top = best(bm25(index, query, fields), index.key, n)
-    rows = top.collect()
-    hits = main.sparkSession.createDataFrame(rows, top.schema)
-    keys = [row[index.key] for row in rows]
-    found = main.select(*columns).filter(F.col(index.key).isin(keys)).join(F.broadcast(hits), index.key)
+    found = main.select(*columns).join(F.broadcast(top), index.key)
     return found.orderBy(F.desc("score"), index.key).limit(n)
 
 

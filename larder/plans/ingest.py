@@ -93,11 +93,11 @@ RESOURCES = {
 }
 
 
-def scan(spark: SparkSession, raw_dir: str, name: str, layout: str = "array") -> DataFrame:
+def scan(spark: SparkSession, raw_dir: str, name: str, layout: str = "array", multi_line: bool = True) -> DataFrame:
     resource = RESOURCES[name]
     path = f"{raw_dir}/{resource.file}"
     if resource.is_csv:
-        return read_csv_records(spark, path, resource.schema)
+        return read_csv_records(spark, path, resource.schema, multi_line)
     return read_json_records(spark, path, resource.schema, layout)
 
 
@@ -108,12 +108,16 @@ def ingest(
     disposition: str = "replace",
     layout: str = "array",
     only: tuple[str, ...] = tuple(RESOURCES),
+    multi_line: bool = True,
 ) -> dict[str, str]:
-    """Write the staging tables, side by side, and return their paths. A failing resource fails the run."""
+    """Write the staging tables, side by side, and return their paths. A failing resource fails the run.
+
+    ``layout`` is that of the JSON files; ``multi_line=False`` says that no CSV field holds a line break.
+    """
     paths = {name: f"{staging_dir}/{name}" for name in only}
 
     def load(name: str) -> None:
-        write_staging(RESOURCES[name].stage(scan(spark, raw_dir, name, layout)), paths[name], disposition)
+        write_staging(RESOURCES[name].stage(scan(spark, raw_dir, name, layout, multi_line)), paths[name], disposition)
 
     concurrently(spark, [partial(load, name) for name in only])
     return paths

@@ -17,18 +17,18 @@ from larder.operators.items import inverted_index
 from larder.operators.profile import table_stats
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.ingest import ingest
-from larder.session import concurrently, materialise
+from larder.session import concurrently, materialise, remove, scratch
 from larder.sources.tables import read_table, write_clustered, write_partitioned
 
 
 def enriched(df: DataFrame) -> DataFrame:
     """Derived columns and published names; the columns of the main contract plus the macros."""
-    derived = df.withColumns(
+    # Numbers are narrowed before they are classed, so a class always describes the published value.
+    narrowed = df.withColumns({"n_steps": narrow_int("n_steps"), "cook_minutes": narrow_int("cook_minutes")})
+    derived = narrowed.withColumns(
         {
             "recipe_id": F.col("id"),
             "source_url": F.col("url"),
-            "n_steps": narrow_int("n_steps"),
-            "cook_minutes": narrow_int("cook_minutes"),
             "n_ingredients_validated": length("ingredients_validated"),
             "cook_time_category": time_band("cook_minutes"),
             "has_image": flag("has_image"),
@@ -106,9 +106,13 @@ def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catal
 
     The joined rows are written once to the shared scratch folder and all three tables come from that
     copy: the joins run once although range partitioning reads its input twice, and the index describes
-    exactly the rows of the main table.
+    exactly the rows of the main table. The copy is removed when all three are written.
     """
-    return store(materialise(enriched(assembled), name="assembled"), out_dir, rows_per_file)
+    spark = assembled.sparkSession
+    copy = scratch(spark, "assembled")
+    catalog = store(materialise(enriched(assembled), copy), out_dir, rows_per_file)
+    remove(spark, copy)
+    return catalog
 
 
 def transform(spark: SparkSession, staging_dir: str, out_dir: str) -> Catalog:
@@ -122,9 +126,10 @@ def run(
     out_dir: str,
     disposition: str = "replace",
     layout: str = "array",
+    multi_line: bool = True,
 ) -> Catalog:
     """Raw files to published tables."""
-    ingest(spark, raw_dir, staging_dir, disposition, layout)
+    ingest(spark, raw_dir, staging_dir, disposition, layout, multi_line=multi_line)
     return transform(spark, staging_dir, out_dir)
 
 

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Merged down to the advisory size; 200, the default of Spark, would be half a terabyte a task at 100 TB.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -41,6 +43,7 @@ def build_session(
     settings = dict(SETTINGS)
     if initial_partitions:
         settings["spark.sql.shuffle.partitions"] = str(initial_partitions)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -74,6 +77,12 @@ def materialise(df: DataFrame, path: str | None = None, name: str = "table") ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads, wherever the shared folder is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def concurrently(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> None:
     """Run independent jobs side by side, so the last tasks of one leave no executor idle. A failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:

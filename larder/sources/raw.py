@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,22 +34,46 @@ def read_json_records(spark: SparkSession, path: str | list[str], schema: Struct
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files of a path in groups that share their first line. Only the beginning of each file is read."""
+    files = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())]
+    headers: dict[str, list[str]] = {}
+
+    def look(file: str) -> tuple[str, str | None]:
+        row = spark.read.text(file).first()
+        return file, row["value"] if row else None
+
+    with ThreadPoolExecutor(16) as pool:
+        for file, header in pool.map(inheritable_thread_target(spark)(look), files):
+            if header is not None:
+                headers.setdefault(header, []).append(file)
+    return list(headers.values())
+
+
 def read_csv_records(
     spark: SparkSession, path: str | list[str], schema: StructType, multi_line: bool = True
 ) -> DataFrame:
-    """Records of a CSV file with a header: quoted fields, doubled quotes, and line breaks inside quotes.
+    """Records of CSV files with a header: quoted fields, doubled quotes, and line breaks inside quotes.
 
-    All columns are strings, matched to the schema by header name, and null where the file or the row
-    lacks one.
+    All columns are strings, matched to the schema by each file's own header, and null where the file or the
+    row lacks one. Files whose headers differ are read in groups; one small job for each file finds its header.
     A file whose fields may hold line breaks cannot be split, so its rows are rebalanced after the
     scan; ``multi_line=False`` reads files without them in parallel.
     """
-    rows = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    rows = with_optional(rows, {f.name: f.dataType.simpleString() for f in schema}).select(*schema.names)
+    names = {f.name: f.dataType.simpleString() for f in schema}
+
+    def one(files: list[str]) -> DataFrame:
+        rows = (
+            spark.read.option("header", True)
+            .option("inferSchema", False)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv(files)
+        )
+        return with_optional(rows, names).select(*schema.names)
+
+    groups = _by_header(spark, path)
+    if not groups:
+        return spark.createDataFrame([], schema)
+    rows = reduce(DataFrame.unionByName, map(one, groups))
     return rows.hint("rebalance") if multi_line else rows

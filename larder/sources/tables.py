@@ -22,15 +22,6 @@ def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for costly per-row work on a scan with fewer splits than cores.
-
-    A large table has splits enough and stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_staging(df: DataFrame, path: str, disposition: str = "replace") -> None:
     """``append`` adds files and may repeat known keys; readers deduplicate by key."""
     df.write.mode(MODES[disposition]).parquet(path)

@@ -1,14 +1,17 @@
 """Incremental staging loads: the ``append`` disposition for files that keep arriving.
 
 Structured Streaming reads each file of a JSON-lines folder once and appends its rows to the staging
-table. Progress is in the checkpoint folder, so a restarted or failed run neither skips nor repeats a file.
+table. Each batch is appended by the same write as a batch load, so both may share a folder.
+Progress is in the checkpoint folder: a restarted run skips no file. A batch that is run again after a failure repeats its
+rows, which ``assemble`` reduces to one for each key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from larder.plans.ingest import RESOURCES
+from larder.sources.tables import write_staging
 
 
 def append_new_files(
@@ -24,13 +27,9 @@ def append_new_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .json(source_dir)
     )
-    query = (
-        resource.stage(rows)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("path", staging_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def append(batch: DataFrame, _: int) -> None:
+        write_staging(resource.stage(batch), staging_path, "append")
+
+    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -1,7 +1,7 @@
 """Catalog-shaped views of the given tables, as DataFrames and as the same CTEs for the oracle.
 
 ``events`` play the recipes (one per event, whole table): the type and user make the title, ``value`` the
-energy, ``$.k`` of ``props`` the minutes. Nulls follow from the event type. ``main``, ``index`` and ``details``
+energy, ``$.k`` of ``props`` the minutes. Nulls follow from the event id. ``main``, ``index`` and ``details``
 are the tables published from them, in the published layout. ``documents``, ``labels``,
 ``pages``, ``events`` and ``customer`` play the five raw files of the pipeline.
 """
@@ -19,37 +19,39 @@ from larder.functions.arrays import length
 from larder.functions.bands import score_band, time_band
 from larder.plans.publish import Catalog, store
 from larder.session import materialise, scratch
-from larder.workload.registry import table, texts
+from larder.workload.registry import table
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 18 columns of the main contract and the macros, from ``events``."""
     kind, user, value = F.col("event_type"), F.col("user_id").cast("string"), F.col("value")
     event = F.col("event_id").cast("string")
+    # Nulls follow from the id, so some rows have none and others several.
+    turn = F.col("event_id") % 7
     k = F.get_json_object("props", "$.k").cast("int")
-    image = F.when(kind != "click", F.concat(F.lit("https://img.example.org/"), event, F.lit(".jpg")))
+    image = F.when(turn != 1, F.concat(F.lit("https://img.example.org/"), event, F.lit(".jpg")))
     items = F.array(kind, F.concat(F.lit(" Item "), k.cast("string"), F.lit(" ")), F.concat(F.lit("user "), user), F.lit("  "))
-    base = texts(spark, sf_dir, "events").select(
+    base = table(spark, sf_dir, "events").select(
         event.alias("recipe_id"),
         F.concat_ws(" ", kind, user).alias("title"),
-        F.when(kind != "view", F.col("props")).alias("description"),
+        F.when(turn != 0, F.col("props")).alias("description"),
         F.concat_ws(" | ", kind, F.concat(F.lit("user "), user), F.col("props")).alias("instructions_text"),
         F.array(kind, F.concat(F.lit("user "), user), F.concat(F.lit("item "), k.cast("string"))).alias("ingredients_raw"),
-        F.when(kind != "error", items).alias("ingredients_validated"),
-        F.when(kind != "purchase", F.floor(k / 10)).cast("int").alias("n_steps"),
-        F.when(kind != "signup", k).alias("cook_minutes"),
+        F.when(turn != 3, items).alias("ingredients_validated"),
+        F.when(turn != 2, F.floor(k / 10)).cast("int").alias("n_steps"),
+        F.when(turn != 4, k).alias("cook_minutes"),
         image.alias("image_url"),
-        F.when(kind != "click", F.array(image, F.lit("https://img.example.org/none.jpg"))).alias("image_urls"),
-        (kind != "click").alias("has_image"),
+        F.when(turn != 1, F.array(image, F.lit("https://img.example.org/none.jpg"))).alias("image_urls"),
+        (turn != 1).alias("has_image"),
         F.concat(F.lit("https://r.example.org/"), event).alias("source_url"),
-        F.when(kind != "error", value).alias("mit_energy_kcal"),
-        F.when(kind.isin("error", "signup"), value * 2).alias("kaggle_energy_kcal"),
-        F.when(kind != "view", F.array(kind, F.concat(F.lit("k"), F.floor(k / 10).cast("string")))).alias("tags"),
-        F.when(kind != "error", value * 0.1).alias("fat_g"),
-        F.when(kind.isin("view", "click"), value * 0.05).alias("protein_g"),
-        F.when(kind != "error", value * 0.01).alias("salt_g"),
-        F.when(~kind.isin("error", "signup"), value * 0.2).alias("saturates_g"),
-        F.when(~kind.isin("error", "purchase"), value * 0.5).alias("sugars_g"),
+        F.when(turn != 3, value).alias("mit_energy_kcal"),
+        F.when(turn > 2, value * 2).alias("kaggle_energy_kcal"),
+        F.when(turn != 0, F.array(kind, F.concat(F.lit("k"), F.floor(k / 10).cast("string")))).alias("tags"),
+        F.when(turn != 3, value * 0.1).alias("fat_g"),
+        F.when(~turn.isin(2, 3), value * 0.05).alias("protein_g"),
+        F.when(turn != 3, value * 0.01).alias("salt_g"),
+        F.when(~turn.isin(3, 4), value * 0.2).alias("saturates_g"),
+        F.when(~turn.isin(2, 3), value * 0.5).alias("sugars_g"),
     )
     derived = base.withColumns(
         {
@@ -65,14 +67,21 @@ def fresh_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide(spark, sf_dir).select(*schemas.RECIPES_MAIN.names)
 
 
+def version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Names, lengths and times of a table's files: what is kept of it is made anew when they change."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 @lru_cache(maxsize=8)
-def _published(app: str, spark: SparkSession, sf_dir: str) -> Catalog:
+def _published(app: str, spark: SparkSession, sf_dir: str, version: tuple) -> Catalog:
     return store(materialise(wide(spark, sf_dir), name="wide"), scratch(spark, "catalog"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The published tables of this session: written once from all events, then queried many times."""
-    return _published(spark.sparkContext.applicationId, spark, sf_dir)
+    return _published(spark.sparkContext.applicationId, spark, sf_dir, version(spark, sf_dir, "events"))
 
 
 def main(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,26 +109,26 @@ _EVENT_ROWS = """event_rows AS (
 
 WIDE = f"""{_EVENT_ROWS}, wide_base AS (
   SELECT eid AS recipe_id, event_type || ' ' || uid AS title,
-    CASE WHEN event_type <> 'view' THEN props END AS description,
+    CASE WHEN event_id % 7 <> 0 THEN props END AS description,
     event_type || ' | user ' || uid || ' | ' || props AS instructions_text,
     [event_type, 'user ' || uid, 'item ' || k] AS ingredients_raw,
-    CASE WHEN event_type <> 'error' THEN [event_type, ' Item ' || k || ' ', 'user ' || uid, '  '] END AS ingredients_validated,
-    CASE WHEN event_type <> 'error' THEN 4 ELSE 0 END AS n_ingredients_validated,
-    CASE WHEN event_type <> 'purchase' THEN CAST(floor(k / 10) AS INTEGER) END AS n_steps,
-    CASE WHEN event_type <> 'signup' THEN k END AS cook_minutes,
-    CASE WHEN event_type <> 'click' THEN 'https://img.example.org/' || eid || '.jpg' END AS image_url,
-    CASE WHEN event_type <> 'click'
+    CASE WHEN event_id % 7 <> 3 THEN [event_type, ' Item ' || k || ' ', 'user ' || uid, '  '] END AS ingredients_validated,
+    CASE WHEN event_id % 7 <> 3 THEN 4 ELSE 0 END AS n_ingredients_validated,
+    CASE WHEN event_id % 7 <> 2 THEN CAST(floor(k / 10) AS INTEGER) END AS n_steps,
+    CASE WHEN event_id % 7 <> 4 THEN k END AS cook_minutes,
+    CASE WHEN event_id % 7 <> 1 THEN 'https://img.example.org/' || eid || '.jpg' END AS image_url,
+    CASE WHEN event_id % 7 <> 1
          THEN ['https://img.example.org/' || eid || '.jpg', 'https://img.example.org/none.jpg'] END AS image_urls,
-    event_type <> 'click' AS has_image,
+    event_id % 7 <> 1 AS has_image,
     'https://r.example.org/' || eid AS source_url,
-    CASE WHEN event_type <> 'error' THEN value END AS mit_energy_kcal,
-    CASE WHEN event_type IN ('error', 'signup') THEN value * 2 END AS kaggle_energy_kcal,
-    CASE WHEN event_type <> 'view' THEN [event_type, 'k' || CAST(floor(k / 10) AS INTEGER)] END AS tags,
-    CASE WHEN event_type <> 'error' THEN value * 0.1 END AS fat_g,
-    CASE WHEN event_type IN ('view', 'click') THEN value * 0.05 END AS protein_g,
-    CASE WHEN event_type <> 'error' THEN value * 0.01 END AS salt_g,
-    CASE WHEN event_type NOT IN ('error', 'signup') THEN value * 0.2 END AS saturates_g,
-    CASE WHEN event_type NOT IN ('error', 'purchase') THEN value * 0.5 END AS sugars_g
+    CASE WHEN event_id % 7 <> 3 THEN value END AS mit_energy_kcal,
+    CASE WHEN event_id % 7 > 2 THEN value * 2 END AS kaggle_energy_kcal,
+    CASE WHEN event_id % 7 <> 0 THEN [event_type, 'k' || CAST(floor(k / 10) AS INTEGER)] END AS tags,
+    CASE WHEN event_id % 7 <> 3 THEN value * 0.1 END AS fat_g,
+    CASE WHEN event_id % 7 NOT IN (2, 3) THEN value * 0.05 END AS protein_g,
+    CASE WHEN event_id % 7 <> 3 THEN value * 0.01 END AS salt_g,
+    CASE WHEN event_id % 7 NOT IN (3, 4) THEN value * 0.2 END AS saturates_g,
+    CASE WHEN event_id % 7 NOT IN (2, 3) THEN value * 0.5 END AS sugars_g
   FROM event_rows), wide AS (
   SELECT *, {TIME_SQL.format("cook_minutes")} AS cook_time_category,
     {SCORE_SQL.format("mit_energy_kcal")} AS nutri_score FROM wide_base)"""
@@ -145,7 +154,7 @@ def doc_title() -> Column:
 
 def raw_layer1(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split("text", "\n")
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         doc_title().alias("title"),
         F.concat(F.lit("https://d.example.org/"), "doc_id").alias("url"),
@@ -163,11 +172,11 @@ def raw_layer2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_det_ingrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the labelled documents, valid when longer than four characters."""
-    labelled = texts(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+    """Words of all documents, valid when longer than four characters; every third has an id that no recipe has."""
     words = F.split("text", " ")
-    return labelled.select(
-        F.col("doc_id").cast("string").alias("id"),
+    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    return table(spark, sf_dir, "documents").select(
+        own.alias("id"),
         _texts(words).alias("ingredients"),
         F.transform(words, lambda w: F.length(w) > 4).alias("valid"),
     )
@@ -220,9 +229,9 @@ STAGING = f"""layer1 AS (
     {KEY_SQL.format("upper(source) || ' ' || lang || '!'")} AS title_norm FROM documents),
 layer2 AS (SELECT CAST(page_id AS VARCHAR) AS id, url AS image_url, [url] AS image_urls, true AS has_image FROM pages),
 det_ingrs AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id,
+  SELECT CASE WHEN doc_id % 3 = 0 THEN 'x' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS id,
     [trim(lower(w), {SPACES}) for w in string_split(text, ' ') if length(w) > 4] AS ingredients_validated
-  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+  FROM documents),
 nutrition AS (
   SELECT {KEY_SQL.format("'src' || user_id || ' en'")} AS title_norm, min(value) AS energy_kcal FROM events GROUP BY 1),
 kaggle AS (

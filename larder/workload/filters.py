@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from larder import schemas
 from larder.constants import MACROS
 from larder.operators import filters, lookup, profile
 from larder.operators.charts import scatter_candidates
@@ -15,7 +17,7 @@ from larder.plans.ingest import stage_kaggle
 from larder.session import scratch
 from larder.sources.tables import export
 from larder.workload import bindings as b
-from larder.workload.registry import query, table, texts
+from larder.workload.registry import query, table
 
 FULL_STATE = {"nutri_scores": ["A", "B"], "cook_cats": ["rapide", "long"], "kcal_min": 20, "kcal_max": 150}
 
@@ -63,7 +65,7 @@ def f5(spark, sf):
     "SELECT doc_id FROM documents WHERE text ILIKE '%the_and%of%'",
 )
 def f5_wildcards(spark, sf):
-    return texts(spark, sf).filter(filters.holds_text("text", "the_and%of")).select("doc_id")
+    return table(spark, sf, "documents").filter(filters.holds_text("text", "the_and%of")).select("doc_id")
 
 
 @query(
@@ -81,20 +83,19 @@ def f6_zero(spark, sf):
     return b.main(spark, sf).filter(lookup.advanced_predicate(max_time=0, nutri_score="B")).select("recipe_id")
 
 
+_MASTER = (*schemas.RECIPES_MAIN.names, *MACROS)
+
+
 @query(
     "f7_all_columns_known",
-    """SELECT recipe_id FROM main LEFT JOIN details USING (recipe_id) WHERE description IS NOT NULL
-      AND ingredients_validated IS NOT NULL AND n_steps IS NOT NULL AND cook_minutes IS NOT NULL AND image_url IS NOT NULL
-      AND image_urls IS NOT NULL AND mit_energy_kcal IS NOT NULL AND kaggle_energy_kcal IS NULL AND nutri_score IS NOT NULL
-      AND tags IS NOT NULL AND fat_g IS NOT NULL AND salt_g IS NOT NULL""",
+    f"""SELECT recipe_id FROM main LEFT JOIN details USING (recipe_id)
+      WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _MASTER)}""",
     b.MAIN,
     b.DETAILS,
 )
 def f7(spark, sf):
     master = with_details(b.main(spark, sf), b.details(spark, sf))
-    rest = [c for c in master.columns if c not in ("kaggle_energy_kcal", "protein_g", "saturates_g", "sugars_g")]
-    known = filters.all_present(rest) & F.col("kaggle_energy_kcal").isNull()
-    return master.filter(known).select("recipe_id")
+    return master.filter(filters.all_present(master.columns)).select("recipe_id")
 
 
 @query(
@@ -171,7 +172,7 @@ def f13(spark, sf):
       WHERE length(trim(word)) > 1 GROUP BY word""",
 )
 def f14(spark, sf):
-    words = unnested(texts(spark, sf).select(F.split("text", " ").alias("w")), "w", "word", keep=[])
+    words = unnested(table(spark, sf, "documents").select(F.split("text", " ").alias("w")), "w", "word", keep=[])
     return words.filter(filters.long_enough("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -183,24 +184,32 @@ def l1(spark, sf):
     return top_values(table(spark, sf, "part"), "p_name", 15)
 
 
+def _numbered(ordered, *columns):
+    """The rows with their place in the delivered order, which ``limit`` keeps; the frame is a few rows."""
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.limit(1000).coalesce(1).select(*columns, place.alias("place"))
+
+
 @query(
     "l2_order_by_key",
-    "SELECT nutri_score, count(*) AS n FROM main WHERE nutri_score IS NOT NULL GROUP BY 1 ORDER BY 1",
+    """SELECT nutri_score, count(*) AS n, CAST(row_number() OVER (ORDER BY nutri_score) AS INTEGER) AS place
+      FROM main WHERE nutri_score IS NOT NULL GROUP BY 1""",
     b.MAIN,
 )
 def l2(spark, sf):
     known = b.main(spark, sf).filter(F.col("nutri_score").isNotNull())
-    return known.groupBy("nutri_score").agg(F.count("*").alias("n")).orderBy("nutri_score")
+    return _numbered(known.groupBy("nutri_score").agg(F.count("*").alias("n")).orderBy("nutri_score"), "nutri_score", "n")
 
 
 @query(
     "l3_custom_order",
-    """SELECT cook_time_category, count(*) AS n_recipes, round(avg(mit_energy_kcal), 1) AS mean_value
+    """SELECT cook_time_category, count(*) AS n_recipes, CAST(row_number() OVER (ORDER BY CASE cook_time_category
+        WHEN 'rapide' THEN 1 WHEN 'moyen' THEN 2 ELSE 3 END) AS INTEGER) AS place
       FROM main WHERE cook_time_category <> 'inconnu' GROUP BY 1""",
     b.MAIN,
 )
 def l3(spark, sf):
-    return profile.class_profile(b.main(spark, sf))
+    return _numbered(profile.class_profile(b.main(spark, sf)), "cook_time_category", "n_recipes")
 
 
 @query(
@@ -247,11 +256,17 @@ def l7(spark, sf):
     return b.main(spark, sf).select("recipe_id", "title").orderBy("recipe_id").limit(1)
 
 
-@query("l8_sorted_within_files", "SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1")
+@query("l8_sorted_within_files", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_unsorted FROM events")
 def l8(spark, sf):
+    """Rows of each written file in the order of its row numbers: none may come before its predecessor."""
     events = table(spark, sf, "events").select("event_id", "event_type").sortWithinPartitions("event_type", "event_id")
     written = export(events, scratch(spark, "l8"))
-    return written.groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+    row = F.struct("event_type", "event_id")
+    rows = written.select("event_type", "event_id", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag(row).over(Window.partitionBy("file").orderBy("at"))
+    return rows.select((before > row).alias("late")).agg(
+        F.count("*").alias("n"), F.count_if(F.coalesce("late", F.lit(False))).alias("n_unsorted")
+    )
 
 
 @query(
@@ -269,7 +284,7 @@ def d1(spark, sf):
     """SELECT min(doc_id) AS doc_id, md5(text) AS digest FROM documents GROUP BY text""",
 )
 def d1_text(spark, sf):
-    docs = texts(spark, sf).select("text", "doc_id")
+    docs = table(spark, sf, "documents").select("text", "doc_id")
     return keep_one(docs, ["text"]).select("doc_id", F.md5("text").alias("digest"))
 
 

@@ -13,7 +13,7 @@ from larder.operators.items import inverted_index, unnested
 from larder.plans.assemble import assemble
 from larder.plans.ingest import RESOURCES
 from larder.workload import bindings as b
-from larder.workload.registry import query, table, texts
+from larder.workload.registry import query, table
 
 
 @query(
@@ -58,7 +58,7 @@ def j2(spark, sf):
 @query("j2_spread_left_join", _J2, _TITLES)
 def j2_spread(spark, sf):
     parts = _parts(spark, sf)
-    hot = joins.frequent_values(parts, "title_norm", 16, width=64)
+    hot = joins.frequent_values(parts, "title_norm", width=64)
     joined = joins.spread_left_join(parts, _title_dim(spark, sf), "title_norm", "dim_key", hot, ["p_partkey"])
     return joined.select("p_partkey", F.coalesce("kcal", F.lit(-1.0)).alias("kcal"))
 
@@ -128,7 +128,7 @@ def j6(spark, sf):
     "SELECT doc_id, unnest(string_split(text, E'\\n')) AS line FROM documents",
 )
 def j7(spark, sf):
-    docs = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines"))
+    docs = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
     return unnested(docs, "lines", "line")
 
 
@@ -168,10 +168,10 @@ def a23(spark, sf):
 )
 def j9(spark, sf):
     nations = table(spark, sf, "nation").join(
-        joins.small_side(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf, "customer").select("c_nationkey")
-    joined = customers.join(joins.small_side(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.groupBy("r_name", "n_name").agg(F.count("*").alias("n_customers"))
 
 
@@ -185,10 +185,10 @@ def j9(spark, sf):
 def j3_star(spark, sf):
     """The base-and-dimensions shape of the catalog at volume: a fact table through four dimensions."""
     nations = table(spark, sf, "nation").join(
-        joins.small_side(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf, "customer").join(
-        joins.small_side(nations), F.col("c_nationkey") == F.col("n_nationkey")
+        nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
     orders = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     lines = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -222,7 +222,7 @@ _WORD_INDEX = f"""SELECT w AS ingredient, count(*) AS n, count(DISTINCT doc_id)
 
 @query("u1_inverted_index_of_texts", _WORD_INDEX)
 def u1_texts(spark, sf):
-    docs = texts(spark, sf).select("doc_id", F.split("text", " ").alias("words"))
+    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
     words = inverted_index(docs, "words", carry=["doc_id"])
     return words.groupBy("ingredient").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 

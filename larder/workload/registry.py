@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.sources.tables import spread
-
 Run = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Run] = {}
@@ -31,7 +29,3 @@ def query(name: str, body: str | None = None, *ctes: str) -> Callable[[Run], Run
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table of long texts, spread over the cores if it has few splits."""
-    return spread(table(spark, sf_dir, name))

@@ -50,7 +50,7 @@ MAIN_INDEX = _postings(
 
 
 @lru_cache(maxsize=8)
-def _stored(app: str, spark, sf: str, kind: str) -> search.TextIndex:
+def _stored(app: str, spark, sf: str, kind: str, version: tuple) -> search.TextIndex:
     return _create(spark, sf, kind)
 
 
@@ -63,7 +63,8 @@ def _create(spark, sf: str, kind: str) -> search.TextIndex:
 
 def _index(spark, sf: str, kind: str) -> search.TextIndex:
     """The stored index of this session; like a catalog's, it is built once and queried many times."""
-    return _stored(spark.sparkContext.applicationId, spark, sf, kind)
+    source = "documents" if kind == "documents" else "events"
+    return _stored(spark.sparkContext.applicationId, spark, sf, kind, b.version(spark, sf, source))
 
 
 @query(
@@ -79,7 +80,7 @@ def r1(spark, sf):
         F.sum("tf_text").alias("tf_text"), F.sum("tf_source").alias("tf_source"), F.sum("dl").alias("dl")
     )
     corpus = index.corpus
-    return sums.join(index.terms, "term").select(
+    return sums.join(index.terms.drop("idf"), "term").select(
         "*",
         corpus.select("n_docs").scalar().alias("n_docs"),
         F.round(corpus.select("avgdl").scalar(), 6).alias("avgdl"),

@@ -17,7 +17,7 @@ from larder.sources import tables as store
 from larder.sources.raw import read_csv_records, read_json_records
 from larder.streaming.incremental import append_new_files
 from larder.workload import bindings as b
-from larder.workload.registry import query, table, texts
+from larder.workload.registry import query, table
 
 _LAYER1 = "SELECT id, title_norm, n_steps, md5(instructions_text) AS steps, CAST(len(ingredients_raw) AS INTEGER) AS n_items FROM layer1"
 
@@ -44,11 +44,35 @@ def s1_array_lines(spark, sf):
     return _layer1_digest(ingest.stage_layer1(read_json_records(spark, path, schemas.RAW_LAYER1, "array_lines")))
 
 
+@query("s1_json_array_scan", _LAYER1, b.STAGING)
+def s1_array(spark, sf):
+    """Each file one JSON array over many lines, as the raw data set has it."""
+    path = scratch(spark, "s1")
+    raw = b.raw_layer1(spark, sf)
+    part = F.pmod(F.xxhash64("id"), F.lit(64))
+    records = raw.select(part.alias("part"), F.to_json(F.struct(*raw.columns), {"pretty": "true"}).alias("record"))
+    whole = records.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value"))
+    whole.repartition(64, "part").select("value", "part").write.partitionBy("part").text(path)
+    rows = read_json_records(spark, path, schemas.RAW_LAYER1, "array")
+    return _layer1_digest(ingest.stage_layer1(rows))
+
+
+@query("s2_csv_mixed_headers", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS minutes FROM customer")
+def s2_mixed(spark, sf):
+    """Files whose headers list the columns in different orders, in one folder."""
+    path = scratch(spark, "s2")
+    raw = b.raw_kaggle(spark, sf).select("id", F.col("description").alias("name"), "minutes")
+    for i, columns in enumerate((["id", "name", "minutes"], ["minutes", "id", "name"], ["name", "minutes", "id"])):
+        some = raw.filter(F.pmod(F.col("id").cast("long"), F.lit(3)) == i).select(*columns)
+        some.write.mode("append").option("header", True).csv(path)
+    return read_csv_records(spark, path, schemas.RAW_KAGGLE, multi_line=False).select("id", "name", "minutes")
+
+
 @query("s2_csv_scan", "SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS digest, '\"q\", ' || lang AS name FROM documents")
 def s2(spark, sf):
     """Whole texts as quoted CSV fields: they hold line breaks, and the names hold quotes and commas."""
     path = scratch(spark, "s2")
-    docs = texts(spark, sf).select(
+    docs = table(spark, sf, "documents").select(
         F.concat(F.lit('"q", '), "lang").alias("name"), F.col("doc_id").alias("id"), F.col("text").alias("description")
     )
     (
@@ -110,6 +134,19 @@ def s5(spark, sf):
     return lines.groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
+@query("s4_batch_then_stream", _LAYER1, b.STAGING)
+def s4_batch_then_stream(spark, sf):
+    """A batch load, a stream load and a batch load into one staging folder add up."""
+    source, staged, check = (scratch(spark, n) for n in ("s4-in", "s4-out", "s4-check"))
+    raw = b.raw_layer1(spark, sf)
+    stage = ingest.RESOURCES["layer1"].stage
+    store.write_staging(stage(raw.filter("partition = 'en'")), staged, "append")
+    raw.filter("partition = 'fr'").write.json(source)
+    append_new_files(spark, "layer1", source, staged, check)
+    store.write_staging(stage(raw.filter("partition NOT IN ('en', 'fr') OR partition IS NULL")), staged, "append")
+    return _layer1_digest(store.read_table(spark, staged))
+
+
 _BY_SCORE = "SELECT coalesce(nutri_score, 'none') AS score, count(*) AS n, min(title) AS first_title FROM main GROUP BY 1"
 
 
@@ -136,7 +173,7 @@ def s7_pruning(spark, sf):
 @query("s8_unpartitioned_sinks", "SELECT count(*) AS n_index, count(DISTINCT ingredient) AS n_items FROM item_index", b.MAIN, b.INDEX)
 def s8(spark, sf):
     path = scratch(spark, "s8")
-    store.export(inverted_index(b.fresh_main(spark, sf)), path)
+    store.write_clustered(inverted_index(b.fresh_main(spark, sf)), path, ["ingredient", "recipe_id"])
     written = store.read_table(spark, path)
     return written.agg(F.count("*").alias("n_index"), F.count_distinct("ingredient").alias("n_items"))
 
@@ -153,17 +190,26 @@ def s9(spark, sf):
     f"SELECT doc_id, {b.KEY_SQL.format('source')} AS title_norm, md5(text) AS digest FROM documents",
 )
 def s10(spark, sf):
-    docs = texts(spark, sf).select("doc_id", title_key("source").alias("title_norm"), F.md5("text").alias("digest"))
+    docs = table(spark, sf, "documents").select("doc_id", title_key("source").alias("title_norm"), F.md5("text").alias("digest"))
     return store.export(docs, scratch(spark, "s10"))
 
 
 @query(
     "s11_serving_views",
-    "SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY event_type",
+    """SELECT (SELECT count(*) FROM main) AS n_recipes, (SELECT count(*) FROM details) AS n_details,
+      ingredient, count(DISTINCT recipe_id) AS recipe_count FROM item_index GROUP BY ingredient""",
+    b.MAIN,
+    b.DETAILS,
+    b.INDEX,
 )
 def s11(spark, sf):
-    store.register_views({"s11_events": table(spark, sf, "events")})
-    return spark.sql("SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM s11_events GROUP BY event_type")
+    """The views that serve the published catalog."""
+    serving.register_catalog(spark, b.catalog(spark, sf).root)
+    return spark.sql(
+        """SELECT (SELECT count(*) FROM recipes) AS n_recipes, (SELECT count(fat_g) + count_if(fat_g IS NULL AND
+          coalesce(protein_g, salt_g, saturates_g, sugars_g) IS NOT NULL) FROM recipes) AS n_details,
+          ingredient, recipe_count FROM v_ingredient_catalog"""
+    )
 
 
 @query(
@@ -193,13 +239,17 @@ def s13(spark, sf):
 
 @query(
     "s13_schema_contract",
-    "SELECT count(*) AS n_rows, CAST(0 AS INTEGER) AS n_gaps FROM main",
+    "SELECT count(*) AS n_rows, CAST(0 AS INTEGER) AS n_gaps, CAST(2 AS INTEGER) AS n_gaps_when_broken FROM main",
     b.MAIN,
 )
 def s13_contract(spark, sf):
+    """The published columns against the contract, and again with one column gone and one of another type."""
     main = recipes_main(b.wide(spark, sf))
-    gaps = schemas.contract_gaps(main, schemas.RECIPES_MAIN)
-    return main.agg(F.count("*").alias("n_rows"), F.lit(len(gaps)).alias("n_gaps"))
+    broken = main.drop("title").withColumn("cook_minutes", F.col("cook_minutes").cast("string"))
+    gaps, found = (schemas.contract_gaps(df, schemas.RECIPES_MAIN) for df in (main, broken))
+    return main.agg(
+        F.count("*").alias("n_rows"), F.lit(len(gaps)).alias("n_gaps"), F.lit(len(found)).alias("n_gaps_when_broken")
+    )
 
 
 @query(

@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from larder.workload import load
 from tools.check_oracle import compare, connect
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -19,13 +20,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(load().QUERIES))
 def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, SF_DIR, name) == ""
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(load().ORACLES) == set(load().QUERIES)
 
 
 def test_entry(spark):

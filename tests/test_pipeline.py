@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.operators.dedupe import distinct_keys, first_seen, keep_one
+from larder.operators.filters import holds_text
 from larder.operators.items import owners_of_all, owners_of_any
 from larder.operators.joins import frequent_values, left_join_on, reassembled, spread_left_join
 from larder.plans import ingest, publish, serving
 from larder.plans.assemble import assemble, read_staging
+from larder.plans.ingest import RESOURCES
 from larder.plans.publish import Catalog, info, run
 from larder.plans.quality import quality_report
-from larder.sources.raw import read_json_records
+from larder.sources.raw import read_csv_records, read_json_records
 from larder.sources.tables import read_table, write_staging
 from larder.streaming.incremental import append_new_files
 
@@ -52,29 +54,29 @@ def test_main_contract(tables):
 
 def test_main_values(tables):
     main = by_id(tables[0])
-    cake, pasta, pie = main["abc111"], main["bcd222"], main["cde333"]
-    assert (cake.cook_minutes, cake.kaggle_energy_kcal, cake.mit_energy_kcal) == (45, 380.0, 350.0)
-    assert (cake.nutri_score, cake.cook_time_category) == ("D", "moyen")
-    assert cake.tags == ["dessert", "chocolate", "baking"]
-    assert cake.description == 'A "rich" cake,\nin two lines'
-    assert cake.image_urls == ["http://i.example/1a.jpg", "http://i.example/1b.jpg"]
-    assert cake.instructions_text == "Mix | Bake" and cake.n_steps == 2
-    assert cake.ingredients_validated == ["flour", "sugar", "eggs", "cocoa powder"]
-    assert (pasta.nutri_score, pie.nutri_score) == (None, "C")
-    assert (pasta.cook_time_category, pie.cook_time_category) == ("inconnu", "inconnu")
-    assert pasta.n_ingredients_validated == 2 and pasta.tags == []
+    bread, stew, tart = main["w01"], main["w02"], main["w03"]
+    assert (bread.cook_minutes, bread.kaggle_energy_kcal, bread.mit_energy_kcal) == (45, 331.0, 312.5)
+    assert (bread.nutri_score, bread.cook_time_category) == ("D", "moyen")
+    assert bread.tags == ["bread", "nuts", "slow"]
+    assert bread.description == 'A "dark" loaf,\nin two lines'
+    assert bread.image_urls == ["http://i.example/1a.jpg", "http://i.example/1b.jpg"]
+    assert bread.instructions_text == "Knead | Bake" and bread.n_steps == 2
+    assert bread.ingredients_validated == ["rye", "honey", "yeast", "walnut halves"]
+    assert (stew.nutri_score, tart.nutri_score) == (None, "C")
+    assert (stew.cook_time_category, tart.cook_time_category) == ("inconnu", "inconnu")
+    assert stew.n_ingredients_validated == 2 and stew.tags == []
     assert [main[i].has_image for i in sorted(main)] == [True, True, False]
-    assert pie.image_url is None and pie.cook_minutes is None
+    assert tart.image_url is None and tart.cook_minutes is None
 
 
 def test_index_and_details(tables):
     _, index, details = tables
-    assert rows(details.select("recipe_id")) == [("abc111",), ("cde333",)]
-    assert index.filter("ingredient = 'pie crust'").count() == 0
-    cake = {r["ingredient"] for r in index.filter("recipe_id = 'abc111'").collect()}
-    assert cake >= {"flour", "sugar", "eggs", "cocoa powder"}
-    assert rows(owners_of_all(index, ["flour", "sugar"])) == [("abc111",)]
-    assert rows(owners_of_any(index, ["flour", "sugar"])) == [("abc111",), ("cde333",)]
+    assert rows(details.select("recipe_id")) == [("w01",), ("w03",)]
+    assert index.filter("ingredient = 'tart shell'").count() == 0
+    bread = {r["ingredient"] for r in index.filter("recipe_id = 'w01'").collect()}
+    assert bread >= {"rye", "honey", "yeast", "walnut halves"}
+    assert rows(owners_of_all(index, ["rye", "honey"])) == [("w01",)]
+    assert rows(owners_of_any(index, ["rye", "honey"])) == [("w01",), ("w03",)]
 
 
 def test_partition_folder_of_unscored_recipes(spark, catalog):
@@ -96,7 +98,7 @@ def test_views(spark, catalog):
     assert full.columns[-5:] == ["fat_g", "protein_g", "salt_g", "sugars_g", "saturates_g"]
     assert full.count() == 3
     top = spark.sql("SELECT * FROM v_ingredient_catalog").first()
-    assert (top.ingredient, top.recipe_count) == ("sugar", 2)
+    assert (top.ingredient, top.recipe_count) == ("honey", 2)
 
 
 def test_dashboard_and_quality_report(tables):
@@ -104,10 +106,10 @@ def test_dashboard_and_quality_report(tables):
     charts = serving.dashboard(main, details, {"nutri_scores": ["D"], "kcal_min": 0, "kcal_max": 3500})
     assert rows(charts["score_counts"]) == [("D", 1)]
     assert rows(charts["class_counts"]) == [("long", 0), ("moyen", 1), ("rapide", 0)]
-    assert charts["macro_totals"].first().sugars_g == 42.0
-    assert rows(charts["top_tags"]) == [("baking", 1), ("chocolate", 1), ("dessert", 1)]
-    assert rows(charts["scatter"]) == [(8.0, 42.0, "D", "Chocolate Cake")]
-    assert rows(charts["kcal_histogram"].select("bin", "bin_start", "count")) == [(0, 350.0, 1)]
+    assert charts["macro_totals"].first().sugars_g == 6.5
+    assert rows(charts["top_tags"]) == [("bread", 1), ("nuts", 1), ("slow", 1)]
+    assert rows(charts["scatter"]) == [(1.75, 6.5, "D", "Walnut Bread")]
+    assert rows(charts["kcal_histogram"].select("bin", "bin_start", "count")) == [(0, 312.5, 1)]
     assert rows(serving.category_charts(main)) == [
         ("curve", "45", 1), ("score", "C", 1), ("score", "D", 1), ("time", "moyen", 1)
     ]
@@ -127,7 +129,7 @@ def test_staging_schemas(spark, tmp_path):
     }.items():
         assert schemas.contract_gaps(read_table(spark, paths[name]), contract) == [], name
     assert read_table(spark, paths["kaggle"]).first().kaggle_id is None
-    assert by_title(read_table(spark, paths["nutrition"]))["apple pie"].salt_g == 0.4
+    assert by_title(read_table(spark, paths["nutrition"]))["plum tart"].salt_g == 0.15
 
 
 def by_title(df):
@@ -138,11 +140,11 @@ def test_assembly_of_json_text_staging(spark):
     wide = assemble(staging(spark))
     assert wide.count() == 3 and "energy_kcal" not in wide.columns and "mit_energy_kcal" in wide.columns
     got = {r["id"]: r for r in wide.collect()}
-    assert got["abc111"].ingredients_raw == ["flour", "sugar"]
-    assert got["cde333"].image_url is None and got["bcd222"].cook_minutes is None
-    assert got["abc111"].n_steps == 2
+    assert got["w01"].ingredients_raw == ["rye", "honey"]
+    assert got["w03"].image_url is None and got["w02"].cook_minutes is None
+    assert got["w01"].n_steps == 2
     published = {r["recipe_id"]: r for r in publish.enriched(wide).collect()}
-    assert published["abc111"].nutri_score == "D" and published["cde333"].has_image is False
+    assert published["w01"].nutri_score == "D" and published["w03"].has_image is False
 
 
 def test_append_twice_gives_the_same_catalog(spark, tmp_path, tables):
@@ -180,7 +182,7 @@ def test_layer2_flags(spark, tmp_path):
     (tmp_path / "l2.json").write_text(json.dumps(LAYER2 + [{"id": "x", "images": []}, {"id": "y"}]))
     raw = read_json_records(spark, str(tmp_path / "l2.json"), schemas.RAW_LAYER2)
     got = {r["id"]: r for r in ingest.stage_layer2(raw).collect()}
-    assert got["abc111"].image_url == "http://i.example/1a.jpg" and got["abc111"].has_image
+    assert got["w01"].image_url == "http://i.example/1a.jpg" and got["w01"].has_image
     assert (got["x"].image_url, got["x"].image_urls, got["x"].has_image) == (None, [], False)
     assert (got["y"].image_url, got["y"].image_urls, got["y"].has_image) == (None, [], False)
 
@@ -188,8 +190,8 @@ def test_layer2_flags(spark, tmp_path):
 def test_det_ingrs_and_nutrition(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps(DET))
     det = ingest.stage_det_ingrs(read_json_records(spark, str(tmp_path / "d.json"), schemas.RAW_DET_INGRS))
-    pasta = det.filter("id = 'bcd222'").first()
-    assert pasta.ingredients_validated == ["pasta", "ground beef"] and pasta.n_ingredients_validated == 2
+    stew = det.filter("id = 'w02'").first()
+    assert stew.ingredients_validated == ["lentils", "smoked ham"] and stew.n_ingredients_validated == 2
     (tmp_path / "n.json").write_text(json.dumps(NUTRITION + [{"title": None}]))
     nutr = ingest.stage_nutrition(read_json_records(spark, str(tmp_path / "n.json"), schemas.RAW_NUTRITION))
     none = by_title(nutr)[""]
@@ -236,17 +238,17 @@ def test_spread_join_equals_plain_join_under_skew(spark):
     dim = dim.union(spark.createDataFrame([("", 99), (None, 77)], "d string, v bigint"))
     want = rows(left_join_on(base, dim, "t", "d"))
     assert len(want) == 3000
-    for n in (1, 8):
-        hot = frequent_values(base, "t", n, width=32)
+    for width in (2, 32, 500):
+        hot = frequent_values(base, "t", width=width)
         assert rows(spread_left_join(base, dim, "t", "d", hot, ["id"])) == want
-    assert rows(frequent_values(base, "t", 1, width=28)) == [("", 10)]
+    assert rows(frequent_values(base, "t", width=28)) == [("", 10)]
 
 
 def test_untitled_recipes(spark):
     frames = staging(spark)
     frames["layer1"] = frames["layer1"].withColumn("title_norm", F.lit(""))
     frames["nutrition"] = frames["nutrition"].withColumn("title_norm", F.lit(""))
-    assert assemble(frames).filter("mit_energy_kcal = 237.0").count() == 3
+    assert assemble(frames).filter("mit_energy_kcal = 214.0").count() == 3
     assert assemble(frames, drop_empty_keys=True).filter("mit_energy_kcal is not null").count() == 0
 
 
@@ -258,8 +260,8 @@ def test_reassembled_lists(spark):
 def test_int_overflow_becomes_null(spark):
     frames = staging(spark)
     frames["kaggle"] = frames["kaggle"].withColumn("cook_minutes", F.lit(2147483648))
-    cake = publish.enriched(assemble(frames)).filter("recipe_id = 'abc111'").first()
-    assert cake.cook_minutes is None and cake.cook_time_category in ("inconnu", "long")
+    bread = publish.enriched(assemble(frames)).filter("recipe_id = 'w01'").first()
+    assert (bread.cook_minutes, bread.cook_time_category) == (None, "inconnu")
 
 
 def test_stream_appends_each_file_once(spark, tmp_path):
@@ -271,11 +273,51 @@ def test_stream_appends_each_file_once(spark, tmp_path):
         append_new_files(spark, "layer1", str(source), target, check)
     staged = read_table(spark, target)
     assert schemas.contract_gaps(staged, schemas.LAYER1) == []
-    assert rows(staged.select("id")) == [("abc111",), ("bcd222",), ("cde333",)]
+    assert rows(staged.select("id")) == [("w01",), ("w02",), ("w03",)]
     with pytest.raises(ValueError):
         append_new_files(spark, "kaggle", str(source), target, check)
 
 
+def test_batch_and_stream_appends_add_up(spark, tmp_path):
+    source, target, check = tmp_path / "in", str(tmp_path / "staged"), str(tmp_path / "check")
+    source.mkdir()
+
+    def batch(row):
+        raw = read_json_records(spark, _lines(tmp_path, [row]), schemas.RAW_LAYER1, "lines")
+        write_staging(RESOURCES["layer1"].stage(raw), target, "append")
+
+    batch(LAYER1[0])
+    (source / "1.json").write_text(json.dumps(LAYER1[1]) + "\n")
+    append_new_files(spark, "layer1", str(source), target, check)
+    batch(LAYER1[2])
+    assert rows(read_table(spark, target).select("id")) == sorted((r["id"],) for r in LAYER1)
+    frames = staging(spark)
+    frames["layer1"] = read_table(spark, target)
+    assert assemble(frames).count() == len(LAYER1)
+
+
+def _lines(folder, records):
+    path = folder / f"lines-{len(list(folder.iterdir()))}.json"
+    path.write_text("".join(json.dumps(r) + "\n" for r in records))
+    return str(path)
+
+
+def test_each_csv_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,id,minutes\n"pie, ""big""",1,10\n')
+    (tmp_path / "b.csv").write_text("id,minutes,name\n2,20,cake\n")
+    (tmp_path / "c d.csv").write_text("minutes,name\n30,soup\n")
+    (tmp_path / "e.csv").write_text("")
+    for multi_line in (True, False):
+        found = read_csv_records(spark, str(tmp_path), schemas.RAW_KAGGLE, multi_line).select("name", "id", "minutes", "tags")
+        assert rows(found) == sorted([('pie, "big"', "1", "10", None), ("cake", "2", "20", None), ("soup", None, "30", None)], key=repr)
+
+
+def test_backslashes_are_text(spark):
+    df = spark.createDataFrame([("a\\b",), ("a\\",), ("ab",)], "t string")
+    assert rows(df.filter(holds_text("t", "\\"))) == [("a\\",), ("a\\b",)]
+    assert rows(df.filter(holds_text("t", "a\\B"))) == [("a\\b",)]
+
+
 def test_unknown_options(spark, tmp_path):
     with pytest.raises(ValueError):
         read_json_records(spark, "x", schemas.RAW_LAYER1, "other")

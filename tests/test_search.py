@@ -94,7 +94,8 @@ def test_composite_search(main, index):
 
 
 def test_index_tables(index):
-    assert index.corpus.first().asDict() == {"n_docs": 6, "avgdl": 4.0}
+    made = index.corpus.first()
+    assert (made.n_docs, made.avgdl, made.key, made.fields) == (6, 4.0, "recipe_id", ["title", "ingredients_raw"])
     assert index.terms.filter("term = 'tomato'").first().df == 2
     row = index.postings.filter("term = 'tomato' and recipe_id = '2'").first()
     assert (row.tf_title, row.tf_ingredients_raw, row.dl) == (1, 1, 6)
@@ -106,6 +107,23 @@ def test_digits_can_be_left_out(spark):
     assert [r.term for r in index.postings.collect()] == ["up"]
 
 
+def test_a_reopened_index_keeps_its_settings(spark):
+    df = spark.createDataFrame([(1, "Routes 66"), (2, "Route x"), (3, None)], "id long, t string")
+    path = scratch(spark, "idx")
+    search.create_index(df, path, "id", ("t",), "[a-z]+", "none")
+    again = search.open_index(spark, path)
+    assert (again.key, again.fields, again.pattern, again.stemmer) == ("id", ("t",), "[a-z]+", "none")
+    assert search.query_terms(spark, "routes 66", again.pattern, again.stemmer) == ["routes"]
+    assert [r["id"] for r in search.bm25(again, "routes 66").collect()] == [1]
+    assert again.terms.count() == 3 and again.corpus.first()["n_docs"] == 3
+
+
+def test_an_index_of_nothing_finds_nothing(spark):
+    df = spark.createDataFrame([], "id long, t string")
+    index = search.create_index(df, scratch(spark, "idx"), "id", ("t",))
+    assert search.bm25(index, "any word").count() == 0
+
+
 def test_substring_search(spark, main):
     items = main.select("recipe_id", F.explode("ingredients_raw").alias("ingredient"))
 
