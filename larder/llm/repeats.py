@@ -8,16 +8,18 @@ place, so strings that can be equal are first brought together:
 2. Only anchors that occur twice go on. The bytes of an anchor's consecutive windows are its context. Equal contexts are
    one context with a count, wherever they stand; all their windows repeat.
 3. Different contexts of an anchor meet in one buffer. Their windows' suffix order and longest previous factors there show
-   which windows have an equal one. Windows of different anchors differ, so the answer is exact for the whole corpus.
+   which windows have an equal one, or an earlier one. Windows of different anchors differ, so the answer is exact for the
+   whole corpus.
 4. An anchor with more than ``CONTEXTS`` different contexts is not brought together: its windows are counted by their
    128-bit hash, which is combined before the shuffle.
 
-Offsets are bytes of the UTF-8 text throughout; what is removed is decided on the input.
+``keep="first"`` removes later copies and keeps the first, in the order of key, hash and place; ``keep="none"`` removes
+every copy. Offsets are bytes of the UTF-8 text throughout; what is removed is decided on the input.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,24 +106,24 @@ def _anchor_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 CONTEXT = pa.schema(
     [
-        ("anchor", pa.int64()), ("c", pa.binary()), ("context", pa.binary()), ("d", pa.binary()), ("starts", pa.list_(pa.int64()))
+        ("anchor", pa.int64()), ("c", pa.binary()), ("context", pa.binary()), ("d", pa.binary()), ("o", pa.int64()),
+        ("starts", pa.list_(pa.int64())),
     ]
 )
 
 
 def _context_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``d, text, repeated anchors`` to the contexts of these anchors; equal ones of a text are one row."""
+    """Rows ``d, text, repeated anchors, o`` to the contexts of these anchors; equal ones of a text are one row."""
     for part in parts:
         for i in range(0, part.num_rows, 256):
             some, rows = part.slice(i, 256), []
-            for d, text, known in zip(
-                some.column(0).to_pylist(), texts_of(some.column(1)), some.column(2).to_pylist(), strict=True
-            ):
+            lists = (some.column(0).to_pylist(), texts_of(some.column(1)), *(some.column(k).to_pylist() for k in (2, 3)))
+            for d, text, known, o in zip(*lists, strict=True):
                 h, first, last = anchors(text)
                 own: dict[tuple[int, bytes], list[int]] = {}
                 for k in np.flatnonzero(np.isin(h, np.array(known, np.int64))).tolist():
                     own.setdefault((int(h[k]), text[first[k] : last[k] + LENGTH]), []).append(int(first[k]))
-                rows += [(a, xxhash.xxh3_128_digest(c), c, d, starts) for (a, c), starts in own.items()]
+                rows += [(a, xxhash.xxh3_128_digest(c), c, d, o, starts) for (a, c), starts in own.items()]
             columns = zip(*rows, strict=True) if rows else ((),) * len(CONTEXT)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, CONTEXT, strict=True)], schema=CONTEXT)
 
@@ -136,8 +138,8 @@ def _spans(flags: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def _repeated_windows(contexts: list[bytes]) -> list[list[int]]:
-    """For each context the places of windows that have an equal one among all windows of all contexts."""
+def _repeated_windows(contexts: list[bytes], later: bool) -> list[list[int]]:
+    """For each context the places of windows that have an equal one among all windows, or an earlier one if ``later``."""
     text = np.frombuffer(b"".join(contexts), np.uint8)
     sizes = np.array([len(c) for c in contexts])
     begins = np.cumsum(sizes) - sizes
@@ -147,29 +149,32 @@ def _repeated_windows(contexts: list[bytes]) -> list[list[int]]:
     flags = np.zeros(len(text), bool)
     # A window that shares no rank has shorter factors than LENGTH, so the arrays are needed for the others only.
     shared = np.intersect1d(starts, ranks.shared, assume_unique=True)
-    for order in (shared, -shared):
+    for order in (shared,) if later else (shared, -shared):
         flags[shared[longest_previous_factors(ranks, shared, order) >= LENGTH]] = True
     return [_spans(flags[b : b + w]) for b, w in zip(begins.tolist(), windows.tolist(), strict=True)]
 
 
-def _compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``anchor, c, context`` in the order of the anchor; anchors are brought together until a buffer is full."""
-    waiting: list[tuple[int, bytes, bytes]] = []
-    size = 0
+def _comparison(later: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows ``anchor, c, context``, an anchor's in the order of time; anchors are brought together up to a buffer."""
 
     def settled(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        spans = _repeated_windows([r[2] for r in rows]) if rows else []
+        spans = _repeated_windows([r[2] for r in rows], later) if rows else []
         columns = ([r[0] for r in rows], [r[1] for r in rows], spans)
         return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, SPANS, strict=True)], schema=SPANS)
 
-    for part in parts:
-        for row in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-            if size >= BUFFER and row[0] != waiting[-1][0]:
-                yield settled(waiting)
-                waiting, size = [], 0
-            waiting.append(row)
-            size += len(row[2])
-    yield settled(waiting)
+    def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[int, bytes, bytes]] = []
+        size = 0
+        for part in parts:
+            for row in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                if size >= BUFFER and row[0] != waiting[-1][0]:
+                    yield settled(waiting)
+                    waiting, size = [], 0
+                waiting.append(row)
+                size += len(row[2])
+        yield settled(waiting)
+
+    return task
 
 
 WINDOWS = pa.schema([("w", pa.binary()), ("anchor", pa.int64()), ("c", pa.binary()), ("at", pa.int32())])
@@ -185,11 +190,18 @@ def _window_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, WINDOWS, strict=True)], schema=WINDOWS)
 
 
-def _counted_windows(large: DataFrame) -> DataFrame:
-    """``anchor, c, spans`` for anchors with very many contexts: windows whose hash occurs twice."""
-    rows = materialise(large.mapInArrow(_window_rows, "w binary, anchor long, c binary, at int"), name="windows")
-    often = rows.groupBy("w").count().where("count > 1").select("w")
-    at = rows.join(often, "w", "left_semi").groupBy("anchor", "c").agg(F.collect_set("at").alias("at"))  # one context's windows
+def _counted_windows(large: DataFrame, later: bool) -> DataFrame:
+    """``anchor, c, spans`` for anchors with very many contexts: windows whose hash occurs twice, or has been before."""
+    rows = large.select("anchor", "c", "context").mapInArrow(_window_rows, "w binary, anchor long, c binary, at int")
+    rows = materialise(rows, name="windows")
+    if later:
+        rows = rows.join(large.select("anchor", "c", "first"), ["anchor", "c"])
+        rows = rows.withColumn("time", F.struct("first.o", "first.d", (F.col("first.start") + F.col("at")).alias("start")))
+        least = rows.groupBy("w").agg(F.count("*").alias("n"), F.min("time").alias("least")).where("n > 1")
+        rows = rows.join(least, "w").where("time > least")
+    else:
+        rows = rows.join(rows.groupBy("w").count().where("count > 1").select("w"), "w", "left_semi")
+    at = rows.groupBy("anchor", "c").agg(F.collect_set("at").alias("at"))  # one context's windows
     return at.select("anchor", "c", F.flatten(F.transform("at", lambda i: F.array(i, i))).cast("array<long>").alias("spans"))
 
 
@@ -216,8 +228,9 @@ def _kept_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 windows = [
                     (start + a, start + b)
                     for f in found
-                    for start in f["starts"]
-                    for a, b in zip(f["spans"][::2], f["spans"][1::2], strict=True)
+                    for starts, spans in ((f["starts"], f["spans"]), (f["again"], f["whole"]))
+                    for start in starts
+                    for a, b in zip(spans[::2], spans[1::2], strict=True)
                 ]
                 out.append(_rest(text, np.array(windows, np.int64).reshape(-1, 2)))
             removed, runs, kept = zip(*out, strict=True)
@@ -232,44 +245,59 @@ def _digest(text: Column) -> Column:
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
-    """``d, t, anchors``: distinct texts and those of their anchors that occur twice in all texts.
+    """``d, t, anchors, o``: distinct texts, those of their anchors that occur twice in all texts, and their least ``o``.
 
     A text is known by two independent 64-bit hashes here, so that its anchors and the text itself are dealt out alike.
     """
-    marked = texts.select(F.xxhash64("t").alias("x"), F.xxhash64(F.lit(1), "t").alias("y"), "t")
+    marked = texts.select(F.xxhash64("t").alias("x"), F.xxhash64(F.lit(1), "t").alias("y"), "t", "o")
     copy = scratch(texts.sparkSession, "anchors")
-    rows = materialise(marked.mapInArrow(_anchor_rows, "anchor long, x long, y long, twice boolean"), copy)
+    rows = materialise(marked.select("x", "y", "t").mapInArrow(_anchor_rows, "anchor long, x long, y long, twice boolean"), copy)
     # Copies of a text have its anchors too; they are settled by the text's count.
     least = rows.groupBy("anchor").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x", "y")), F.max("twice").alias("twice"))
     again = least.where("twice OR min_x <> max_x OR min_y <> max_y").select("anchor")
     own = rows.join(again, "anchor", "left_semi").groupBy("x", "y").agg(F.collect_set("anchor").alias("anchors"))
-    distinct = marked.groupBy("x", "y").agg(F.first("t").alias("t"))
-    held = materialise(distinct.join(own, ["x", "y"]).select(_digest(F.col("t")).alias("d"), "t", "anchors"), name="repeat-texts")
+    distinct = marked.groupBy("x", "y").agg(F.first("t").alias("t"), F.min("o").alias("o"))
+    held = materialise(distinct.join(own, ["x", "y"]).select(_digest(F.col("t")).alias("d"), "t", "anchors", "o"), name="repeat-texts")
     remove(texts.sparkSession, copy)
     return held
 
 
-def removals(texts: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
+def removals(texts: DataFrame, contexts: int = CONTEXTS, keep: str = "none") -> DataFrame:
     """``d, n_removed, n_spans, kept`` for each distinct text ``t`` (its SHA-256 ``d``) with a repeated window.
 
-    ``kept`` is the rest after every byte that a repeat covers has gone, first occurrences included.
+    ``texts`` has ``t`` and ``o``, the order in which first copies are told. ``kept`` is the rest after every byte that a
+    repeat covers has gone.
     """
+    later = {"none": False, "first": True}[keep]
     held = _occurrences(texts)
-    found = materialise(held.mapInArrow(_context_rows, "anchor long, c binary, context binary, d binary, starts array<long>"), name="contexts")
-    each = found.groupBy("anchor", "c").agg(F.sum(F.size("starts")).alias("n"), F.first("context").alias("context"))
+    columns = "anchor long, c binary, context binary, d binary, o long, starts array<long>"
+    found = materialise(held.select("d", "t", "anchors", "o").mapInArrow(_context_rows, columns), name="contexts")
+    first = F.min(F.struct("o", "d", F.col("starts")[0].alias("start"))).alias("first")
+    each = found.groupBy("anchor", "c").agg(F.sum(F.size("starts")).alias("n"), F.first("context").alias("context"), *([first] if later else []))
     each = materialise(each, name="distinct-contexts")
     per_anchor = each.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least"))
-    mixed = each.join(per_anchor.where("m > 1 AND least = 1"), "anchor")
-    small = mixed.where(F.col("m") <= contexts).select("anchor", "c", "context")
-    small = small.repartition("anchor").sortWithinPartitions("anchor")
-    large = mixed.where(F.col("m") > contexts).select("anchor", "c", "context")
-    some = small.mapInArrow(_compared, "anchor long, c binary, spans array<long>").unionByName(_counted_windows(large))
-    # All windows of a context that occurs twice repeat, whatever the comparison has found of them.
-    whole = F.array(F.lit(0).cast("long"), F.octet_length("context").cast("long") - LENGTH)
-    full = each.where("n > 1").select("anchor", "c", whole.alias("spans"))
-    some = some.where(F.size("spans") > 0).join(full.select("anchor", "c"), ["anchor", "c"], "left_anti")
-    hits = found.select("anchor", "c", "d", "starts").join(full.unionByName(some), ["anchor", "c"])
-    by_text = hits.groupBy("d").agg(F.collect_list(F.struct("starts", "spans")).alias("found"))
+    # Without a first copy to keep, contexts that occur twice need no comparison, unless others may equal parts of them.
+    mixed = each.join(per_anchor if later else per_anchor.where("m > 1 AND least = 1"), "anchor")
+    small = mixed.where(F.col("m") <= contexts).repartition("anchor").sortWithinPartitions("anchor", *(["first"] if later else []))
+    some = small.select("anchor", "c", "context").mapInArrow(_comparison(later), "anchor long, c binary, spans array<long>")
+    some = some.unionByName(_counted_windows(mixed.where(F.col("m") > contexts), later)).where(F.size("spans") > 0)
+    none, whole = F.array().cast("array<long>"), F.array(F.lit(0).cast("long"), F.octet_length("context").cast("long") - LENGTH)
+    if later:
+        # The first occurrence loses what has been before, all others of the same context are copies of it.
+        spans = each.withColumn("whole", whole).drop("context", "n").join(some, ["anchor", "c"], "left")
+        hits = found.drop("context").join(spans, ["anchor", "c"])
+        own = (F.col("first.o") == F.col("o")) & (F.col("first.d") == F.col("d"))
+        hits = hits.select(
+            "d", F.when(own, F.slice("starts", 1, 1)).otherwise(none).alias("starts"), F.coalesce("spans", none).alias("spans"),
+            F.when(own, F.expr("slice(starts, 2, size(starts))")).otherwise(F.col("starts")).alias("again"), "whole",
+        )
+    else:
+        # All windows of a context that occurs twice repeat, whatever the comparison has found of them.
+        full = each.where("n > 1").select("anchor", "c", whole.alias("spans"))
+        spans = full.unionByName(some.join(full.select("anchor", "c"), ["anchor", "c"], "left_anti"))
+        hits = found.select("anchor", "c", "d", "starts").join(spans, ["anchor", "c"])
+        hits = hits.select("d", "starts", "spans", none.alias("again"), none.alias("whole"))
+    by_text = hits.groupBy("d").agg(F.collect_list(F.struct("starts", "spans", "again", "whole")).alias("found"))
     return held.select("d", "t").join(by_text, "d").mapInArrow(_kept_rows, KEPT)
 
 
@@ -279,16 +307,19 @@ def _marked(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.select("doc_id", "t", _digest(F.col("t")).alias("d"), F.octet_length("t").cast("long").alias("n_bytes"))
 
 
-def _changed(marked: DataFrame, contexts: int, kept: Column) -> DataFrame:
-    """``d, copied, n_removed, n_spans, kept`` for texts that repeat or hold a repeat; ``kept`` is made of the rest."""
+def _changed(marked: DataFrame, contexts: int, kept: Column, keep: str = "none") -> DataFrame:
+    """``d, n_copies, least, n_removed, n_spans, kept`` for texts that repeat or hold a repeat; ``kept`` is made of the rest."""
     long = marked.where(F.col("n_bytes") >= LENGTH)
-    copies = long.groupBy("d").count().where("count > 1").select("d", F.lit(True).alias("copied"))
-    return removals(long.select("t"), contexts).withColumn("kept", kept).join(copies, "d", "full")
+    copies = long.groupBy("d").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("least")).where("n_copies > 1")
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("o")
+    return removals(long.select("t", order), contexts, keep).withColumn("kept", kept).join(copies, "d", "full")
 
 
-def _settled(marked: DataFrame, changed: DataFrame, whole: Column, none: Column) -> DataFrame:
-    """A text that occurs twice is removed whole; one without any repeat stays ``whole``."""
-    copied = F.coalesce("copied", F.lit(False))
+def _settled(marked: DataFrame, changed: DataFrame, whole: Column, none: Column, keep: str = "none") -> DataFrame:
+    """A text that occurs twice is removed whole, but for the first if it is kept; one without any repeat stays ``whole``."""
+    copied = F.coalesce(F.col("n_copies") > 1, F.lit(False))
+    if keep == "first":
+        copied &= ~F.col("doc_id").eqNullSafe(F.col("least"))
     return marked.join(changed, "d", "left").select(
         "doc_id", "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
@@ -297,22 +328,26 @@ def _settled(marked: DataFrame, changed: DataFrame, whole: Column, none: Column)
     )
 
 
-def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", contexts: int = CONTEXTS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", contexts: int = CONTEXTS, keep: str = "first"
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` for each row of ``docs``; ``kept`` is the remaining text as bytes.
 
     Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere, in the same or another document, is
-    removed. Nulls count as empty texts; texts shorter than LENGTH stay whole; rows with equal texts are copies of each
-    other, also if their keys are equal or null. An empty table gives an empty result. Other columns are not read.
+    removed; with ``keep="first"`` only where that string has started before, by key (a number), then by the text's hash,
+    then by place. Nulls count as empty texts, a null key comes last; texts shorter than LENGTH stay whole; rows with equal
+    texts are copies of each other, and rows that share their key too fare alike. An empty table gives an empty result.
+    Other columns are not read.
 
     Texts are shuffled, copies as one. A text's own anchors and contexts meet in one row, as the text itself does;
     nothing else that can grow with the number of documents meets in one task.
     """
     marked = _marked(docs, text, key)
-    return _settled(marked, _changed(marked, contexts, F.col("kept")), F.col("t"), F.lit(b""))
+    return _settled(marked, _changed(marked, contexts, F.col("kept"), keep), F.col("t"), F.lit(b""), keep)
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """As ``without_repeats``, with the SHA-256 of the remaining bytes, so texts without repeats are not moved again."""
+    """As ``without_repeats`` keeping no copy, with the SHA-256 of the remaining bytes, so texts without repeats are not moved again."""
     marked = _marked(docs, text, key)
     changed = _changed(marked, CONTEXTS, F.sha2("kept", 256))
     out = _settled(marked.drop("t"), changed, F.lower(F.hex("d")), F.sha2(F.lit(b""), 256))

@@ -140,3 +140,49 @@ def edits(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
 def _third(n: Column) -> Column:
     return F.floor(n / 3).cast("int")
+
+
+def length_bounds(least: float, most: int = 1 << 31) -> list[int]:
+    """Where the partitions of set lengths begin: sets as like as ``least`` lie in the same or in neighbouring ones."""
+    bounds = [1]
+    while bounds[-1] <= most:
+        bounds.append(int(bounds[-1] / least + 1e-9) + 1)
+    return bounds
+
+
+def similar_pairs(fingerprints: DataFrame, least: float = 0.8, key: str = "doc_id", sigs: str = "sigs") -> tuple[DataFrame, DataFrame]:
+    """Pairs of distinct fingerprints of a likeness of ``least`` or more, and which document has which.
+
+    Returns ``a, b, likeness`` over classes of equal fingerprints (a < b), and ``doc_id, class``. Empty fingerprints are
+    a class of their own without pairs; nulls count as empty. An empty table gives empty results.
+
+    Sets are partitioned by length, and only the same and the next partition are compared. Within them, two sets that
+    are alike share one of their rarest signatures, of which each has n - least * n + 1 to look at; position and length
+    then bound the overlap before any set is intersected. Copies are one class, so they are not expanded into pairs; a
+    signature of very many documents is nobody's rarest unless its sets have hardly any others.
+    """
+    rows = fingerprints.select(F.col(quoted(key)).alias("doc_id"), F.coalesce(F.col(quoted(sigs)), F.array().cast("array<int>")).alias("s"))
+    rows = rows.withColumn("class", F.xxhash64("s"))
+    sets = rows.where(F.size("s") > 0).groupBy("class").agg(F.first("s").alias("s"))
+    sets = materialise(sets, name="fingerprints")
+    each = sets.select("class", F.size("s").alias("n"), F.explode("s").alias("sig"))
+    rarity = each.groupBy("sig").agg(F.count("*").alias("c"))
+    ordered = F.array_sort(F.collect_list(F.struct("c", "sig")))  # one fingerprint's own signatures
+    ranked = each.join(rarity, "sig").groupBy("class", "n").agg(ordered.alias("r"))
+    # One millionth against rounding: looking at one more signature loses nothing.
+    first = F.slice("r", F.lit(1), F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * least - 1e-6).cast("int") + 1))
+    part = F.size(F.filter(F.lit(length_bounds(least)), lambda b: b <= F.col("n")))
+    keys = ranked.select("class", "n", part.alias("part"), F.posexplode(F.transform(first, lambda x: x["sig"])).alias("at", "sig"))
+    keys = materialise(keys, name="rare-signatures")
+
+    longer = keys.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("at").alias("to"), "sig", F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("part"))
+    met = keys.withColumnRenamed("class", "a").join(longer, ["part", "sig"])
+    rest = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("to"))
+    alike = (F.col("n") >= F.col("m") * least - 1e-6) & (rest >= (F.col("n") + F.col("m")) * (least / (1 + least)) - 1e-6)
+    # The shorter set asks the longer; sets of one length ask by class.
+    asks = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("a") < F.col("b")))
+    pairs = met.where(asks & alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    whole = sets.select(F.col("class").alias("b"), F.col("s").alias("s2"))
+    found = pairs.join(sets.withColumnRenamed("class", "a"), "a").join(whole, "b")
+    found = found.select("a", "b", likeness(F.col("s"), F.col("s2"), least).alias("likeness")).where(F.col("likeness") >= least)
+    return found, rows.select("doc_id", "class")

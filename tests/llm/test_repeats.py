@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
@@ -22,11 +23,36 @@ def brute(texts):
         yield len(t), int(gone.sum()), runs, np.frombuffer(t, np.uint8)[~gone].tobytes()
 
 
+def brute_first(rows):
+    """Rows in the order of key and hash; a window stays where it has not been before."""
+    order = sorted({(k is None, k or 0, hashlib.sha256(t.encode()).digest(), t.encode()) for k, t in rows})
+    seen, gone_of = set(), {}
+    for no, k, _, t in order:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if t[i : i + 400] in seen:
+                gone[i : i + 400] = True
+            seen.add(t[i : i + 400])
+        gone_of[None if no else k, t] = gone
+    for k, t in rows:
+        gone, raw = gone_of[k, t.encode()], t.encode()
+        runs = sum(1 for i in range(len(raw)) if gone[i] and (i == 0 or not gone[i - 1]))
+        yield k, (len(raw), int(gone.sum()), runs, np.frombuffer(raw, np.uint8)[~gone].tobytes())
+
+
+@pytest.mark.parametrize("contexts", [repeats.CONTEXTS, 1])
+def test_first_copies_stay(docs, rows, contexts):
+    expected = sorted(brute_first([(k, t or "") for k, t, _ in rows]), key=repr)
+    found = repeats.without_repeats(docs, contexts=contexts, keep="first")
+    ours = [(r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))) for r in found.collect()]
+    assert sorted(ours, key=repr) == expected
+
+
 @pytest.mark.parametrize("contexts", [repeats.CONTEXTS, 1])
 def test_all_texts(docs, rows, contexts):
     keys = [k for k, _, _ in rows]
     expected = sorted(zip(keys, brute([(t or "").encode() for _, t, _ in rows]), strict=True), key=repr)
-    found = repeats.without_repeats(docs, contexts=contexts)
+    found = repeats.without_repeats(docs, contexts=contexts, keep="none")
     ours = [(r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))) for r in found.collect()]
     assert sorted(ours, key=repr) == expected
     assert any(0 < r[1][1] < r[1][0] for r in ours)

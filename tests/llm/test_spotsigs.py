@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import random
 import re
 
 import pytest
@@ -62,3 +64,39 @@ def test_lengths_alone_prune_pairs(spark):
     pruned = frame.select(spotsigs.likeness(F.col("a"), F.col("b"), 0.8).alias("x")).collect()
     assert [r["x"] for r in exact] == [0.25, 1.0, 0.0, pytest.approx(1 / 3)]
     assert [r["x"] for r in pruned] == [0.0, 1.0, 0.0, pytest.approx(1 / 3)]
+
+
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_all_similar_pairs(spark, least):
+    rng = random.Random(17)
+    common = list(range(1000, 1006))  # signatures of nearly all sets
+    sets = []
+    for _ in range(40):
+        base = rng.sample(range(400), rng.choice([1, 2, 5, 9, 30]))
+        for _ in range(3):
+            own = set(base) | set(rng.sample(common, 4))
+            for _ in range(rng.randint(0, 4)):
+                own.symmetric_difference_update({rng.randrange(400)})
+            sets.append(sorted(own))
+    sets += [sets[0], sets[0], [], None, sorted(common)]
+    frame = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "doc_id long, sigs array<int>")
+    pairs, members = spotsigs.similar_pairs(frame, least)
+    of = {r["doc_id"]: r["class"] for r in members.collect()}
+    assert len(of) == len(sets) and of[0] == of[len(sets) - 5]
+    distinct = {of[i]: set(s) for i, s in enumerate(sets) if s}
+    expected = {
+        (min(a, b), max(a, b)): brute_likeness(distinct[a], distinct[b])
+        for a, b in itertools.combinations(distinct, 2)
+        if brute_likeness(distinct[a], distinct[b]) >= least
+    }
+    found = {(r["a"], r["b"]): r["likeness"] for r in pairs.collect()}
+    assert found == pytest.approx(expected) and len(expected) > 10
+
+
+def test_similar_pairs_of_texts(docs, no_docs):
+    marked = docs.select("doc_id", spotsigs.signatures(F.col("text")).alias("sigs"))
+    pairs, members = spotsigs.similar_pairs(marked)
+    of = {r["doc_id"]: r["class"] for r in members.collect()}
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert of[100] == of[101] and tuple(sorted((of[100], of[102]))) in found
+    assert spotsigs.similar_pairs(no_docs.select("doc_id", F.array().cast("array<int>").alias("sigs")))[0].count() == 0
