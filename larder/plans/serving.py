@@ -91,18 +91,25 @@ CHART_COLUMNS = (
 )
 
 
+def released(page: dict[str, DataFrame]) -> None:
+    """Unpin the rows of a page made with ``keep``; its charts still work, as scans."""
+    page["rows"].unpersist()
+
+
 def dashboard(
     main: DataFrame, details: DataFrame, state: dict | None = None, seed: int = 0, keep: bool = False
 ) -> dict[str, DataFrame]:
     """Every chart of the dashboard under one filter state.
 
     The facets filter the chart columns once. ``keep`` pins the filtered rows on the executors, which pays
-    if all charts are drawn and the rows fit; without it each chart is a pruned scan of its own.
+    if all charts are drawn and the rows fit; without it each chart is a pruned scan of its own. ``released`` gives the
+    pinned rows back.
     """
     facets = Facets.from_state(state)
     rows = facets.apply(main).select(*CHART_COLUMNS)
     rows = pin(rows) if keep else rows
     return {
+        "rows": rows,
         "kcal_histogram": charts.histogram(rows),
         "macro_totals": charts.macro_totals(details, rows, facets),
         "score_counts": charts.score_counts(rows),

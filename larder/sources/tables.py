@@ -12,14 +12,35 @@ from pyspark.sql.types import StructType
 MODES = {"replace": "overwrite", "append": "append"}
 
 
-def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+TASK_BYTES = 128 * 1024 * 1024
+# The optimizer knows no size of some inputs and puts the largest long in its place, or products of it.
+UNKNOWN_BYTES = 1 << 60
+
+
+def sink_width(n_bytes: int, least: int, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks for a range-partitioned write of that many bytes: one for each ``task_bytes``, ``least`` at least."""
+    return least if n_bytes >= UNKNOWN_BYTES else max(least, -(-n_bytes // task_bytes))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of the frame: file sizes carried through the plan, known before anything runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def clustered(df: DataFrame, by: Sequence[str], n_bytes: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted on the columns, so files and row groups cover narrow ranges.
 
     Readers then skip files by Parquet min/max statistics. End the list with a unique column: range
     bounds fall inside the rows of a frequent value too, and no task gets all of them. The bounds come
     from a sample, a second pass over the input: ``materialise`` a costly input first.
+
+    The width follows the bytes of the input (``n_bytes``, default: as planned), as adaptive execution merges small
+    ranges but does not split large ones. Up to the session's shuffle width that setting holds.
     """
-    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = sink_width(planned_bytes(df) if n_bytes is None else n_bytes, least)
+    ranged = df.repartitionByRange(width, *by) if width > least else df.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by)
 
 
 def write_staging(df: DataFrame, path: str, disposition: str = "replace") -> None:
@@ -81,7 +102,10 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Keep a hot table on the executors, spilling to their disks; a lost block is computed again."""
+    """Keep a hot table on the executors, spilling to their disks; a lost block is computed again.
+
+    The caller gives the space back with ``unpersist`` when it is done.
+    """
     pinned = df.persist(StorageLevel.MEMORY_AND_DISK)
     pinned.count()
     return pinned

@@ -6,7 +6,8 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from larder.constants import MACROS
+from larder.constants import KCAL_BINS, MACROS
+from larder.operators.charts import macro_slices
 from larder.plans import ingest, publish
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.quality import quality_report
@@ -157,6 +158,12 @@ STATE = {"nutri_scores": ["A", "B", "C"], "cook_cats": ["rapide", "moyen"], "kca
 _STATE_SQL = "nutri_score IN ('A', 'B', 'C') AND cook_time_category IN ('rapide', 'moyen') AND mit_energy_kcal <= 200"
 
 
+def _scatter_label():
+    """The first digit of a digest of the drawn point, so that a count of points depends on their values."""
+    hundredths = [F.round(F.col(c) * 100).cast("bigint").cast("string") for c in ("saturates_g", "sugars_g")]
+    return F.substring(F.md5(F.concat_ws("|", "title", "nutri_score", *hundredths)), 1, 1)
+
+
 @query(
     "e5_dashboard",
     f"""SELECT 'class' AS chart, d.c AS label, count(m.recipe_id) AS count FROM (VALUES ('rapide'), ('moyen'), ('long')) d(c)
@@ -168,8 +175,21 @@ _STATE_SQL = "nutri_score IN ('A', 'B', 'C') AND cook_time_category IN ('rapide'
         SELECT unnest(ingredients_validated) AS item FROM main WHERE {_STATE_SQL}) u
         WHERE length(trim(item)) > 1 GROUP BY 2 ORDER BY n DESC, item LIMIT 15)
       UNION ALL (SELECT 'tag', item, count(*) AS n FROM (SELECT unnest(tags) AS item FROM main WHERE {_STATE_SQL}) u
-        WHERE length(trim(item)) > 1 GROUP BY 2 ORDER BY n DESC, item LIMIT 15)""",
+        WHERE length(trim(item)) > 1 GROUP BY 2 ORDER BY n DESC, item LIMIT 15)
+      UNION ALL SELECT 'kcal', CAST(CAST(CASE WHEN high > low THEN least(floor((mit_energy_kcal - low) / ((high - low) / {KCAL_BINS}.0)), {KCAL_BINS - 1})
+          ELSE 0 END AS INTEGER) AS VARCHAR), count(*)
+        FROM (SELECT mit_energy_kcal, min(mit_energy_kcal) OVER () AS low, max(mit_energy_kcal) OVER () AS high
+          FROM main WHERE {_STATE_SQL} AND mit_energy_kcal < 3500) h GROUP BY 2
+      UNION ALL SELECT 'macro', macro, CAST(round(total) AS BIGINT) FROM (
+        SELECT unnest(['fat_g', 'protein_g', 'salt_g', 'saturates_g', 'sugars_g']) AS macro,
+          unnest([sum(fat_g), sum(protein_g), sum(salt_g), sum(saturates_g), sum(sugars_g)]) AS total
+        FROM details JOIN (SELECT recipe_id FROM main WHERE {_STATE_SQL}) k USING (recipe_id)) t
+      UNION ALL SELECT 'scatter', label, count(*) FROM (
+        SELECT substr(md5(concat_ws('|', title, nutri_score, CAST(round(saturates_g * 100) AS BIGINT), CAST(round(sugars_g * 100) AS BIGINT))), 1, 1) AS label
+        FROM details JOIN main USING (recipe_id) WHERE {_STATE_SQL} AND saturates_g BETWEEN 0 AND 60 AND sugars_g BETWEEN 0 AND 100
+        ORDER BY md5('0:' || recipe_id), recipe_id LIMIT 2000) s GROUP BY 2""",
     b.MAIN,
+    b.DETAILS,
 )
 def e5(spark, sf):
     page = dashboard(b.main(spark, sf), b.details(spark, sf), STATE)
@@ -185,6 +205,9 @@ def e5(spark, sf):
         .union(rows("curve", "cook_curve", "bucket"))
         .union(rows("ingredient", "top_ingredients", "item", "freq"))
         .union(rows("tag", "top_tags", "item", "freq"))
+        .union(rows("kcal", "kcal_histogram", "bin"))
+        .union(macro_slices(page["macro_totals"]).select(F.lit("macro"), "macro", F.round("total").cast("bigint")))
+        .union(page["scatter"].groupBy(_scatter_label().alias("label")).count().select(F.lit("scatter"), "label", "count"))
     )
 
 

@@ -279,7 +279,11 @@ def s14_narrow(spark, sf):
 
 @query("s15_pinned_table", "SELECT ingredient, count(*) AS n FROM item_index GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10", b.MAIN, b.INDEX)
 def s15(spark, sf):
-    return top_values(store.pin(inverted_index(b.fresh_main(spark, sf))), "ingredient", 10, "n")
+    pinned = store.pin(inverted_index(b.fresh_main(spark, sf)))
+    try:
+        return store.export(top_values(pinned, "ingredient", 10, "n"), scratch(spark, "s15"))
+    finally:
+        pinned.unpersist()
 
 
 @query(

@@ -16,9 +16,9 @@ from larder.operators.items import inverted_index, item_catalog
 from larder.operators.joins import frequent_values, restrict_to, spread_left_join
 from larder.plans.assemble import assemble
 from larder.plans.ingest import RESOURCES
-from larder.plans.serving import dashboard
+from larder.plans.serving import dashboard, released
 from larder.session import concurrently, materialise, scratch
-from larder.sources.tables import write_clustered, write_partitioned
+from larder.sources.tables import clustered, sink_width, write_clustered, write_partitioned
 from larder.workload import bindings as b
 from larder.workload import load
 
@@ -197,6 +197,10 @@ def test_bloom_filters_reach_the_files(spark, tmp_path):
     write_partitioned(df, str(tmp_path / "b"), "g", ["k"], lookup=["k"])
     files = list((tmp_path / "b").rglob("*.parquet"))
     assert files and sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 2000
+    plain = tmp_path / "plain"
+    write_partitioned(df, str(plain), "g", ["k"])
+    # A filter's bits lie between the column data and the footer, so a file with them is larger than one without.
+    assert sum(f.stat().st_size for f in files) > sum(f.stat().st_size for f in plain.rglob("*.parquet")) + 1000
     wanted = df.first()["k"]
     assert spark.read.parquet(str(tmp_path / "b")).filter(F.col("k") == wanted).count() == 1
 
@@ -207,3 +211,14 @@ def test_kept_dashboard_equals_pruned_scans(stored):
     once, kept = dashboard(main, details, state), dashboard(main, details, state, keep=True)
     assert {k: rows(v) for k, v in once.items()} == {k: rows(v) for k, v in kept.items()}
     assert "InMemoryTableScan" in plan(kept["score_counts"])
+    assert kept["rows"].storageLevel.useDisk
+    released(kept)
+    assert not kept["rows"].storageLevel.useDisk
+
+
+def test_sinks_are_as_wide_as_their_input(spark):
+    terabyte = 1 << 40
+    assert sink_width(100 * terabyte, 200) == 100 * 8192 and sink_width(5, 200) == 200
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    assert ", 8192)" in plan(clustered(df, ["k"], n_bytes=terabyte))
+    assert ", 4)" in plan(clustered(df, ["k"]))
