@@ -12,24 +12,37 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+# Rows of an Arrow batch that are Python objects at a time.
+SLICE = 1000
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of each text; a null counts as the empty text."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(part: pa.Array | pa.RecordBatch) -> Iterator[pa.Array | pa.RecordBatch]:
+    """A batch in parts of ``SLICE`` rows, so that no more texts than these are Python objects at once."""
+    for i in range(0, len(part) if isinstance(part, pa.Array) else part.num_rows, SLICE):
+        yield part.slice(i, SLICE)
+
+
 def with_arrow(df: DataFrame, name: str, text: str, returns: str, rows: Callable[[list[bytes]], pa.Array]) -> DataFrame:
     """``df`` with the column ``name`` computed from the whole texts by ``rows``; a column of that name is replaced.
 
-    Only the text goes to Python; all other columns stay in the JVM.
+    Only the text goes to Python, once; all other columns stay in the JVM.
     """
 
     def batches(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            yield rows(texts_of(part))
+            done = [rows(texts_of(some)) for some in slices(part)]
+            yield pa.concat_arrays(done) if done else rows([])
 
     # The signature is given, as annotations of local functions are strings here.
     batches.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn(name, F.arrow_udf(batches, returns)(F.col(quoted(text)).cast("string")))
+    # A deterministic function would be computed again for each filter that the optimizer derives from its result.
+    once = F.arrow_udf(batches, returns).asNondeterministic()
+    return df.withColumn(name, once(F.col(quoted(text)).cast("string")))
 
 
 def groups(texts: list[bytes], size: int = 4_000_000) -> Iterator[list[bytes]]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import fresh, quoted, texts_of, with_arrow
+from larder.llm.common import fresh, quoted, slices, texts_of, with_arrow
 
 SEED_WORDS = 3
 SIMILARITY = 0.8
@@ -191,8 +191,9 @@ def _rare_seeds(docs: DataFrame, block: Block, text: str) -> None:
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(block.codes), np.int64)
         for part in parts:
-            for t in texts_of(part.column(0)):
-                counts[np.unique(block.hits(block.numbers(t))[1])] += 1
+            for some in slices(part):
+                for t in texts_of(some.column(0)):
+                    counts[np.unique(block.hits(block.numbers(t))[1])] += 1
         seeds = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"seed": pa.array(seeds, pa.int64()), "n": pa.array(counts[seeds], pa.int64())})
 

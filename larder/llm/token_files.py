@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larder.llm.common import groups, quoted, remembered, texts_of
+from larder.llm.common import groups, quoted, remembered, slices, texts_of
 from larder.llm.token_counts import Splitter, byte_letters, chunks
 from larder.session import materialise, scratch
 
@@ -43,7 +43,7 @@ SIMPLE = "\u0250"
 # Stands between chunks where many are looked up at once; no vocabulary has this id.
 CHUNK_END = b"\xff" * 4
 # Chunks and pre-tokens that a worker process remembers before it starts anew.
-MOST_KNOWN = 600_000
+MOST_KNOWN = 400_000
 MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -212,9 +212,9 @@ def write(
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = name = out = stream = None
-        for part in parts:
-            ids = iter(part.column(0).to_pylist())
-            for some in groups(texts_of(part.column(1))):
+        for rows in (some for part in parts for some in slices(part)):
+            ids = iter(rows.column(0).to_pylist())
+            for some in groups(texts_of(rows.column(1))):
                 if out is None:
                     store, root = fs.FileSystem.from_uri(path)
                     store.create_dir(root, recursive=True)

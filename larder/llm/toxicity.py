@@ -43,6 +43,8 @@ STEMS = range(3, 9)
 CANDIDATES = 4000
 LEAST_GAIN = 2
 THRESHOLD = 0.7
+# Words that a worker process remembers before it starts anew.
+MOST_WORDS = 200_000
 
 TOKENS = re.compile(r"[^\W\d_]+|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
@@ -116,7 +118,7 @@ class Lexicon(dict):
         symbol = self.fixed.get(word, OTHER)
         for n in self.lengths:
             symbol = symbol or self.stems.get(word[:n], OTHER)
-        if len(self) > 1_000_000:
+        if len(self) > MOST_WORDS:
             self.clear()
         self[word] = symbol
         return symbol
