@@ -6,8 +6,10 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from larder.constants import KCAL_BINS, MACROS
+from larder import schemas
+from larder.constants import KCAL_BINS, MACROS, OUTLIER_ITEMS, OUTLIER_KCAL, OUTLIER_MINUTES, OUTLIER_ROWS
 from larder.operators.charts import macro_slices
+from larder.operators.profile import COMPLETE, INCOMPLETE, USABLE
 from larder.plans import ingest, publish
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.quality import quality_report
@@ -211,12 +213,29 @@ def e5(spark, sf):
     )
 
 
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in (*schemas.RECIPES_MAIN.names, *MACROS))
+_KNOWN = " UNION ALL ".join(
+    f"SELECT 'known', '{c}', CAST(round(10000.0 * count({c}) / count(*)) AS BIGINT) FROM main" for c in schemas.RECIPES_MAIN.names
+)
+_MACRO_COUNTS = " UNION ALL ".join(f"SELECT 'macro', '{c}', count({c}) FROM details" for c in MACROS)
+
+
 @query(
     "e6_quality_report",
-    """SELECT 'score' AS part, nutri_score AS label, count(*) AS count FROM main WHERE nutri_score IS NOT NULL GROUP BY 2
+    f"""SELECT 'score' AS part, nutri_score AS label, count(*) AS count FROM main WHERE nutri_score IS NOT NULL GROUP BY 2
       UNION ALL SELECT 'time', cook_time_category, count(*) FROM main WHERE cook_time_category <> 'inconnu' GROUP BY 2
-      UNION ALL (SELECT 'item', ingredient, count(*) AS n FROM item_index GROUP BY 2 ORDER BY n DESC, 2 LIMIT 30)""",
+      UNION ALL (SELECT 'item', ingredient, count(*) AS n FROM item_index GROUP BY 2 ORDER BY n DESC, 2 LIMIT 30)
+      UNION ALL SELECT 'complete', CASE WHEN {_COMPLETE} THEN '{COMPLETE}'
+        WHEN has_image AND mit_energy_kcal IS NOT NULL AND n_ingredients_validated > 0 THEN '{USABLE}'
+        ELSE '{INCOMPLETE}' END, count(*) FROM main LEFT JOIN details USING (recipe_id) GROUP BY 2
+      UNION ALL {_KNOWN}
+      UNION ALL {_MACRO_COUNTS}
+      UNION ALL (SELECT 'outlier', title, count(*) FROM (
+        SELECT title FROM main WHERE n_ingredients_validated > {OUTLIER_ITEMS} OR mit_energy_kcal > {OUTLIER_KCAL}
+          OR cook_minutes > {OUTLIER_MINUTES}
+        ORDER BY mit_energy_kcal DESC NULLS LAST, recipe_id LIMIT {OUTLIER_ROWS}) o GROUP BY 2)""",
     b.MAIN,
+    b.DETAILS,
     b.INDEX,
 )
 def e6(spark, sf):
@@ -225,8 +244,15 @@ def e6(spark, sf):
     def rows(part: str, name: str, label: str, count: str):
         return report[name].select(F.lit(part).alias("part"), F.col(label).alias("label"), F.col(count).alias("count"))
 
+    known = report["known_by_column"]
+    counts = report["macro_summary"].filter("summary = 'count'").select(*MACROS)
+    macros = counts.unpivot([], list(MACROS), "macro", "n")
     return (
         rows("score", "score_share", "nutri_score", "count")
         .union(rows("time", "time_profile", "cook_time_category", "n_recipes"))
         .union(rows("item", "top_ingredients", "ingredient", "count"))
+        .union(rows("complete", "completeness", "status", "count"))
+        .union(known.select(F.lit("known"), "column_name", F.round(F.col("pct_known") * 100).cast("bigint")))
+        .union(macros.select(F.lit("macro"), "macro", F.col("n").cast("bigint")))
+        .union(report["outliers"].groupBy("title").count().select(F.lit("outlier"), "title", "count"))
     )

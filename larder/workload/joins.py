@@ -29,13 +29,15 @@ def j1(spark, sf):
 
 
 _TITLES = f"""titles AS (
-  SELECT {b.KEY_SQL.format("upper(p_name) || '!'")} AS dim_key, min(p_retailprice) AS kcal FROM part
-  WHERE p_size > 25 GROUP BY 1)"""
+  SELECT {b.KEY_SQL.format("upper(p_name) || CASE WHEN p_size > 25 THEN '!' ELSE ' small' END")} AS dim_key,
+    min(p_retailprice) AS kcal FROM part GROUP BY 1)"""
 
 
 def _title_dim(spark, sf):
-    named = table(spark, sf, "part").filter("p_size > 25").select(
-        title_key(F.concat(F.upper("p_name"), F.lit("!"))).alias("dim_key"), F.col("p_retailprice").alias("kcal")
+    """All parts; the small ones have titles that no row asks for, so some rows stay unmatched."""
+    ending = F.when(F.col("p_size") > 25, "!").otherwise(" small")
+    named = table(spark, sf, "part").select(
+        title_key(F.concat(F.upper("p_name"), ending)).alias("dim_key"), F.col("p_retailprice").alias("kcal")
     )
     return keep_one(named, ["dim_key"])
 
