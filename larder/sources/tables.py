@@ -13,8 +13,8 @@ MODES = {"replace": "overwrite", "append": "append"}
 
 
 TASK_BYTES = 128 * 1024 * 1024
-# The optimizer knows no size of some inputs and puts the largest long in its place, or products of it.
-UNKNOWN_BYTES = 1 << 60
+# The optimizer knows no size of some inputs and puts the largest long in its place, scaled by the columns that are left.
+UNKNOWN_BYTES = 1 << 55
 
 
 def sink_width(n_bytes: int, least: int, task_bytes: int = TASK_BYTES) -> int:
