@@ -21,6 +21,11 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def decoded(text: bytes) -> str:
+    """The text of UTF-8 bytes; bytes that are none become replacement characters, as a column may hold anything."""
+    return text.decode("utf-8", "replace")
+
+
 def slices(part: pa.Array | pa.RecordBatch) -> Iterator[pa.Array | pa.RecordBatch]:
     """A batch in parts of ``SLICE`` rows, so that no more texts than these are Python objects at once."""
     for i in range(0, len(part) if isinstance(part, pa.Array) else part.num_rows, SLICE):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import fresh, quoted, slices, texts_of, with_arrow
+from larder.llm.common import decoded, fresh, quoted, slices, texts_of, with_arrow
 
 SEED_WORDS = 3
 SIMILARITY = 0.8
@@ -42,7 +42,7 @@ FOUND_TYPE = pa.list_(pa.struct([("item", pa.int32()), ("similarity", pa.float64
 
 
 def words_of(text: bytes | str) -> list[str]:
-    return WORDS.findall((text.decode() if isinstance(text, bytes) else text).lower())
+    return WORDS.findall((decoded(text) if isinstance(text, bytes) else text).lower())
 
 
 def least_shared(n_words: int) -> int:

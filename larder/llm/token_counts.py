@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from larder.llm.common import groups, remembered, with_arrow
+from larder.llm.common import decoded, groups, remembered, with_arrow
 
 # Fixed value: characters that the vocabulary's rules call white space.
 SPACES = "\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
@@ -145,7 +145,7 @@ def count_texts(texts: list[bytes], path: str) -> list[int]:
     ranks, cache = table(path)
     counts: list[int] = []
     for some in groups(texts):
-        split = [chunks(text.decode()) for text in some]
+        split = [chunks(decoded(text)) for text in some]
         known = remembered(cache, {c for own in split for c in own}, lambda new: count_chunks(ranks, new))
         counts += [sum(map(known.__getitem__, own)) for own in split]
     return counts

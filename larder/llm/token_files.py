@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larder.llm.common import groups, quoted, remembered, slices, texts_of
+from larder.llm.common import decoded, groups, quoted, remembered, slices, texts_of
 from larder.llm.token_counts import Splitter, byte_letters, chunks
 from larder.session import materialise, scratch
+from larder.sources.tables import planned_bytes, sink_width
 
 # Fixed values of the seekable format.
 INDEX_MAGIC, TABLE_MAGIC, CLOSING_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -180,7 +181,7 @@ class Encoder:
         return [out[c] for c in new]
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [chunks(t.decode()) for t in texts]
+        split = [chunks(decoded(t)) for t in texts]
         known = remembered(self.chunks, {c for own in split for c in own}, self._learn, MOST_KNOWN)
         for own in split:
             yield b"".join(map(known.__getitem__, own))
@@ -234,7 +235,12 @@ def write(
             )
 
     k, t = F.col(quoted(key)).cast("long").alias("k"), F.col(quoted(text)).cast("string").alias("t")
-    rows = docs.select(k, t).repartitionByRange(F.col("k"), F.xxhash64("t")).sortWithinPartitions("k", "t")
+    rows = docs.select(k, t)
+    # Adaptive execution merges small ranges and splits none, so a large input needs its own width.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width, order = sink_width(planned_bytes(rows), least), (F.col("k"), F.xxhash64("t"))
+    rows = rows.repartitionByRange(width, *order) if width > least else rows.repartitionByRange(*order)
+    rows = rows.sortWithinPartitions("k", "t")
     return materialise(rows.mapInArrow(task, MANIFEST), f"{path}/manifest")
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import fresh, quoted, texts_of, with_arrow
+from larder.llm.common import decoded, fresh, quoted, texts_of, with_arrow
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -143,7 +143,7 @@ def lexicon(insults: frozenset[str], threats: frozenset[str]) -> Lexicon:
 
 
 def tokens(text: bytes) -> list[str]:
-    return TOKENS.findall(text.decode().lower())
+    return TOKENS.findall(decoded(text).lower())
 
 
 def matched_labels(text: bytes, words: Lexicon) -> np.ndarray:

@@ -99,3 +99,8 @@ def test_empty_table(spark, no_docs):
 def test_added_column_replaces_one_of_its_name(docs):
     out = with_arrow(docs, "score", "text", "long", lambda texts: pa.array([len(t) for t in texts], pa.int64()))
     assert out.columns == docs.columns and dict(out.dtypes)["score"] == "bigint"
+
+
+def test_bytes_that_are_no_text_do_not_crash(spark):
+    broken = spark.sql("SELECT 1L AS doc_id, cast(unhex('61FF2062') AS string) AS text")
+    assert token_counts.with_token_counts(broken, TOKENIZER).first()["n_tokens"] == len(ids_of("a� b"))
