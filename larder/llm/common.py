@@ -88,7 +88,7 @@ def remembered(cache: dict, keys: set, learn: Callable[[list], Iterable], most:
     """``cache`` holding at least ``keys``: unknown ones are learned together. Emptied first if it outgrew ``most``."""
     if len(cache) > most:
         cache.clear()
-    new = [k for k in keys if k not in cache]
+    new = list(keys.difference(cache))
     if new:
         cache.update(zip(new, learn(new), strict=True))
     return cache

@@ -146,7 +146,7 @@ def count_texts(texts: list[bytes], path: str) -> list[int]:
     counts: list[int] = []
     for some in groups(texts):
         split = [chunks(decoded(text)) for text in some]
-        known = remembered(cache, {c for own in split for c in own}, lambda new: count_chunks(ranks, new))
+        known = remembered(cache, set().union(*split), lambda new: count_chunks(ranks, new))
         counts += [sum(map(known.__getitem__, own)) for own in split]
     return counts
 

@@ -182,7 +182,7 @@ class Encoder:
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [chunks(decoded(t)) for t in texts]
-        known = remembered(self.chunks, {c for own in split for c in own}, self._learn, MOST_KNOWN)
+        known = remembered(self.chunks, set().union(*split), self._learn, MOST_KNOWN)
         for own in split:
             yield b"".join(map(known.__getitem__, own))
 
