@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Leading hexadecimal digits of a draw by which rows are counted: 65,536 groups, whatever the input.
-GROUP_DIGITS = 4
+# Leading hexadecimal digits of a draw by which rows are counted: 4,096 groups, whatever the input.
+GROUP_DIGITS = 3
 
 
 def fixed_sample(df: DataFrame, n: int, key: str = "recipe_id", seed: int = 0) -> DataFrame:
