@@ -78,3 +78,20 @@ def test_stages(spark, folder):
 def test_run_goes_through_all_stages(spark, folder):
     out = corpus_pipeline.run(spark, folder[0])
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 100
+
+
+def test_stages_take_odd_rows_and_other_columns(spark, folder, docs, no_docs, rows):
+    assert sum(k is None for k, _, _ in rows) == 2
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder[0])
+        assert name == "token_files" or out.columns == docs.columns
+        assert out.count() >= 0.7 * len(rows), name
+        assert stage(spark, no_docs, folder[0]).count() == 0
+
+
+def test_stages_without_labels_and_items(spark, docs, rows, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    assert docs.count() > 40
