@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 import os
+import sys
 
 import pytest
 
@@ -32,3 +34,11 @@ def test_every_query_has_an_oracle():
 def test_entry(spark):
     rows = entry(spark).collect()
     assert [r["score"] for r in rows] == ["A", "B"]
+
+
+def test_entry_works_without_the_training_data_package(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    alone = importlib.import_module("__spark_entry__")
+    assert set(alone.queries()) == set(load().QUERIES) and set(alone.oracle_sql()) == set(load().ORACLES)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
