@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import materialise
+from larder.session import materialise, remove, scratch
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,18 +13,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     A node that is its own component's least, or has no link, has no row. Nulls link nothing; loops, repeated and
     mirrored links do no harm; an empty table gives an empty one. Each round halves the remaining depth of every tree.
-    Its links are written to the shared folder, so a lost executor costs one round, and the driver only sees a count
-    and a checksum. Minima are combined before each shuffle, and a node with very many links is one row on the other
+    Its links are written to the shared folder and those of the round before are removed, so a lost executor costs one
+    round; the driver only sees a count and a checksum. Minima are combined before each shuffle, and a node with very many links is one row on the other
     side of its join, which adaptive execution splits.
     """
     edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    edges, seen = materialise(edges, name="links"), None
+    spark, seen = links.sparkSession, None
+    path = scratch(spark, "links")
+    edges = materialise(edges, path)
     while True:
         count, mark = edges.select(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if not count or (count, mark) == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = (count, mark)
-        edges = materialise(_small_star(_large_star(edges)), name="links")
+        seen, old, path = (count, mark), path, scratch(spark, "links")
+        edges = materialise(_small_star(_large_star(edges)), path)
+        remove(spark, old)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
