@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds find candidate passages, Smith-Waterman alignment judges them.
 
-Items and texts are compared as words (letters and digits, lower case). Every run of three words of an item is a seed.
+Items and texts are compared as words (letters and digits, lower case). Every run of three words of an item is a seed, or of
+two words if an alignment could break all runs of three.
 An alignment that keeps ``SIMILARITY`` of an item's words keeps at least a computable number of its seeds, so it keeps one of
 the rarest of them: seeds that are frequent in the corpus need not be looked at, and nothing is lost. The passage around
 such a seed, if enough seeds of the item lie in it, is aligned with the whole item.
@@ -15,6 +16,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import repeat
 from math import ceil
 
@@ -27,6 +29,8 @@ from larder.llm.common import decoded, fresh, quoted, slices, texts_of, with_arr
 
 SEED_WORDS = 3
 SIMILARITY = 0.8
+# The same as a fraction, for bounds that must not depend on rounding.
+KEPT, OF = 4, 5
 # Text of the items that one pass over the corpus looks for.
 BLOCK_BYTES = 8_000_000
 # Cells of the alignment tables that are filled at once.
@@ -45,9 +49,27 @@ def words_of(text: bytes | str) -> list[str]:
     return WORDS.findall((decoded(text) if isinstance(text, bytes) else text).lower())
 
 
+def _unbroken(n_words: int, seed: int) -> int:
+    """Seeds of ``seed`` words that an alignment of the wanted similarity keeps at least, in whole numbers.
+
+    A lost word breaks up to ``seed`` of them, an inserted one up to ``seed - 1``; of n words, l lost and i inserted ones
+    leave the similarity at (n - l) / (n + i).
+    """
+    spare = (OF - KEPT) * n_words
+    broken = max(seed * lost + (seed - 1) * ((spare - OF * lost) // KEPT) for lost in range(spare // OF + 1))
+    return n_words - (seed - 1) - broken
+
+
+@cache
+def seed_words(n_words: int) -> int:
+    """Words of an item's seeds: as many as leave every wanted alignment a seed."""
+    return next((n for n in range(min(SEED_WORDS, n_words), 1, -1) if _unbroken(n_words, n) > 0), min(1, n_words))
+
+
+@cache
 def least_shared(n_words: int) -> int:
-    """Seeds that an alignment of the wanted similarity keeps at least: each lost word breaks up to three."""
-    return max(1, ceil((1 - 3 * (1 - SIMILARITY)) * n_words - (SEED_WORDS - 1)))
+    """Seeds that an alignment of the wanted similarity keeps at least."""
+    return max(1, _unbroken(n_words, seed_words(n_words)))
 
 
 @dataclass
@@ -68,7 +90,7 @@ class Block:
         items = [np.array([words[w] for w in s], np.int64) for s in split]
         places = defaultdict(list)
         for item, ids in enumerate(items):
-            n = min(SEED_WORDS, len(ids))
+            n = seed_words(len(ids))
             for at, code in enumerate(_codes(ids, len(words) + 1, n).tolist() if n else []):
                 places[code].append((item, at))
         codes = np.array(sorted(places), np.int64)
@@ -81,7 +103,7 @@ class Block:
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in the text and numbers of the seeds that start there. Short items have shorter seeds."""
         at, seeds = [], []
-        for n in {min(SEED_WORDS, len(i)) for i in self.items if len(i)} if len(self.codes) else ():
+        for n in {seed_words(len(i)) for i in self.items if len(i)} if len(self.codes) else ():
             codes = _codes(ids, len(self.words) + 1, n)
             where = np.flatnonzero(codes)
             k = np.minimum(np.searchsorted(self.codes, codes[where]), len(self.codes) - 1)

@@ -77,6 +77,27 @@ def test_all_pairs(corpus):
     assert len({s for _, _, s in expected}) > 5 and len(expected) > 110
 
 
+def test_copies_at_the_very_bound_are_found(spark, words):
+    rng = random.Random(17)
+    items = [rng.sample(words[:400], n) for n in (5, 10, 15, 50, 9, 40, 4)]
+    spaced = [[f"new{i}" if i % 5 == 2 else w for i, w in enumerate(item)] for item in items[:4]]
+    # One word lost and one inserted of nine, ten inserted into forty, one into four.
+    spaced.append([*items[4][:2], "new", *items[4][3:6], "more", *items[4][6:]])
+    spaced.append([x for i, w in enumerate(items[5]) for x in ([w, "more"] if i % 4 == 1 else [w])])
+    spaced.append([*items[6][:2], "more", *items[6][2:]])
+    texts = [(i, " ".join([*rng.sample(words[500:], 20), *t, *rng.sample(words[500:], 20)])) for i, t in enumerate(spaced)]
+    benchmark = [(i, " ".join(t)) for i, t in enumerate(items)]
+    docs, wanted = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(benchmark, "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"], round(r["similarity"], 9)) for r in decontaminate.matches(docs, wanted).collect()]
+    expected = sorted(brute_matches(texts, benchmark))
+    assert sorted(found) == expected
+    assert {(i, i) for i in (0, 1, 2, 3, 5, 6)} <= {(k, item) for k, item, s in expected if s == 0.8}
+
+
+def test_least_shared_is_whole():
+    assert [decontaminate.least_shared(n) for n in (10, 15, 20, 40, 50)] == [2, 4, 6, 14, 18]
+
+
 def test_blocks_of_items_do_not_matter(corpus, monkeypatch):
     docs, items, *_ = corpus
     whole = sorted(map(repr, decontaminate.matches(docs, items).collect()))
