@@ -42,6 +42,11 @@ def leaves(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     shuffled. Rows that are wholly equal are counted before the shuffle and numbered after it, so a page that is a
     third of all rows fills many files. An empty table has no leaves.
     """
+    return _manifest(pages, key, url, html).drop("copy")
+
+
+def _records(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """``key, url, length, digest, copy, range`` of each record."""
     body = record(F.col(quoted(url)), F.col(quoted(html)))
     rows = pages.select(
         F.col(quoted(key)).cast("long").alias("key"), F.coalesce(F.col(quoted(url)), F.lit("")).alias("url"),
@@ -49,16 +54,51 @@ def leaves(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     )
     counted = rows.groupBy("key", "url", "length", "digest").agg(F.count("*").alias("n"))
     each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
-    each = materialise(each.withColumn("range", F.coalesce(F.floor(F.col("key") / KEYS_A_FILE), F.lit(-1))), name="records")
+    return materialise(each.withColumn("range", F.coalesce(F.floor(F.col("key") / KEYS_A_FILE), F.lit(-1))), name="records")
+
+
+def _dealt(each: DataFrame, mark: str = "") -> DataFrame:
+    """Records with their ``file`` and ``ordinal``; ``mark`` tells files of their own apart."""
     parts = each.groupBy("range").agg(F.ceil(F.count("*") / RECORDS_A_FILE).alias("parts"))
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("key", "url", "digest", "copy"), F.col("parts"))).otherwise(0)
-    placed = each.join(parts, "range").withColumn("file", F.concat_ws("-", "range", part.cast("string")))
+    placed = each.join(parts, "range").withColumn("file", F.concat("range", F.lit("-" + mark), part.cast("string")))
     order = Window.partitionBy("file").orderBy(F.col("key").asc_nulls_first(), "url", "digest", "copy")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return placed.select(
-        "file", (F.row_number().over(order) - 1).cast("long").alias("ordinal"),
-        F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "digest", "key", "url",
-    )
+    return placed.withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
+
+
+def _with_offsets(placed: DataFrame) -> DataFrame:
+    before = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset")
+    return placed.select("file", "ordinal", offset, "length", "digest", "key", "url", "copy")
+
+
+def _manifest(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    return _with_offsets(_dealt(_records(pages, key, url, html)))
+
+
+def replica_leaves(manifest: DataFrame, replica: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """The leaves of ``replica``, each where the primary's ``manifest`` has that record, so damage moves no other record.
+
+    Records equal to one of the primary take its place. The others take the places of the same key and url that are
+    left, in order, those of the same length first; records without a place are added ones and lie in files of their own. Places without a record are
+    missing. Only records that equal none of the primary are numbered by key and url.
+    """
+    same = [F.coalesce("key", F.lit(0)).alias("k"), F.col("key").isNull().alias("z"), "url"]
+    free = manifest.select(*same, "length", "digest", "copy", "file", "ordinal")
+    rest, placed = _records(replica, key, url, html).select("*", *same[:2]), None
+    columns = ["file", "ordinal", "length", "digest", "key", "url", "copy"]
+    for shared in (["digest", "copy"], ["length"], []):
+        on = ["k", "z", "url", *shared]
+        if "digest" not in shared:
+            one, on = Window.partitionBy(*on), [*on, "i"]
+            free = free.withColumn("i", F.row_number().over(one.orderBy("file", "ordinal")))
+            rest = rest.withColumn("i", F.row_number().over(one.orderBy("digest", "copy")))
+        met = materialise(rest.join(free.select(*on, "file", "ordinal"), on, "left"), name="placed")
+        found = met.where("file IS NOT NULL")
+        free = free.join(found.select(*on), on, "left_anti").drop("i")
+        rest = met.where("file IS NULL").drop("file", "ordinal", "i")
+        placed = found.select(*columns) if placed is None else placed.unionByName(found.select(*columns))
+    return _with_offsets(placed.unionByName(_dealt(rest, "added-").select(*columns))).drop("copy")
 
 
 def tree(replicas: Sequence[DataFrame], materialised: bool = True) -> list[DataFrame]:
@@ -136,8 +176,8 @@ def damaged_copy(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 def report(pages: DataFrame, replica: DataFrame) -> DataFrame:
     """``page_id, file, ordinal, lo, hi, sha256, status`` of each record of ``pages``; intact ones are never descended to."""
-    own = materialise(leaves(pages), name="primary")
-    found = audit(own, materialise(leaves(replica), name="replica")).select("file", "ordinal", "status")
+    own = materialise(_manifest(pages), name="primary")
+    found = audit(own, materialise(replica_leaves(own, replica), name="replica")).select("file", "ordinal", "status")
     return own.join(found, ["file", "ordinal"], "left").select(
         F.col("key").alias("page_id"), "file", "ordinal", F.col("offset").alias("lo"), (F.col("offset") + F.col("length")).alias("hi"),
         F.col("digest").alias("sha256"), F.coalesce("status", F.lit("intact")).alias("status"),

@@ -62,6 +62,22 @@ def test_many_equal_rows_fill_several_files(spark, monkeypatch):
     assert len(rows) == 8 and sum(r["count"] for r in rows) == 400
 
 
+def test_a_changed_byte_in_a_large_key_is_one_row(spark, monkeypatch):
+    monkeypatch.setattr(warc_audit, "RECORDS_A_FILE", 50)
+    schema = "page_id long, url string, html string"
+    data = [(None, None, f"<p>{i:04d}</p>") for i in range(400)] + [(9, "http://h/9", f"{i:04d}") for i in range(120)]
+    data += [(9, "http://h/9", "same")] * 60
+    other = list(data)
+    other[123], other[450] = (None, None, "<p>#123</p>"), (9, "http://h/9", "#050")
+    one, two = spark.createDataFrame(data, schema), spark.createDataFrame([*other, (9, "http://h/9", "one more")], schema)
+    rows = warc_audit.report(one, two).collect()
+    assert len(rows) == len(data)
+    where = {r["sha256"]: r["status"] for r in rows if r["status"] != "intact"}
+    wanted = warc_audit.leaves(spark.createDataFrame([data[123], data[450]], schema)).collect()
+    assert len([r for r in rows if r["status"] != "intact"]) <= 2 and set(where.values()) == {"damaged"}
+    assert wanted[0]["digest"] in where and wanted[1]["digest"] in where
+
+
 def test_empty_table(pages):
     none = pages.limit(0)
     assert warc_audit.report(none, none).count() == 0
