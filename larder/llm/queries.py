@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, mixing, repeats, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
+from larder.llm import decontaminate, lines, mixing, repeats, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
 from larder.llm.common import n_bytes
 from larder.llm.registry import TOKENIZER, Run, table
 
@@ -66,13 +66,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that many hold: doc_id, n_lines, n_dropped, kept_sha256."""
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 # fmt: off
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_spotsigs, op3_suffix_repeats, op4_token_files, op5_toxicity, op6_warc_audit,
         op7_url_aliases, op8_decontaminate, op9_token_counts, op10_mixing,
+        op11_line_dedup,
     )
 }
 # fmt: on
-ORACLES: dict[str, str] = {"op6_warc_audit": warc_audit.ORACLE, "op7_url_aliases": url_aliases.ORACLE}
+ORACLES: dict[str, str] = {"op6_warc_audit": warc_audit.ORACLE, "op7_url_aliases": url_aliases.ORACLE, "op11_line_dedup": lines.ORACLE}
