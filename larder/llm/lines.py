@@ -299,7 +299,7 @@ ORACLE = r"""
 WITH numbered AS (
     SELECT row_number() OVER () AS r, doc_id, text FROM documents
 ), split AS (
-    SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+    SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
     FROM numbered
 ), keyed AS (
     SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
@@ -310,6 +310,6 @@ WITH numbered AS (
     SELECT keyed.*, often.k IS NOT NULL AND doc_id <> last AS gone FROM keyed LEFT JOIN often USING (k)
 )
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY r
 """
