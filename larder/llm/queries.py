@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, lines, mixing, repeats, runs, simhash, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
+from larder.llm import decontaminate, lines, mixing, repeats, runs, simhash, spellings, spotsigs, token_counts, token_files, toxicity, url_aliases, warc_audit
 from larder.llm.common import n_bytes
 from larder.llm.registry import TOKENIZER, Run, table
 
@@ -71,6 +71,11 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the frequent spelling it stands for: word, form, root, n, n_near, form_n."""
+    return spellings.report(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's periodic runs of words, some planted, the greatest one and digests of all and of what is left."""
     return runs.report(table(spark, sf_dir, "documents"))
@@ -82,7 +87,7 @@ QUERIES: dict[str, Run] = {
     for f in (
         op1_simhash, op2_spotsigs, op3_suffix_repeats, op4_token_files, op5_toxicity, op6_warc_audit,
         op7_url_aliases, op8_decontaminate, op9_token_counts, op10_mixing,
-        op11_line_dedup, op13_periodic_runs,
+        op11_line_dedup, op12_spelling_variants, op13_periodic_runs,
     )
 }
 # fmt: on
