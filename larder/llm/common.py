@@ -40,8 +40,8 @@ def with_arrow(df: DataFrame, name: str, text: str, returns: str, rows: Callable
 
     def batches(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            done = [rows(texts_of(some)) for some in slices(part)]
-            yield pa.concat_arrays(done) if done else rows([])
+            for some in slices(part):
+                yield rows(texts_of(some))
 
     # The signature is given, as annotations of local functions are strings here.
     batches.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -92,3 +92,13 @@ def remembered(cache: dict, keys: set, learn: Callable[[list], Iterable], most:
     if new:
         cache.update(zip(new, learn(new), strict=True))
     return cache
+
+
+_owner: list = ["", lambda: None]
+
+
+def takes_worker(name: str, forget: Callable[[], object]) -> None:
+    """An operator says so when it uses a worker process; what another one remembers there is forgotten then."""
+    if _owner[0] != name:
+        _owner[1]()
+        _owner[:] = [name, forget]

@@ -2,24 +2,29 @@
 
 Texts with equal sets are one class. Two sets that are alike share one of the first ``n - ceil(LEAST * n) + 1`` shingles
 of each in any common order; shingles that a sample of the texts finds frequent come last, so the looked-up ones are rare.
-The order only steers the work, every pair of a similarity of ``LEAST`` or more is found, and each is judged on whole sets.
+The first one that they share is in the first ninth of the smaller set. The order only steers the work, every pair of a
+similarity of ``LEAST`` or more is found, and each is judged on whole sets, unless the looked-up shingles rule it out.
 
 Classes that share a looked-up shingle are first linked to one of them, twice; after that only classes that are not
 connected yet meet as pairs. So a large group of near copies is a star, not all its pairs.
+
+Texts are hashed in one pass. Only those of pairs to be judged are read again. Tables of this stage are deleted with it.
 """
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import fresh, quoted, with_arrow
+from larder.llm.common import fresh, quoted, takes_worker, with_arrow
 from larder.llm.components import components
 from larder.llm.spotsigs import likeness
-from larder.session import materialise
+from larder.session import materialise, remove, scratch
 
 SHINGLE = 5
 # The least similarity of near duplicates, as a fraction, so that no bound depends on rounding.
@@ -46,14 +51,17 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join([xxhash.xxh64_digest(joined[s:e], SEED) for s, e in spans]), np.int64))
 
 
-def _class(text: bytes) -> int:
-    return int.from_bytes(xxhash.xxh64_digest(shingles(text).tobytes(), SEED), "big", signed=True)
+def _class(own: np.ndarray) -> int:
+    return int.from_bytes(xxhash.xxh64_digest(own.tobytes(), SEED), "big", signed=True)
+
+
+def _lists(lists: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *lists])))
 
 
 def _sets(texts: list[bytes]) -> pa.Array:
-    sets = [shingles(t) for t in texts]
-    ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+    return _lists([shingles(t) for t in texts])
 
 
 def looked_up(n: int) -> int:
@@ -61,51 +69,111 @@ def looked_up(n: int) -> int:
     return n + 1 - -(-n * LEAST[0] // LEAST[1])
 
 
-def _prefixes(marked: DataFrame, frequent: dict[int, int]) -> DataFrame:
-    """``class, n, at, sig``: each class's looked-up shingles, the rare ones first, and how many shingles it has."""
+HASHED = pa.struct([("class", pa.int64()), ("n", pa.int32()), ("sigs", pa.list_(pa.int64()))])
+HASHED_SQL = "struct<class: bigint, n: int, sigs: array<bigint>>"
+
+
+def _with_hashes(rows: DataFrame, frequent: dict[int, int]) -> DataFrame:
+    """``rows`` with ``class, n, sigs`` for ``text``: its class, how many shingles it has, and those to be looked up, rare ones first."""
     known = np.array(sorted(frequent), np.int64)
     counts = np.array([frequent[s] for s in known.tolist()], np.int64)
-    returns = pa.struct([("n", pa.int32()), ("sigs", pa.list_(pa.int64()))])
 
-    def first(texts: list[bytes]) -> pa.Array:
-        rows = []
+    def hashed(texts: list[bytes]) -> pa.Array:
+        takes_worker("shingles", gc.collect)
+        classes, sizes, lists = [], [], []
         for text in texts:
             own = shingles(text)
-            rank = np.zeros(len(own), np.int64)
-            if len(known) and len(own):
-                k = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                rank = np.where(known[k] == own, counts[k], 0)
-            rows.append({"n": len(own), "sigs": own[np.lexsort((own, rank))[: looked_up(len(own))]] if len(own) else []})
-        return pa.array(rows, returns)
-
-    rows = with_arrow(marked, "first", "text", "struct<n: int, sigs: array<bigint>>", first)
-    rows = rows.groupBy("class").agg(F.first("first").alias("first"))
-    return rows.select("class", F.col("first.n").alias("n"), F.posexplode("first.sigs").alias("at", "sig"))
-
-
-def _frequent(marked: DataFrame) -> dict[int, int]:
-    """Shingles that several classes of the sample have, with their number; at most ``FREQUENT``."""
-    some = marked.where(F.pmod(F.xxhash64("class"), F.lit(SAMPLED)) == 0)
-    sets = with_arrow(some, "sigs", "text", "array<bigint>", _sets).groupBy("class").agg(F.first("sigs").alias("sigs"))
+            classes.append(_class(own))
+            sizes.append(len(own))
+            if len(own):
+                rank = np.zeros(len(own), np.int64)
+                if len(known):
+                    k = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    rank = np.where(known[k] == own, counts[k], 0)
+                own = own[np.lexsort((own, rank))[: looked_up(len(own))]]
+            lists.append(own)
+        return pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), _lists(lists)], fields=list(HASHED))
+
+    (name,) = fresh(rows, "hashed")
+    return with_arrow(rows, name, "text", HASHED_SQL, hashed).select(*rows.drop("text").columns, f"{name}.*")
+
+
+def _frequent(texts: DataFrame) -> dict[int, int]:
+    """Shingles that several texts of the sample have, with their number; at most ``FREQUENT``."""
+    some = texts.where(F.pmod("x", F.lit(SAMPLED)) == 0).dropDuplicates(["x", "y"])
+    sets = with_arrow(some, "sigs", "text", "array<bigint>", _sets)
     counted = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").count().where(F.col("count") >= SEVERAL)
     return {r["sig"]: r["count"] for r in counted.orderBy(F.desc("count"), "sig").limit(FREQUENT).collect()}
 
 
+def _fits(rest: Column, n: Column, m: Column) -> Column:
+    """Whether sets of these sizes are alike if they share so many shingles."""
+    p, q = LEAST
+    return rest.cast("long") * (p + q) >= (n + m).cast("long") * p
+
+
 def _alike(n: Column, m: Column, at: Column, to: Column) -> Column:
     """Whether sets of these sizes can be alike if the first shingle that they share has these places."""
     p, q = LEAST
-    long, short, rest = F.greatest(n, m).cast("long"), F.least(n, m).cast("long"), F.least(n - at, m - to).cast("long")
-    return (short * q >= long * p) & (rest * (p + q) >= (n + m).cast("long") * p)
+    long, short = F.greatest(n, m).cast("long"), F.least(n, m).cast("long")
+    return (short * q >= long * p) & _fits(F.least(n - at, m - to), n, m)
+
+
+def _leads(n: str, at: str) -> Column:
+    """Whether the shingle at this place may be the first that the set shares with a larger one that is alike.
+
+    Of two sets that are alike the smaller one, of n shingles, has 2 LEAST / (1 + LEAST) n in common with the other or more.
+    """
+    return _fits(F.col(n) - F.col(at), F.col(n), F.col(n))
+
+
+class _Scratch:
+    """Tables in the shared folder that the stage deletes when it is done with them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write the table; the one that had its name before goes, as the new one is made of it."""
+        path, old = scratch(self.spark, name), self.paths.get(name)
+        df = materialise(df, path)
+        self.paths[name] = path
+        if old:
+            remove(self.spark, old)
+        return df
 
+    def drop(self, *names: str) -> None:
+        """Delete tables, and let Spark delete the shuffles of frames that nothing refers to."""
+        for name in names:
+            remove(self.spark, self.paths.pop(name))
+        gc.collect()
+        self.spark._jvm.System.gc()
 
-def _judged(marked: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``a, b``: the pairs whose whole sets are alike. Only the texts that are asked for are read."""
+
+def _beginnings_allow(sigs: Column, sigs2: Column, n: Column, m: Column) -> Column:
+    """Whether sets with these first shingles can be alike: those shared up to the last shared one, and all that follow."""
+    common = F.array_intersect(sigs, sigs2)
+    last = F.try_element_at(common, F.lit(-1))
+    rest = F.least(n - F.array_position(sigs, last), m - F.array_position(sigs2, last))
+    return _fits(F.size(common) + rest, n, m)
+
+
+ROW = ["key", "no_key", "x", "y"]
+
+
+def _judged(texts: DataFrame, classes: DataFrame, pairs: DataFrame, held: _Scratch) -> DataFrame:
+    """``a, b``: the pairs whose whole sets are alike. Only the texts of pairs whose beginnings allow it are read."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    own = held.keep(classes.join(asked, "class", "left_semi").select("class", "n", "sigs"), "beginnings")
+    met = pairs.join(own.toDF("a", "n", "sigs"), "a").join(own.toDF("b", "m", "sigs2"), "b")
+    allowed = _beginnings_allow(F.col("sigs"), F.col("sigs2"), F.col("n"), F.col("m"))
+    pairs = held.keep(met.where(allowed).select("a", "b"), "allowed")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = with_arrow(marked.join(asked, "class", "left_semi"), "s", "text", "array<bigint>", _sets)
-    sets = sets.groupBy("class").agg(F.first("s").alias("s"))
-    sets = materialise(sets, name="sets")
-    found = pairs.join(sets.select(F.col("class").alias("a"), "s"), "a")
-    found = found.join(sets.select(F.col("class").alias("b"), F.col("s").alias("s2")), "b")
+    asked = held.keep(classes.join(asked, "class", "left_semi").select("class", *ROW), "asked")
+    sets = with_arrow(texts.join(asked, ROW), "s", "text", "array<bigint>", _sets)
+    # Rows that are repeated as a whole give their set more than once.
+    sets = held.keep(sets.groupBy("class").agg(F.first("s").alias("s")), "sets")
+    found = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "s2"), "b")
     return found.where(likeness(F.col("s"), F.col("s2")) >= LEAST[0] / LEAST[1]).select("a", "b")
 
 
@@ -117,53 +185,87 @@ def _with_roots(rows: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """The rows of shingles that classes share which are not connected."""
-    mixed = rows.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    return rows.join(mixed.select("sig"), "sig", "left_semi")
+    """The rows of shingles that classes share which are not connected, and that lead in one of them."""
+    mixed = rows.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max(_leads("n", "at")).alias("leads"))
+    return rows.join(mixed.where("least < most AND leads").select("sig"), "sig", "left_semi")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links(marked: DataFrame) -> DataFrame:
-    """``a, b``: links of rows ``class, text`` that connect all classes whose sets are alike."""
-    keys = materialise(_prefixes(marked, _frequent(marked)), name="shingles")
-    keys = materialise(_open(_with_roots(keys, None)).drop("root"), name="shared-shingles")
+def _size_class(n: Column) -> Column:
+    """Sets that are alike are in the same or in neighbouring classes of size."""
+    return F.floor(F.log(n.cast("double")) / float(np.log(LEAST[1] / LEAST[0]) * (1 + 1e-9))).cast("int")
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """``a, b``: the classes of ``rows`` that can be alike and are not connected.
+
+    The smaller set of a pair leads at the shingle, the larger one is in its class of size or the next one. Sets of which
+    much differs before their first shared shingle lead nowhere, so a template's pages do not meet.
+    """
+    small = rows.where(_leads("n", "at")).withColumn("size", F.explode(F.array(_size_class(F.col("n")), _size_class(F.col("n")) + 1)))
+    large = rows.select("sig", F.col("class").alias("other"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("root").alias("root2"))
+    met = small.join(large.withColumn("size", _size_class(F.col("m"))), ["sig", "size"])
+    met = met.where((F.col("root") != F.col("root2")) & (F.col("n") <= F.col("m")))
+    return met.where(_alike(F.col("n"), F.col("m"), F.col("at"), F.col("to"))).select(*_ordered("class", "other")).distinct()
+
+
+def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
+    """``a, b``: links that connect all ``classes`` whose sets are alike.
+
+    ``classes`` has a row for each class: ``class, n, sigs`` and the columns of ``ROW``, by which its text is found in ``texts``.
+    """
+    keys = classes.select("class", "n", F.posexplode("sigs").alias("at", "sig"))
+    # Each class has a shingle once, so one that occurs twice is of two classes.
+    shared = keys.groupBy("sig").agg(F.count("*").alias("c"), F.max(_leads("n", "at")).alias("leads")).where("c > 1 AND leads")
+    keys = held.keep(keys.join(shared.select("sig"), "sig", "left_semi"), "shared")
     found = None
     for turn in range(STARS):
-        rows = _open(_with_roots(keys, found))
+        rows = held.keep(_open(_with_roots(keys, found)), "open")
         head = F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("o"), "class", "n", "at", "root")).alias("head")
         met = rows.join(rows.groupBy("sig").agg(head), "sig").where(F.col("root") != F.col("head.root"))
         met = met.where(_alike(F.col("n"), F.col("head.n"), F.col("at"), F.col("head.at")))
-        pairs = met.select(F.least("class", "head.class").alias("a"), F.greatest("class", "head.class").alias("b")).distinct()
-        found = _added(marked, pairs, found)
-    rows = materialise(_open(_with_roots(keys, found)), name="open-shingles")
-    groups = rows.select("sig", "root").distinct()
-    apart = groups.join(groups.withColumnRenamed("root", "root2"), "sig").where("root < root2")
-    other = rows.select("sig", F.col("class").alias("b"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("root").alias("root2"))
-    met = rows.join(apart, ["sig", "root"]).join(other, ["sig", "root2"])
-    met = met.where(_alike(F.col("n"), F.col("m"), F.col("at"), F.col("to")))
-    pairs = met.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
-    return _added(marked, pairs, found)
+        # A class is judged with one head a turn, that of most of its shingles.
+        votes = met.groupBy("class", F.col("head.class").alias("other")).count()
+        best = votes.groupBy("class").agg(F.max(F.struct("count", "other")).alias("best"))
+        pairs = held.keep(best.select(*_ordered("class", "best.other")).distinct(), "pairs")
+        found = _added(_judged(texts, classes, pairs, held), found, held)
+    rows = held.keep(_open(_with_roots(keys, found)), "open")
+    pairs = held.keep(_all_pairs(rows), "pairs")
+    found = _added(_judged(texts, classes, pairs, held), found, held)
+    held.drop("shared", "open", "pairs")
+    return found
 
 
-def _added(marked: DataFrame, pairs: DataFrame, found: DataFrame | None) -> DataFrame:
-    judged = _judged(marked, materialise(pairs, name="pairs"))
-    return materialise(judged if found is None else found.unionByName(judged), name="alike")
+def _added(judged: DataFrame, found: DataFrame | None, held: _Scratch) -> DataFrame:
+    found = held.keep(judged if found is None else found.unionByName(judged), "alike")
+    held.drop("beginnings", "allowed", "asked", "sets")
+    return found
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of ``docs`` for each class of near duplicates: the one with the least key.
 
     Null, empty and blank texts have no shingles and are alike. A class all of whose keys are null keeps one row too.
-    Columns, also such as ``class``, stay as they are. Of rows that share both key and shingles, any one stays. An empty
-    table gives an empty result.
+    Columns, also such as ``class``, stay as they are. Of rows that share key and text, any one stays. An empty table
+    gives an empty result. Keys are numbers. A row is found again by its key and the hash and length of its text.
     """
-    own, least = fresh(docs, "class", "least_key")
-    marked = with_arrow(docs, own, text, "long", lambda texts: pa.array([_class(t) for t in texts], pa.int64()))
-    marked = materialise(marked, name="near-duplicates")
-    found = links(marked.select(F.col(own).alias("class"), F.col(quoted(text)).cast("string").alias("text")))
-    first = marked.groupBy(F.col(own).alias("class")).agg(F.min(quoted(key)).alias("first"))
+    k, t = F.col(quoted(key)).cast("long"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
+    row = [F.coalesce(k, F.lit(0)), k.isNull(), F.xxhash64(t), F.octet_length(t)]
+    held = _Scratch(docs.sparkSession)
+    texts = docs.select(*(c.alias(n) for c, n in zip(row, ROW, strict=True)), t.alias("text"))
+    marked = held.keep(_with_hashes(texts, _frequent(texts)), "hashes")
     # Nulls come last, so a class with any key has one in its row here.
-    best = F.min(F.struct(F.col("first").isNull().alias("unknown"), "first", "class")).alias("best")
-    kept = _with_roots(first, found).groupBy("root").agg(best)
-    kept = kept.select(F.col("best.first").alias(least), F.col("best.class").alias("kept_class"))
-    same = (marked[own] == kept["kept_class"]) & marked[quoted(key)].eqNullSafe(kept[least])
-    return marked.join(kept, same, "left_semi").dropDuplicates([key, own]).drop(own)
+    best = F.min(F.struct("no_key", "key", "x", "y")).alias("best")
+    classes = marked.groupBy("class").agg(best, F.first("n").alias("n"), F.first("sigs").alias("sigs"))
+    classes = held.keep(classes.select("class", "n", "sigs", "best.*"), "classes")
+    held.drop("hashes")
+    found = links(texts, classes, held)
+    kept = _with_roots(classes, found).groupBy("root").agg(best).select("best.*")
+    names = fresh(docs, *ROW)
+    kept = materialise(kept.select(*(F.col(n).alias(m) for n, m in zip(ROW, names, strict=True))), name="kept")
+    held.drop("classes", "alike")
+    own = docs.withColumns(dict(zip(names, row, strict=True)))
+    return own.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)

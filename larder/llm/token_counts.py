@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from larder.llm.common import decoded, groups, remembered, with_arrow
+from larder.llm.common import decoded, groups, remembered, takes_worker, with_arrow
 
 # Fixed value: characters that the vocabulary's rules call white space.
 SPACES = "\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
@@ -142,6 +142,7 @@ def count_chunks(ranks: RankTable, new: list[str]) -> list[int]:
 
 
 def count_texts(texts: list[bytes], path: str) -> list[int]:
+    takes_worker("token_counts", table.cache_clear)
     ranks, cache = table(path)
     counts: list[int] = []
     for some in groups(texts):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larder.llm.common import decoded, groups, quoted, remembered, slices, texts_of
+from larder.llm.common import decoded, groups, quoted, remembered, slices, takes_worker, texts_of
 from larder.llm.token_counts import Splitter, byte_letters, chunks
 from larder.session import materialise, scratch
 from larder.sources.tables import planned_bytes, sink_width
@@ -188,11 +188,16 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """The encoder of a worker process, which keeps what it has learned."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker process, which keeps what it has learned while the process works on token files."""
+    takes_worker("token_files", _encoder.cache_clear)
+    return _encoder(path)
+
+
 def write(
     docs: DataFrame,
     path: str,

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import decoded, fresh, quoted, texts_of, with_arrow
+from larder.llm.common import decoded, fresh, quoted, takes_worker, texts_of, with_arrow
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -138,7 +138,10 @@ _LEXICONS: dict[tuple, Lexicon] = {}
 
 
 def lexicon(insults: frozenset[str], threats: frozenset[str]) -> Lexicon:
-    """A worker process keeps its lexicon from batch to batch."""
+    """A worker process keeps the lexicon of one model from batch to batch."""
+    takes_worker("toxicity", _LEXICONS.clear)
+    if (insults, threats) not in _LEXICONS:
+        _LEXICONS.clear()
     return _LEXICONS.setdefault((insults, threats), Lexicon(insults, threats))
 
 
