@@ -1,4 +1,10 @@
-"""Full-text search: an inverted index with BM25 ranking, built and queried as DataFrame jobs."""
+"""Full-text search: an inverted index with BM25 ranking, built and queried as DataFrame jobs.
+
+The index is one row for each (term, cell): a cell is a set of about ``CELL`` documents of like length, the same for all
+terms, and the row holds the term's postings there and the greatest score factor among them. Scores of whole documents are
+sums over the terms, so the sum of a cell's greatest factors bounds them. A search for the best documents reads these bounds
+alone first, scores the cells of the greatest bounds, and then only the cells whose bound reaches the n-th score found.
+"""
 
 from __future__ import annotations
 
@@ -9,23 +15,31 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
-from larder.session import concurrently, materialise, remove, scratch
+from larder.session import concurrently, local_rows, materialise, remove, scratch
 from larder.sources.tables import export, write_clustered
 
 
+# Documents of a cell, about, and cells that a search scores before it trusts a bound.
+CELL = 512
+PROBED = 16
+# Sums of the same parts may differ in their last digits.
+SLACK = 1e-9
+
+
 @dataclass(frozen=True)
 class TextIndex:
-    """A stored index. ``postings``: one row per (term, key) with the document length and one tf column per
-    field. ``terms``: document frequency and idf per term. ``corpus``: one row, document count, mean length and the
-    settings that the index was built with; the numbers are read once, when the index is opened.
+    """A stored index. ``blocks``: one row per (term, cell) with idf, number of postings, the greatest score factors (all
+    fields together, and each) and the postings. ``terms``: document frequency and idf per term. ``corpus``: one row,
+    document count, mean length and the settings that the index was built with; the numbers are read once, when the index
+    is opened.
     """
 
-    postings: DataFrame
+    blocks: DataFrame
     terms: DataFrame
     corpus: DataFrame
     key: str
@@ -34,6 +48,11 @@ class TextIndex:
     stemmer: str
     avgdl: float | None
 
+    @property
+    def postings(self) -> DataFrame:
+        """One row per (term, key) with the document length and one tf column per field."""
+        return self.blocks.select("term", F.explode("docs").alias("d")).select(f"d.{self.key}", "term", "d.dl", *(f"d.{_tf(f)}" for f in self.fields))
+
 
 CORPUS = "n_docs bigint, avgdl double, key string, key_type string, fields array<string>, pattern string, stemmer string"
 TERMS = "term string, df bigint, idf double"
@@ -43,18 +62,43 @@ def _tf(field: str) -> str:
     return f"tf_{field}"
 
 
+def _top(field: str) -> str:
+    return f"top_{field}"
+
+
 def open_index(spark: SparkSession, path: str) -> TextIndex:
     """The index with the settings it was built with; all schemas are declared, no file is opened to guess one."""
     corpus = spark.read.schema(CORPUS).parquet(f"{path}/corpus")
     made = corpus.first()
-    counts = ", ".join(f"`{_tf(f)}` int" for f in made["fields"])
-    postings = spark.read.schema(f"`{made['key']}` {made['key_type']}, term string, dl int, {counts}").parquet(f"{path}/postings")
+    counts = ", ".join(f"`{_tf(f)}`: int" for f in made["fields"])
+    tops = ", ".join(f"`{_top(f)}` double" for f in made["fields"])
+    docs = f"docs array<struct<`{made['key']}`: {made['key_type']}, dl: int, {counts}>>"
+    blocks = spark.read.schema(f"term string, cell bigint, idf double, n bigint, top double, {tops}, {docs}").parquet(f"{path}/blocks")
     terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
     return TextIndex(
-        postings, terms, corpus, made["key"], tuple(made["fields"]), made["pattern"], made["stemmer"], made["avgdl"]
+        blocks, terms, corpus, made["key"], tuple(made["fields"]), made["pattern"], made["stemmer"], made["avgdl"]
     )
 
 
+def _factor(tf: Column, dl: Column, avgdl: float | None, k1: float = BM25_K1, b: float = BM25_B) -> Column:
+    """What a document's count of a term contributes to its score, but for the term's weight."""
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avgdl))
+    return tf * F.lit(k1 + 1) / (tf + norm)
+
+
+def _with_cells(counted: DataFrame, key: str) -> DataFrame:
+    """Postings with the cell of their document: its class of length, and a part of the class by the key's hash.
+
+    The classes are of logarithms of an int, some 220 at most; their sizes go to the driver.
+    """
+    length = F.floor(F.log1p("dl") * 10).cast("int")
+    sizes = counted.select(key, "dl").distinct().groupBy(length.alias("length")).count().collect()
+    parts = F.create_map(*(F.lit(v) for r in sizes for v in (r["length"], -(-r["count"] // CELL)))) if sizes else F.lit(None)
+    of_class = parts[length] if sizes else F.lit(1)
+    cell = F.shiftleft(length.cast("long"), 40) + F.pmod(F.xxhash64(key), of_class)
+    return counted.withColumn("cell", cell.cast("long"))
+
+
 def create_index(
     df: DataFrame,
     path: str,
@@ -67,7 +111,8 @@ def create_index(
 
     No stop words. ``key`` is unique. The texts, smaller than their postings, are shuffled once by key, so
     counting words needs no further shuffle and a word found in every document stays spread. The
-    postings are written once, then stored clustered by term: a query reads the files of its terms only.
+    postings are written once, then stored by cells and clustered by term: a query reads the files of its terms only.
+    A row holds the postings of one cell, so a word of every document is as many rows as there are cells.
     """
     spark = df.sparkSession
 
@@ -95,12 +140,21 @@ def create_index(
     found = F.col("df")
     idf = F.log((F.lit(n_docs) - found + F.lit(0.5)) / (found + F.lit(0.5)) + F.lit(1.0))
     terms = counted.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", idf)
-    made = [(n_docs, (total or 0) / n_docs if n_docs else None, key, dict(df.dtypes)[key], list(fields), pattern, stemmer)]
+    avgdl = (total or 0) / n_docs if n_docs else None
+    tfs = [F.col(_tf(f)) for f in fields]
+    tops = {"top": reduce(add, tfs), **{_top(f): tf for f, tf in zip(fields, tfs, strict=True)}}
+    blocks = _with_cells(counted, key).groupBy("term", "cell").agg(
+        F.count("*").alias("n"),
+        *(F.max(_factor(tf, F.col("dl"), avgdl)).alias(name) for name, tf in tops.items()),
+        F.collect_list(F.struct(key, "dl", *tfs)).alias("docs"),  # one cell's documents
+    )
+    blocks = blocks.join(terms.select("term", "idf"), "term").select("term", "cell", "idf", "n", *tops, "docs")
+    made = [(n_docs, avgdl, key, dict(df.dtypes)[key], list(fields), pattern, stemmer)]
     corpus = spark.createDataFrame(made, CORPUS)
     concurrently(
         spark,
         [
-            lambda: write_clustered(counted, f"{path}/postings", ["term", key]),
+            lambda: write_clustered(blocks, f"{path}/blocks", ["term", "cell"]),
             lambda: write_clustered(terms, f"{path}/terms", ["term"]),
             lambda: export(corpus, f"{path}/corpus"),
         ],
@@ -120,20 +174,30 @@ def query_terms(spark: SparkSession, query: str, pattern: str = "[a-z0-9]+", ste
     return row.first()["terms"]
 
 
-def _hits(index: TextIndex, wanted: Sequence[str], fields: Sequence[str] | None) -> DataFrame:
-    """Postings of the terms in the fields; the term filter reaches the scan."""
-    tf = reduce(add, (F.col(_tf(f)) for f in (fields or index.fields)))
-    found = index.postings.filter(F.col("term").isin(list(wanted)))
-    return found.select(index.key, "term", "dl", tf.alias("tf")).filter(F.col("tf") > 0)
-
-
 def _terms_of(index: TextIndex, query: str) -> list[str]:
     return query_terms(index.postings.sparkSession, query, index.pattern, index.stemmer)
 
 
+def _counts(index: TextIndex, blocks: DataFrame, fields: Sequence[str] | None) -> DataFrame:
+    """``key, idf, dl, tf`` of the postings of ``blocks`` with a term in the fields."""
+    tf = reduce(add, (F.col(f"d.{_tf(f)}") for f in (fields or index.fields)))
+    found = blocks.select("idf", F.explode("docs").alias("d"))
+    return found.select(f"d.{index.key}", "idf", "d.dl", tf.alias("tf")).filter("tf > 0")
+
+
+def _asked(index: TextIndex, wanted: Sequence[str]) -> DataFrame:
+    """The terms' blocks; the filter reaches the scan."""
+    return index.blocks.filter(F.col("term").isin(list(wanted)))
+
+
 def matches(index: TextIndex, query: str, fields: Sequence[str] | None = None) -> DataFrame:
     """Keys of the documents that hold any query term in the fields, unranked."""
-    return _hits(index, _terms_of(index, query), fields).select(index.key).distinct()
+    return _counts(index, _asked(index, _terms_of(index, query)), fields).select(index.key).distinct()
+
+
+def _scores(index: TextIndex, blocks: DataFrame, fields: Sequence[str] | None, k1: float, b: float) -> DataFrame:
+    part = F.col("idf") * _factor(F.col("tf"), F.col("dl"), index.avgdl, k1, b)
+    return _counts(index, blocks, fields).groupBy(index.key).agg(F.sum(part).alias("score"))
 
 
 def bm25(
@@ -146,14 +210,48 @@ def bm25(
     """(key, score) of every document that holds any query term in the fields.
 
     Document length, document frequency and the corpus numbers are those of the whole index; ``fields``
-    limits the term frequency. Broadcast are at most as many rows as the query has words.
+    limits the term frequency.
+    """
+    return _scores(index, _asked(index, _terms_of(index, query)), fields, k1, b)
+
+
+def bounds(index: TextIndex, wanted: Sequence[str], fields: Sequence[str] | None = None) -> DataFrame:
+    """``cell, bound, n``: what no document of the cell can exceed, and the number of postings. No posting is read."""
+    fields = fields or index.fields
+    # A factor grows with the count, so that of all fields together bounds any of them.
+    top = F.col(_top(fields[0])) if len(fields) == 1 else F.col("top")
+    found = _asked(index, wanted).groupBy("cell").agg(F.sum(F.col("idf") * top).alias("bound"), F.sum("n").alias("n"))
+    return found.filter("bound > 0")
+
+
+def reaching(index: TextIndex, wanted: Sequence[str], fields: Sequence[str] | None, least: float | None, digits: int) -> DataFrame:
+    """The cells that may hold a document with the rounded score ``least``; all if there is none yet."""
+    found = bounds(index, wanted, fields)
+    return found if least is None else found.filter(F.col("bound") >= least - 10.0**-digits - SLACK)
+
+
+def top_scores(
+    index: TextIndex, query: str, n: int = FULL_TEXT_ROWS, fields: Sequence[str] | None = None, digits: int = 6, probed: int = PROBED
+) -> tuple[DataFrame, list | None]:
+    """The n best of ``bm25``, rounded, ties by key, and their keys if they are known already.
+
+    The same rows as ``best(bm25(...))``. Cells of the greatest bounds are scored first; the n-th score there leaves out all
+    cells whose bound is below it. If it leaves out all others, the n rows are known here; else they are a frame that reads
+    the cells that are left. On the driver are ``probed`` bounds and n rows.
     """
-    wanted = _terms_of(index, query)
-    weights = F.broadcast(index.terms.filter(F.col("term").isin(wanted)).select("term", "idf"))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(index.avgdl))
-    part = F.col("idf") * (F.col("tf") * F.lit(k1 + 1)) / (F.col("tf") + norm)
-    scored = _hits(index, wanted, fields).join(weights, "term")
-    return scored.groupBy(index.key).agg(F.sum(part).alias("score"))
+    spark, wanted = index.blocks.sparkSession, _terms_of(index, query)
+    kind = StructType([index.blocks.schema["docs"].dataType.elementType[index.key], StructField("score", DoubleType())])
+    if not wanted or not n:
+        return local_rows(spark, [], kind), []
+    asked = _asked(index, wanted)
+    first = bounds(index, wanted, fields).orderBy(F.desc("bound"), "cell").limit(probed + 1).collect()
+    some = asked.filter(F.col("cell").isin([r["cell"] for r in first[:probed]]))
+    rows = best(_scores(index, some, fields, BM25_K1, BM25_B), index.key, n, digits).collect() if first else []
+    least = rows[-1]["score"] if len(rows) == n else None
+    if len(first) <= probed or least is not None and first[probed]["bound"] < least - 10.0**-digits - SLACK:
+        return local_rows(spark, rows, kind), [r[0] for r in rows]
+    left = asked.join(reaching(index, wanted, fields, least, digits), "cell", "left_semi")
+    return best(_scores(index, left, fields, BM25_K1, BM25_B), index.key, n, digits), None
 
 
 def best(scores: DataFrame, key: str, n: int = FULL_TEXT_ROWS, digits: int = 6) -> DataFrame:
@@ -172,10 +270,12 @@ def full_text(
 ) -> DataFrame:
     """The n best matches with their catalog columns, best first; a blank query finds nothing.
 
-    ``columns`` start with the index's key. The n best keys, at most n rows, are broadcast to the catalog's scan.
+    ``columns`` start with the index's key. The n best keys, at most n rows, are broadcast to the catalog's scan; where
+    they are known already, they filter it.
     """
-    top = best(bm25(index, query, fields), index.key, n)
-    found = main.select(*columns).join(F.broadcast(top), index.key)
+    top, keys = top_scores(index, query, n, fields)
+    found = main.select(*columns)
+    found = (found if keys is None else found.filter(F.col(index.key).isin(keys))).join(F.broadcast(top), index.key)
     return found.orderBy(F.desc("score"), index.key).limit(n)
 
 

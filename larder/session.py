@@ -9,8 +9,11 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Spark does the planning; these only leave it room to: adaptive plans, skewed joins split at run time,
 # many initial shuffle partitions that are merged down to the advisory size.
@@ -83,6 +86,13 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def local_rows(spark: SparkSession, rows: Sequence, schema: StructType) -> DataFrame:
+    """A few rows as a table that the optimizer folds; no task reads them."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    types = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types, strict=True)], schema=types), schema)
+
+
 def concurrently(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> None:
     """Run independent jobs side by side, so the last tasks of one leave no executor idle. A failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -110,6 +110,36 @@ def r2_top(spark, sf):
     return search.full_text(docs, index, "Crème eaux thes", columns=("doc_id", "lang", "source"))
 
 
+@query(
+    "r2_ranked_by_bounds",
+    "SELECT id AS doc_id, round(score, 6) AS score FROM scores ORDER BY 2 DESC, 1 LIMIT 100",
+    DOC_INDEX,
+    _scores(["ention", "the", "la", "und"], ["text"]),
+)
+def r2_ranked(spark, sf):
+    """The best of many matches of frequent words: cells below the hundredth score are not read."""
+    return search.top_scores(_index(spark, sf, "documents"), "ention the la und", 100, ["text"])[0]
+
+
+@query(
+    "r2_cell_bounds",
+    """SELECT CAST(count(*) AS BIGINT) AS n_postings, bool_and(score > 0) AS all_score, true AS all_bound FROM scores JOIN
+      (SELECT id, term FROM postings WHERE term IN ('the', 'ention')) p USING (id)""",
+    DOC_INDEX,
+    _scores(["the", "ention"], ["text", "source"]),
+)
+def r2_bounds(spark, sf):
+    """Every score is below its cell's bound, and the cells of the bounds hold all postings of the words."""
+    index, wanted = _index(spark, sf, "documents"), ["the", "ention"]
+    cells = search.bounds(index, wanted)
+    scores = search.bm25(index, "the ention")
+    placed = index.blocks.filter(F.col("term").isin(wanted)).select("cell", F.explode("docs.doc_id").alias("doc_id"))
+    met = placed.join(scores, "doc_id").join(cells, "cell")
+    return met.agg(
+        F.count("*").alias("n_postings"), F.bool_and(F.col("score") > 0).alias("all_score"), F.bool_and(F.col("score") <= F.col("bound") + 1e-9).alias("all_bound")
+    )
+
+
 @query(
     "r2_bm25_catalog",
     """SELECT recipe_id, title, coalesce(nutri_score, 'none') AS nutri_score, cook_time_category, round(score, 6) AS score
