@@ -3,7 +3,8 @@
 Texts with equal sets are one class. Two sets that are alike share one of the first ``n - ceil(LEAST * n) + 1`` shingles
 of each in any common order; shingles that a sample of the texts finds frequent come last, so the looked-up ones are rare.
 The first one that they share is in the first ninth of the smaller set. The order only steers the work, every pair of a
-similarity of ``LEAST`` or more is found, and each is judged on whole sets, unless the looked-up shingles rule it out.
+similarity of ``LEAST`` or more is found, and each is judged on whole sets, unless the exclusive-or of two rows of bits
+shows that more than the bound allows differs.
 
 Classes that share a looked-up shingle are first linked to one of them, twice; after that only classes that are not
 connected yet meet as pairs. So a large group of near copies is a star, not all its pairs.
@@ -14,6 +15,7 @@ Texts are hashed in one pass. Only those of pairs to be judged are read again. T
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,22 +71,41 @@ def looked_up(n: int) -> int:
     return n + 1 - -(-n * LEAST[0] // LEAST[1])
 
 
-HASHED = pa.struct([("class", pa.int64()), ("n", pa.int32()), ("sigs", pa.list_(pa.int64()))])
-HASHED_SQL = "struct<class: bigint, n: int, sigs: array<bigint>>"
+HASHED = pa.struct([("class", pa.int64()), ("n", pa.int32()), ("sigs", pa.list_(pa.int64())), ("bits", pa.binary())])
+HASHED_SQL = "struct<class: bigint, n: int, sigs: array<bigint>, bits: binary>"
+
+
+def parities(own: np.ndarray) -> bytes:
+    """A bit for each of four places a shingle or more, set if an odd number of the shingles have the place.
+
+    Bits of two sets that differ are of shingles that one of the sets has alone, so there are as many of these at least. The
+    number of places is a power of two, and the two halves of a row make the row of half the places by exclusive-or.
+    """
+    places = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
+    return np.packbits((np.bincount(own & (places - 1), minlength=places) & 1).astype(bool)).tobytes()
+
+
+def bits_apart(one: bytes, other: bytes) -> int:
+    a, b = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _with_hashes(rows: DataFrame, frequent: dict[int, int]) -> DataFrame:
-    """``rows`` with ``class, n, sigs`` for ``text``: its class, how many shingles it has, and those to be looked up, rare ones first."""
+    """``rows`` with ``class, n, sigs, bits`` for ``text``: its class, how many shingles it has, those to be looked up, rare
+    ones first, and its ``parities``."""
     known = np.array(sorted(frequent), np.int64)
     counts = np.array([frequent[s] for s in known.tolist()], np.int64)
 
     def hashed(texts: list[bytes]) -> pa.Array:
         takes_worker("shingles", gc.collect)
-        classes, sizes, lists = [], [], []
+        classes, sizes, lists, bits = [], [], [], []
         for text in texts:
             own = shingles(text)
             classes.append(_class(own))
             sizes.append(len(own))
+            bits.append(parities(own))
             if len(own):
                 rank = np.zeros(len(own), np.int64)
                 if len(known):
@@ -92,7 +113,7 @@ def _with_hashes(rows: DataFrame, frequent: dict[int, int]) -> DataFrame:
                     rank = np.where(known[k] == own, counts[k], 0)
                 own = own[np.lexsort((own, rank))[: looked_up(len(own))]]
             lists.append(own)
-        return pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), _lists(lists)], fields=list(HASHED))
+        return pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), _lists(lists), pa.array(bits, pa.binary())], fields=list(HASHED))
 
     (name,) = fresh(rows, "hashed")
     return with_arrow(rows, name, "text", HASHED_SQL, hashed).select(*rows.drop("text").columns, f"{name}.*")
@@ -109,7 +130,7 @@ def _frequent(texts: DataFrame) -> dict[int, int]:
 def _fits(rest: Column, n: Column, m: Column) -> Column:
     """Whether sets of these sizes are alike if they share so many shingles."""
     p, q = LEAST
-    return rest.cast("long") * (p + q) >= (n + m).cast("long") * p
+    return rest * F.lit(p + q).cast("long") >= (n + m).cast("long") * p
 
 
 def _alike(n: Column, m: Column, at: Column, to: Column) -> Column:
@@ -143,37 +164,51 @@ class _Scratch:
         return df
 
     def drop(self, *names: str) -> None:
-        """Delete tables, and let Spark delete the shuffles of frames that nothing refers to."""
+        """Delete tables."""
         for name in names:
             remove(self.spark, self.paths.pop(name))
-        gc.collect()
-        self.spark._jvm.System.gc()
+        release(self.spark)
 
 
-def _beginnings_allow(sigs: Column, sigs2: Column, n: Column, m: Column) -> Column:
-    """Whether sets with these first shingles can be alike: those shared up to the last shared one, and all that follow."""
-    common = F.array_intersect(sigs, sigs2)
-    last = F.try_element_at(common, F.lit(-1))
-    rest = F.least(n - F.array_position(sigs, last), m - F.array_position(sigs2, last))
-    return _fits(F.size(common) + rest, n, m)
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to, which it does when the driver's memory is swept."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _bits_apart(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for one, other in parts:
+        yield pa.array([bits_apart(a, b) for a, b in zip(one.to_pylist(), other.to_pylist(), strict=True)], pa.int32())
+
+
+_bits_apart.__annotations__ = {"parts": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
 
 ROW = ["key", "no_key", "x", "y"]
 
 
 def _judged(texts: DataFrame, classes: DataFrame, pairs: DataFrame, held: _Scratch) -> DataFrame:
-    """``a, b``: the pairs whose whole sets are alike. Only the texts of pairs whose beginnings allow it are read."""
+    """``a, b``: the pairs whose whole sets are alike. Only the texts of pairs whose ``parities`` allow it are read."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    own = held.keep(classes.join(asked, "class", "left_semi").select("class", "n", "sigs"), "beginnings")
-    met = pairs.join(own.toDF("a", "n", "sigs"), "a").join(own.toDF("b", "m", "sigs2"), "b")
-    allowed = _beginnings_allow(F.col("sigs"), F.col("sigs2"), F.col("n"), F.col("m"))
+    own = held.keep(classes.join(asked, "class", "left_semi").select("class", "n", "bits"), "parities")
+    met = pairs.join(own.toDF("a", "n", "bits"), "a").join(own.toDF("b", "m", "bits2"), "b")
+    apart = F.arrow_udf(_bits_apart, "int").asNondeterministic()("bits", "bits2")
+    met = met.withColumn("apart", apart)
+    # Shingles of one set alone are counted in both sizes, shared ones twice.
+    allowed = _fits((F.col("n") + F.col("m") - F.col("apart")).cast("double") / 2, F.col("n"), F.col("m"))
     pairs = held.keep(met.where(allowed).select("a", "b"), "allowed")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    asked = held.keep(classes.join(asked, "class", "left_semi").select("class", *ROW), "asked")
-    sets = with_arrow(texts.join(asked, ROW), "s", "text", "array<bigint>", _sets)
+    asked = held.keep(classes.join(asked, "class", "left_semi").select("class", "again", *ROW), "asked")
+
+    def sets(again: bool) -> DataFrame:
+        found = texts.join(asked.where(F.col("again") == again).drop("again"), ROW)
+        return with_arrow(found, "s", "text", "array<bigint>", _sets).select("class", "s")
+
     # Rows that are repeated as a whole give their set more than once.
-    sets = held.keep(sets.groupBy("class").agg(F.first("s").alias("s")), "sets")
-    found = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "s2"), "b")
+    repeated = sets(True).groupBy("class").agg(F.first("s").alias("s"))
+    every = held.keep(sets(False).unionByName(repeated), "sets")
+    release(texts.sparkSession)
+    found = pairs.join(every.toDF("a", "s"), "a").join(every.toDF("b", "s2"), "b")
     return found.where(likeness(F.col("s"), F.col("s2")) >= LEAST[0] / LEAST[1]).select("a", "b")
 
 
@@ -215,7 +250,8 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
 def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
     """``a, b``: links that connect all ``classes`` whose sets are alike.
 
-    ``classes`` has a row for each class: ``class, n, sigs`` and the columns of ``ROW``, by which its text is found in ``texts``.
+    ``classes`` has a row for each class: ``class, n, sigs, bits``, the columns of ``ROW``, by which its text is found in
+    ``texts``, and whether it is found there ``again``.
     """
     keys = classes.select("class", "n", F.posexplode("sigs").alias("at", "sig"))
     # Each class has a shingle once, so one that occurs twice is of two classes.
@@ -241,7 +277,7 @@ def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
 
 def _added(judged: DataFrame, found: DataFrame | None, held: _Scratch) -> DataFrame:
     found = held.keep(judged if found is None else found.unionByName(judged), "alike")
-    held.drop("beginnings", "allowed", "asked", "sets")
+    held.drop("parities", "allowed", "asked", "sets")
     return found
 
 
@@ -259,8 +295,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     marked = held.keep(_with_hashes(texts, _frequent(texts)), "hashes")
     # Nulls come last, so a class with any key has one in its row here.
     best = F.min(F.struct("no_key", "key", "x", "y")).alias("best")
-    classes = marked.groupBy("class").agg(best, F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    classes = held.keep(classes.select("class", "n", "sigs", "best.*"), "classes")
+    classes = marked.groupBy("class").agg(best, *(F.first(c).alias(c) for c in ("n", "sigs", "bits")))
+    again = marked.groupBy(*ROW).agg((F.count("*") > 1).alias("again")).where("again")
+    classes = classes.select("class", "n", "sigs", "bits", "best.*").join(again, ROW, "left")
+    classes = held.keep(classes.withColumn("again", F.coalesce("again", F.lit(False))), "classes")
     held.drop("hashes")
     found = links(texts, classes, held)
     kept = _with_roots(classes, found).groupBy("root").agg(best).select("best.*")
