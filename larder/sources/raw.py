@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from larder.schemas import with_optional
+from larder.sources.split import csv_records, json_objects
 
 
 def read_json_records(spark: SparkSession, path: str | list[str], schema: StructType, layout: str = "array") -> DataFrame:
     """One row per record of a JSON file or directory, with a declared schema.
 
-    ``array``: a file is one JSON array in any formatting. Spark parses such a file in one task, so
-    the rows are rebalanced right after the scan; use many files at scale.
+    ``array``: a file is one JSON array of objects in any formatting. It is read by as many tasks as it has blocks.
+    ``array_whole``: the same, and arrays of anything; a file is parsed in one task, and rebalanced after the scan.
     ``array_lines``: a JSON array with one element per line. The file is split like any text file; a
     line that holds no whole element fails the job instead of being lost.
     ``lines``: JSON lines, the layout for large data; files split as well.
     """
     if layout == "array":
+        return json_objects(spark, path, schema)
+    if layout == "array_whole":
         return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path).hint("rebalance")
     if layout == "lines":
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -35,19 +36,11 @@ def read_json_records(spark: SparkSession, path: str | list[str], schema: Struct
 
 
 def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """The files of a path in groups that share their first line. Only the beginning of each file is read."""
-    files = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())]
-    headers: dict[str, list[str]] = {}
-
-    def look(file: str) -> tuple[str, str | None]:
-        row = spark.read.text(file).first()
-        return file, row["value"] if row else None
-
-    with ThreadPoolExecutor(16) as pool:
-        for file, header in pool.map(inheritable_thread_target(spark)(look), files):
-            if header is not None:
-                headers.setdefault(header, []).append(file)
-    return list(headers.values())
+    """The files of a path in groups that share their first line, found by one job."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    first = lines.where("block = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    files = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [[unquote(f) for f in r["files"]] for r in files]
 
 
 def read_csv_records(
@@ -56,24 +49,17 @@ def read_csv_records(
     """Records of CSV files with a header: quoted fields, doubled quotes, and line breaks inside quotes.
 
     All columns are strings, matched to the schema by each file's own header, and null where the file or the
-    row lacks one. Files whose headers differ are read in groups; one small job for each file finds its header.
-    A file whose fields may hold line breaks cannot be split, so its rows are rebalanced after the
-    scan; ``multi_line=False`` reads files without them in parallel.
+    row lacks one. A file whose fields may hold line breaks is read by as many tasks as it has blocks (see
+    ``split.csv_records`` for the quotes it takes). ``multi_line=False`` reads files without them, in groups whose headers
+    are equal.
     """
+    if multi_line:
+        return csv_records(spark, path, schema)
     names = {f.name: f.dataType.simpleString() for f in schema}
 
     def one(files: list[str]) -> DataFrame:
-        rows = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .csv(files)
-        )
+        rows = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(files)
         return with_optional(rows, names).select(*schema.names)
 
     groups = _by_header(spark, path)
-    if not groups:
-        return spark.createDataFrame([], schema)
-    rows = reduce(DataFrame.unionByName, map(one, groups))
-    return rows.hint("rebalance") if multi_line else rows
+    return reduce(DataFrame.unionByName, map(one, groups)) if groups else spark.createDataFrame([], schema)
