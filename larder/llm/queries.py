@@ -22,7 +22,7 @@ def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its repeated 400-byte strings: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """Every document without its repeated 400-byte strings: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared."""
     return repeats.report(table(spark, sf_dir, "documents"))
 
 

@@ -19,7 +19,7 @@ every copy. Offsets are bytes of the UTF-8 text throughout; what is removed is d
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import quoted, texts_of
+from larder.llm.passages import shared_strings, text_marks
 from larder.llm.suffixes import SuffixRanks, longest_previous_factors
 from larder.session import materialise, remove, scratch
 
@@ -315,7 +316,9 @@ def _changed(marked: DataFrame, contexts: int, kept: Column, keep: str = "none")
     return removals(long.select("t", order), contexts, keep).withColumn("kept", kept).join(copies, "d", "full")
 
 
-def _settled(marked: DataFrame, changed: DataFrame, whole: Column, none: Column, keep: str = "none") -> DataFrame:
+def _settled(
+    marked: DataFrame, changed: DataFrame, whole: Column, none: Column, keep: str = "none", others: Sequence[str] = ()
+) -> DataFrame:
     """A text that occurs twice is removed whole, but for the first if it is kept; one without any repeat stays ``whole``."""
     copied = F.coalesce(F.col("n_copies") > 1, F.lit(False))
     if keep == "first":
@@ -324,7 +327,7 @@ def _settled(marked: DataFrame, changed: DataFrame, whole: Column, none: Column,
         "doc_id", "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, none).otherwise(F.coalesce(F.col("kept"), whole)).alias("kept"),
+        F.when(copied, none).otherwise(F.coalesce(F.col("kept"), whole)).alias("kept"), *others,
     )
 
 
@@ -347,8 +350,15 @@ def without_repeats(
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """As ``without_repeats`` keeping no copy, with the SHA-256 of the remaining bytes, so texts without repeats are not moved again."""
+    """As ``without_repeats`` keeping no copy, with the SHA-256 of the remaining bytes, so texts without repeats are not moved again.
+
+    A passage of 50 words mostly has fewer than LENGTH bytes. ``n_shared`` therefore counts, beside what is removed, the
+    strings of 40 words that ``passages`` picks of the text and finds in another row too, 0 for a text without such.
+    """
     marked = _marked(docs, text, key)
     changed = _changed(marked, CONTEXTS, F.sha2("kept", 256))
-    out = _settled(marked.drop("t"), changed, F.lower(F.hex("d")), F.sha2(F.lit(b""), 256))
-    return out.withColumnRenamed("kept", "kept_sha256")
+    rows = marked.select("*", *text_marks(F.col("t"))).drop("t")
+    out = _settled(rows, changed, F.lower(F.hex("d")), F.sha2(F.lit(b""), 256), others=("x", "y"))
+    shared = F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")
+    out = out.join(shared_strings(marked.select("t")), ["x", "y"], "left").withColumn("n_shared", shared)
+    return out.drop("x", "y").withColumnRenamed("kept", "kept_sha256")

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from larder.llm import passages as passages_module
 from larder.llm import repeats
 from larder.llm.suffixes import SuffixRanks, longest_previous_factors, previous_smaller
 
@@ -93,3 +94,30 @@ def test_longest_previous_factors():
 def test_previous_smaller():
     values = np.array([3, 1, 4, 1, 5, 9, 2, 6])
     assert previous_smaller(values).tolist() == [-1, -1, 1, -1, 3, 4, 3, 6]
+
+
+def test_shared_strings_show_passages_of_fifty_words(spark, words):
+    rng = random.Random(31)
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    passages = [text(n) for n in (50, 51, 60, 90)]
+    rows = [(i, " ".join([*text(rng.randint(5, 80)), *p, *text(rng.randint(5, 80))])) for i, p in enumerate(passages * 2)]
+    clean = [(100 + i, " ".join(text(rng.randint(1, 300)))) for i in range(40)]
+    short = text(39)
+    clean += [(200 + i, " ".join([*text(30), *short, *text(30)])) for i in range(5)]
+    copies = [(300, " ".join(text(70)))] * 2 + [(301, None), (302, None)]
+    docs = spark.createDataFrame(rows + clean + copies, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["n_shared"] for r in repeats.report(docs).collect()}
+    assert all(found[k] > 0 for k, _ in rows) and not any(found[k] for k, _ in clean)
+    assert found[300] == len(passages_module.picked(copies[0][1].encode())) and found[301] == 0
+
+
+def test_picked_strings_are_the_least_of_each_window(words):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(words) for _ in range(140)).encode()
+    split, seen = text.split(), {}
+    for i in range(len(split) - 49):
+        window = b" ".join(split[i : i + 50])
+        own = set(passages_module.picked(window).tolist())
+        assert len(own) == 1 and own <= set(passages_module.picked(text).tolist())
+        seen[i] = own.pop()
+    assert set(seen.values()) == set(passages_module.picked(text).tolist())
