@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.sources.tables import planned_bytes
+
+# A side is sent to every task up to this size, files as they are stored.
+BROADCAST_BYTES = 64 << 20
+
 
 def left_join(base: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return base.join(dim, key, "left")
@@ -59,11 +64,24 @@ def spread_left_join(
     return left.join(right, on, "left").drop("_way", "_dim_key", "_dim_way")
 
 
+def small_side(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its planned size, known before anything runs, is ``most_bytes`` at most; else as it is.
+
+    A size that the optimizer does not know is not small. Beyond the bound the join is planned as any other.
+    """
+    return F.broadcast(df) if planned_bytes(df) <= most_bytes else df
+
+
 def restrict_to(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of base whose key is in ids. The ids are made distinct before the shuffle that the join needs anyway."""
     return base.join(ids.select(key).distinct(), key, "left_semi")
 
 
+def restrict_to_small(base: DataFrame, ids: DataFrame, key: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """As ``restrict_to``; ids of a checked size go to every task, so that base is not shuffled."""
+    return base.join(small_side(ids.select(key), most_bytes), key, "left_semi")
+
+
 def with_details(main: DataFrame, details: DataFrame, key: str = "recipe_id") -> DataFrame:
     """Master view: every main row with its detail columns, null where it has none."""
     return main.join(details, key, "left")

@@ -185,9 +185,9 @@ def l1(spark, sf):
 
 
 def _numbered(ordered, *columns):
-    """The rows with their place in the delivered order, which ``limit`` keeps; the frame is a few rows."""
-    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
-    return ordered.limit(1000).coalesce(1).select(*columns, place.alias("place"))
+    """The rows with their place in the delivered order, one for each group."""
+    place = F.row_number().over(Window.orderBy("_at"))
+    return ordered.withColumn("_at", F.monotonically_increasing_id()).select(*columns, place.alias("place"))
 
 
 @query(

@@ -14,6 +14,7 @@ from larder.plans import ingest, serving
 from larder.plans.publish import nutrition_detail, recipes_main
 from larder.session import scratch
 from larder.sources import tables as store
+from larder.sources.curve import write_by_curve
 from larder.sources.raw import read_csv_records, read_json_records
 from larder.streaming.incremental import append_new_files
 from larder.workload import bindings as b
@@ -185,6 +186,20 @@ def s9(spark, sf):
     return store.read_table(spark, path).filter("ingredient = 'item 42'").select("recipe_id", "title")
 
 
+@query(
+    "s9_curve_layout",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipmode FROM (SELECT *, l_returnflag || l_linestatus AS l_shipmode FROM lineitem)
+      WHERE l_partkey BETWEEN 100 AND 120 OR l_orderkey BETWEEN 500 AND 520""",
+)
+def s9_curve(spark, sf):
+    """Lines laid out by part and order at once; ranges of either skip files."""
+    path = scratch(spark, "s9-curve")
+    lines = table(spark, sf, "lineitem").withColumn("l_shipmode", F.concat("l_returnflag", "l_linestatus"))
+    write_by_curve(lines, path, ["l_partkey", "l_orderkey"], "l_linenumber")
+    found = store.read_table(spark, path).filter("l_partkey BETWEEN 100 AND 120 OR l_orderkey BETWEEN 500 AND 520")
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipmode")
+
+
 @query(
     "s10_export",
     f"SELECT doc_id, {b.KEY_SQL.format('source')} AS title_norm, md5(text) AS digest FROM documents",
