@@ -11,6 +11,7 @@ from larder.constants import MACROS, SEARCH_ROWS
 from larder.functions.arrays import candidates, head
 from larder.functions.text import numbered_steps
 from larder.operators.filters import all_of, holds_text
+from larder.operators.grams import GramIndex, holding, items_holding
 from larder.operators.joins import restrict_to
 from larder.operators.sampling import fixed_sample
 from larder.schemas import with_optional
@@ -27,15 +28,24 @@ def _limited(df: DataFrame, n: int, order_by: str | None) -> DataFrame:
     return (df.orderBy(order_by) if order_by else df).limit(n)
 
 
-def by_name(main: DataFrame, query: str, n: int = SEARCH_ROWS, order_by: str | None = None) -> DataFrame:
-    return _limited(main.filter(holds_text("title", query)).select(*BRIEF), n, order_by)
+def by_name(
+    main: DataFrame, query: str, n: int = SEARCH_ROWS, order_by: str | None = None, titles: GramIndex | None = None
+) -> DataFrame:
+    """With an index of the titles' grams only rows that may hold the text are read for it."""
+    found = holding(main, titles, query) if titles else main.filter(holds_text("title", query))
+    return _limited(found.select(*BRIEF), n, order_by)
+
+
+def _with_item(index: DataFrame, query: str, grams: GramIndex | None) -> DataFrame:
+    return items_holding(index, grams, query) if grams else index.filter(holds_text("ingredient", query))
 
 
 def by_ingredient(
     master: DataFrame, index: DataFrame, query: str, n: int = SEARCH_ROWS, order_by: str | None = None,
-    items: str = "ingredients_raw",
+    items: str = "ingredients_raw", grams: GramIndex | None = None,
 ) -> DataFrame:
-    ids = index.filter(holds_text("ingredient", query))
+    """``grams`` is the index of the distinct ingredients' grams."""
+    ids = _with_item(index, query, grams)
     return _limited(restrict_to(master.select(*BRIEF, items), ids, "recipe_id"), n, order_by)
 
 
@@ -63,10 +73,13 @@ def advanced(
     n: int = SEARCH_ROWS,
     order_by: str | None = None,
     items: str = "ingredients_raw",
+    titles: GramIndex | None = None,
+    grams: GramIndex | None = None,
 ) -> DataFrame:
-    found = master.filter(advanced_predicate(name, max_time, nutri_score))
+    found = holding(master, titles, name) if titles and name else master
+    found = found.filter(advanced_predicate(name, max_time, nutri_score))
     if ingredient:
-        found = restrict_to(found, index.filter(holds_text("ingredient", ingredient)), "recipe_id")
+        found = restrict_to(found, _with_item(index, ingredient, grams), "recipe_id")
     columns = (
         "recipe_id", "title", "cook_minutes", "cook_time_category", "nutri_score", "mit_energy_kcal", "image_url", items
     )

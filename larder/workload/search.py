@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from larder.constants import NO_ITEMS
-from larder.operators import charts, lookup, search
+from larder.operators import charts, grams, lookup, search
 from larder.operators.filters import Facets
 from larder.session import scratch
 from larder.workload import bindings as b
@@ -239,6 +239,53 @@ def r8(spark, sf):
     return found.select("recipe_id", "title", "cook_time_category", "mit_energy_kcal")
 
 
+@lru_cache(maxsize=8)
+def _grams(app: str, spark, sf: str, kind: str, version: tuple) -> grams.GramIndex:
+    if kind == "documents":
+        return grams.create_gram_index(table(spark, sf, "documents"), scratch(spark, "text-grams"), "doc_id", "text")
+    if kind == "titles":
+        return grams.create_gram_index(b.main(spark, sf), scratch(spark, "title-grams"), "recipe_id", "title")
+    return grams.item_index(b.index(spark, sf))
+
+
+def _gram_index(spark, sf: str, kind: str) -> grams.GramIndex:
+    """The stored grams of this session, as ``_index``."""
+    source = "documents" if kind == "documents" else "events"
+    return _grams(spark.sparkContext.applicationId, spark, sf, kind, b.version(spark, sf, source))
+
+
+@query(
+    "r6_text_by_grams",
+    "SELECT doc_id, source, md5(text) AS digest FROM documents WHERE text ILIKE '%TION%the_%src%'",
+)
+def r6_text(spark, sf):
+    found = grams.holding(table(spark, sf, "documents"), _gram_index(spark, sf, "documents"), "TION%the_%src")
+    return found.select("doc_id", "source", F.md5("text").alias("digest"))
+
+
+@query(
+    "r6_rare_text_by_grams",
+    "SELECT doc_id, source FROM documents WHERE text ILIKE '%ement qu%'",
+)
+def r6_rare(spark, sf):
+    return grams.holding(table(spark, sf, "documents"), _gram_index(spark, sf, "documents"), "ement qu").select("doc_id", "source")
+
+
+@query(
+    "r8_composite_by_grams",
+    """SELECT recipe_id, title, cook_time_category FROM main WHERE title ILIKE '%click%' AND cook_minutes <= 50
+      AND recipe_id IN (SELECT recipe_id FROM item_index WHERE ingredient ILIKE '%user 1_%') ORDER BY recipe_id LIMIT 20""",
+    b.MAIN,
+    b.INDEX,
+)
+def r8_grams(spark, sf):
+    titles, items = _gram_index(spark, sf, "titles"), _gram_index(spark, sf, "items")
+    found = lookup.advanced(
+        b.main(spark, sf), b.index(spark, sf), "click", "user 1_", 50, order_by="recipe_id", titles=titles, grams=items
+    )
+    return found.select("recipe_id", "title", "cook_time_category")
+
+
 def _card(where: str) -> str:
     return f"""SELECT recipe_id, title, instructions_text, coalesce(array_to_string(ingredients_validated, '|'), '') AS items,
       coalesce(image_url, '') AS image_url, coalesce(nutri_score, '?') AS nutri_score, coalesce(fat_g, -1) AS fat_g
