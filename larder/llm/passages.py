@@ -1,7 +1,7 @@
 """How much of each text also stands in other rows, told by strings of whole words. DataFrame joins on picked strings.
 
 Of the strings of ``WORDS`` words that lie in a window of ``WINDOW`` words, the one of least hash is picked. So any passage of
-WINDOW words that two texts share has a picked string of both, while only about one string in six is counted.
+WINDOW words that two texts share has a picked string of both, while only about one string in ten is counted.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import slices, texts_of
+from larder.session import materialise, remove, scratch
 
-WORDS = 40
+WORDS = 32
 WINDOW = 50
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,26 +44,28 @@ def picked(text: bytes) -> np.ndarray:
 
 
 def _picked_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a text and its two hashes to the hashes of its picked strings."""
+    """Rows of a text and its hash to the hashes of its picked strings."""
     for part in parts:
         for some in slices(part):
             found = [picked(t) for t in texts_of(some.column(0))]
-            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int64))
-            strings = pa.array(np.concatenate([np.empty(0, np.int64), *found]))
-            yield pa.RecordBatch.from_arrays([strings, *(c.take(at) for c in some.columns[1:])], ["string", "x", "y"])
+            texts = np.repeat(some.column(1).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *found])), pa.array(texts)], ["string", "x"])
 
 
-def text_marks(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("x"), F.octet_length(text).alias("y")]
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text).alias("x")
 
 
 def shared_strings(texts: DataFrame) -> DataFrame:
-    """``x, y, n_shared``: for each distinct text of rows ``t`` with any, how many of its picked strings stand in another row too.
+    """``x, n_shared``: for each distinct text of rows ``t`` with any, how many of its picked strings stand in another row too.
 
-    A text is known by a hash and its length. Strings are counted in each task before they meet; rows with equal texts
-    share all their strings.
+    A text is known by its ``text_hash``. Strings are counted in each task before they meet; rows with equal texts share
+    all their strings.
     """
-    rows = texts.select("t", *text_marks(F.col("t"))).mapInArrow(_picked_rows, "string long, x long, y int")
-    each = rows.groupBy("string", "x", "y").agg(F.count("*").alias("c"))
-    again = each.groupBy("string").agg(F.sum("c").alias("c")).where("c > 1").select("string")
-    return each.join(again, "string", "left_semi").groupBy("x", "y").agg(F.count("*").alias("n_shared"))
+    spark, path = texts.sparkSession, scratch(texts.sparkSession, "picked")
+    rows = materialise(texts.select("t", text_hash(F.col("t"))).mapInArrow(_picked_rows, "string long, x long"), path)
+    again = rows.groupBy("string").count().where("count > 1").select("string")
+    shared = rows.join(again, "string", "left_semi").distinct().groupBy("x").agg(F.count("*").alias("n_shared"))
+    shared = materialise(shared, name="shared-strings")
+    remove(spark, path)
+    return shared

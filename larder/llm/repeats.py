@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import quoted, texts_of
-from larder.llm.passages import shared_strings, text_marks
+from larder.llm.passages import shared_strings, text_hash
 from larder.llm.suffixes import SuffixRanks, longest_previous_factors
 from larder.session import materialise, remove, scratch
 
@@ -353,12 +353,12 @@ def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     """As ``without_repeats`` keeping no copy, with the SHA-256 of the remaining bytes, so texts without repeats are not moved again.
 
     A passage of 50 words mostly has fewer than LENGTH bytes. ``n_shared`` therefore counts, beside what is removed, the
-    strings of 40 words that ``passages`` picks of the text and finds in another row too, 0 for a text without such.
+    strings of 32 words that ``passages`` picks of the text and finds in another row too, 0 for a text without such.
     """
     marked = _marked(docs, text, key)
     changed = _changed(marked, CONTEXTS, F.sha2("kept", 256))
-    rows = marked.select("*", *text_marks(F.col("t"))).drop("t")
-    out = _settled(rows, changed, F.lower(F.hex("d")), F.sha2(F.lit(b""), 256), others=("x", "y"))
+    rows = marked.select("*", text_hash(F.col("t"))).drop("t")
+    out = _settled(rows, changed, F.lower(F.hex("d")), F.sha2(F.lit(b""), 256), others=("x",))
     shared = F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")
-    out = out.join(shared_strings(marked.select("t")), ["x", "y"], "left").withColumn("n_shared", shared)
-    return out.drop("x", "y").withColumnRenamed("kept", "kept_sha256")
+    out = out.join(shared_strings(marked.select("t")), "x", "left").withColumn("n_shared", shared)
+    return out.drop("x").withColumnRenamed("kept", "kept_sha256")

@@ -36,8 +36,9 @@ SEED = 42
 SAMPLED = 16
 SEVERAL = 4
 FREQUENT = 100_000
-# Rounds in which classes are linked to one of their bucket before the rest meets as pairs.
-STARS = 2
+# Rounds in which classes are linked to one of their bucket before the rest meets as pairs: these at least, then as long as
+# one of so many judged pairs is a link, these at most.
+STARS, WORTH, MOST_STARS = 2, 20, 12
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -257,8 +258,10 @@ def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
     # Each class has a shingle once, so one that occurs twice is of two classes.
     shared = keys.groupBy("sig").agg(F.count("*").alias("c"), F.max(_leads("n", "at")).alias("leads")).where("c > 1 AND leads")
     keys = held.keep(keys.join(shared.select("sig"), "sig", "left_semi"), "shared")
-    found = None
-    for turn in range(STARS):
+    found, n, links_of_turn, judged = None, 0, 0, 1
+    for turn in range(MOST_STARS):
+        if turn >= STARS and links_of_turn * WORTH < judged:
+            break
         rows = held.keep(_open(_with_roots(keys, found)), "open")
         head = F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("o"), "class", "n", "at", "root")).alias("head")
         met = rows.join(rows.groupBy("sig").agg(head), "sig").where(F.col("root") != F.col("head.root"))
@@ -268,6 +271,10 @@ def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
         best = votes.groupBy("class").agg(F.max(F.struct("count", "other")).alias("best"))
         pairs = held.keep(best.select(*_ordered("class", "best.other")).distinct(), "pairs")
         found = _added(_judged(texts, classes, pairs, held), found, held)
+        judged, before, n = pairs.count(), n, found.count()
+        links_of_turn = n - before
+        if not judged:
+            break
     rows = held.keep(_open(_with_roots(keys, found)), "open")
     pairs = held.keep(_all_pairs(rows), "pairs")
     found = _added(_judged(texts, classes, pairs, held), found, held)

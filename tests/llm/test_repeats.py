@@ -102,7 +102,7 @@ def test_shared_strings_show_passages_of_fifty_words(spark, words):
     passages = [text(n) for n in (50, 51, 60, 90)]
     rows = [(i, " ".join([*text(rng.randint(5, 80)), *p, *text(rng.randint(5, 80))])) for i, p in enumerate(passages * 2)]
     clean = [(100 + i, " ".join(text(rng.randint(1, 300)))) for i in range(40)]
-    short = text(39)
+    short = text(31)
     clean += [(200 + i, " ".join([*text(30), *short, *text(30)])) for i in range(5)]
     copies = [(300, " ".join(text(70)))] * 2 + [(301, None), (302, None)]
     docs = spark.createDataFrame(rows + clean + copies, "doc_id long, text string").repartition(3)
