@@ -256,10 +256,10 @@ def _gram_index(spark, sf: str, kind: str) -> grams.GramIndex:
 
 @query(
     "r6_text_by_grams",
-    "SELECT doc_id, source, md5(text) AS digest FROM documents WHERE text ILIKE '%TION%the_%src%'",
+    "SELECT doc_id, source, md5(text) AS digest FROM documents WHERE text ILIKE '%IN%onat_%and th%'",
 )
 def r6_text(spark, sf):
-    found = grams.holding(table(spark, sf, "documents"), _gram_index(spark, sf, "documents"), "TION%the_%src")
+    found = grams.holding(table(spark, sf, "documents"), _gram_index(spark, sf, "documents"), "IN%onat_%and th")
     return found.select("doc_id", "source", F.md5("text").alias("digest"))
 
 
