@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +35,13 @@ SHINGLE = 5
 LEAST = (4, 5)
 SEED = 42
 # One of so many classes is looked at for frequent shingles: those of several of these, at most so many.
-SAMPLED = 16
-SEVERAL = 4
-FREQUENT = 100_000
+SAMPLED = 4
+SEVERAL = 3
+FREQUENT = 400_000
 # Rounds in which classes are linked to one of their bucket before the rest meets as pairs: these at least, then as long as
 # one of so many judged pairs is a link, these at most.
-STARS, WORTH, MOST_STARS = 2, 20, 12
+STARS, WORTH, MOST_STARS = 2, 3, 12
+STAR, HEADS = 8, 4
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -72,8 +75,10 @@ def looked_up(n: int) -> int:
     return n + 1 - -(-n * LEAST[0] // LEAST[1])
 
 
-HASHED = pa.struct([("class", pa.int64()), ("n", pa.int32()), ("sigs", pa.list_(pa.int64())), ("bits", pa.binary())])
-HASHED_SQL = "struct<class: bigint, n: int, sigs: array<bigint>, bits: binary>"
+# Rows of bits as long as a mark ride along with the shingles that are looked up.
+MARK = ["w0", "w1", "w2", "w3"]
+HASHED = pa.struct([("class", pa.int64()), ("n", pa.int32()), ("sigs", pa.list_(pa.int64())), ("bits", pa.binary()), *((w, pa.int64()) for w in MARK)])
+HASHED_SQL = f"struct<class: bigint, n: int, sigs: array<bigint>, bits: binary, {', '.join(f'{w}: bigint' for w in MARK)}>"
 
 
 def parities(own: np.ndarray) -> bytes:
@@ -82,22 +87,26 @@ def parities(own: np.ndarray) -> bytes:
     Bits of two sets that differ are of shingles that one of the sets has alone, so there are as many of these at least. The
     number of places is a power of two, and the two halves of a row make the row of half the places by exclusive-or.
     """
-    places = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
+    places = max(64 * len(MARK), 1 << max(0, 4 * len(own) - 1).bit_length())
     return np.packbits((np.bincount(own & (places - 1), minlength=places) & 1).astype(bool)).tobytes()
 
 
+def folded(bits: bytes, size: int) -> np.ndarray:
+    row = np.frombuffer(bits, np.uint8)
+    while len(row) > size:
+        row = row[: len(row) // 2] ^ row[len(row) // 2 :]
+    return row
+
+
 def bits_apart(one: bytes, other: bytes) -> int:
-    a, b = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
-    while len(b) > len(a):
-        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum())
+    size = min(len(one), len(other))
+    return int(np.bitwise_count(folded(one, size) ^ folded(other, size)).sum())
 
 
-def _with_hashes(rows: DataFrame, frequent: dict[int, int]) -> DataFrame:
-    """``rows`` with ``class, n, sigs, bits`` for ``text``: its class, how many shingles it has, those to be looked up, rare
-    ones first, and its ``parities``."""
-    known = np.array(sorted(frequent), np.int64)
-    counts = np.array([frequent[s] for s in known.tolist()], np.int64)
+def _with_hashes(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``rows`` with ``class, n, sigs, bits`` and ``MARK`` for ``text``: its class, how many shingles it has, those to be looked up, rare
+    ones first, its ``parities``, and these folded to a mark of four numbers."""
+    known, counts = frequent
 
     def hashed(texts: list[bytes]) -> pa.Array:
         takes_worker("shingles", gc.collect)
@@ -114,18 +123,23 @@ def _with_hashes(rows: DataFrame, frequent: dict[int, int]) -> DataFrame:
                     rank = np.where(known[k] == own, counts[k], 0)
                 own = own[np.lexsort((own, rank))[: looked_up(len(own))]]
             lists.append(own)
-        return pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), _lists(lists), pa.array(bits, pa.binary())], fields=list(HASHED))
+        rows = np.array([folded(b, 8 * len(MARK)) for b in bits], np.uint8).reshape(-1, 8 * len(MARK)).view(np.int64)
+        marks = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(MARK))]
+        return pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), _lists(lists), pa.array(bits, pa.binary()), *marks], fields=list(HASHED))
 
     (name,) = fresh(rows, "hashed")
     return with_arrow(rows, name, "text", HASHED_SQL, hashed).select(*rows.drop("text").columns, f"{name}.*")
 
 
-def _frequent(texts: DataFrame) -> dict[int, int]:
-    """Shingles that several texts of the sample have, with their number; at most ``FREQUENT``."""
+def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of the sample have, in order, and their numbers; at most ``FREQUENT``."""
     some = texts.where(F.pmod("x", F.lit(SAMPLED)) == 0).dropDuplicates(["x", "y"])
     sets = with_arrow(some, "sigs", "text", "array<bigint>", _sets)
     counted = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").count().where(F.col("count") >= SEVERAL)
-    return {r["sig"]: r["count"] for r in counted.orderBy(F.desc("count"), "sig").limit(FREQUENT).collect()}
+    most = counted.orderBy(F.desc("count"), "sig").limit(FREQUENT).toArrow()
+    known, counts = (most.column(c).to_numpy() for c in ("sig", "count"))
+    order = np.argsort(known)
+    return known[order], counts[order]
 
 
 def _fits(rest: Column, n: Column, m: Column) -> Column:
@@ -141,6 +155,14 @@ def _alike(n: Column, m: Column, at: Column, to: Column) -> Column:
     return (short * q >= long * p) & _fits(F.least(n - at, m - to), n, m)
 
 
+def _marks_allow(other: str) -> Column:
+    """Whether sets can be alike by their marks: a row's own, and those in its columns or field of the name ``other``."""
+    apart = reduce(add, (F.bit_count(F.col(w).bitwiseXOR(F.col(other.format(w)))) for w in MARK))
+    n, m = F.col("n"), F.col(other.format("n"))
+    # Shingles of one set alone are counted in both sizes, shared ones twice.
+    return _fits((n + m - apart).cast("double") / 2, n, m)
+
+
 def _leads(n: str, at: str) -> Column:
     """Whether the shingle at this place may be the first that the set shares with a larger one that is alike.
 
@@ -242,10 +264,33 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     much differs before their first shared shingle lead nowhere, so a template's pages do not meet.
     """
     small = rows.where(_leads("n", "at")).withColumn("size", F.explode(F.array(_size_class(F.col("n")), _size_class(F.col("n")) + 1)))
-    large = rows.select("sig", F.col("class").alias("other"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("root").alias("root2"))
+    large = rows.select("sig", F.col("class").alias("other"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("root").alias("root2"), *(F.col(w).alias(f"other_{w}") for w in MARK))
+    large = large.withColumn("other_n", F.col("m"))
     met = small.join(large.withColumn("size", _size_class(F.col("m"))), ["sig", "size"])
     met = met.where((F.col("root") != F.col("root2")) & (F.col("n") <= F.col("m")))
-    return met.where(_alike(F.col("n"), F.col("m"), F.col("at"), F.col("to"))).select(*_ordered("class", "other")).distinct()
+    return met.where(_alike(F.col("n"), F.col("m"), F.col("at"), F.col("to")) & _marks_allow("other_{}")).select(*_ordered("class", "other")).distinct()
+
+
+def _stars(rows: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: classes with some that they share a shingle with, and are not connected to, as many as there are rows at most.
+
+    The first turn has a star for each shingle. In a later one its classes are dealt out by chance to stars of about
+    ``STAR``, in each turn to others. A star's head is one for which the shingle is early enough in the order to be the first that it shares with
+    a set of its size. A class is judged with the ``HEADS`` heads of most of its shingles.
+    """
+    chance = F.xxhash64(F.lit(turn), "class")
+    if turn:
+        sizes = rows.groupBy("sig").agg(F.ceil(F.count("*") / STAR).alias("stars"))
+        rows = rows.join(sizes, "sig").withColumn("star", F.pmod(chance, "stars"))
+    else:
+        rows = rows.withColumn("star", F.lit(0))
+    head = F.min(F.struct((~_leads("n", "at")).alias("late"), F.xxhash64(F.lit(-turn), "class").alias("o"), "class", "n", "at", "root", *MARK))
+    met = rows.join(rows.groupBy("sig", "star").agg(head.alias("head")), ["sig", "star"]).where(F.col("root") != F.col("head.root"))
+    met = met.where(_alike(F.col("n"), F.col("head.n"), F.col("at"), F.col("head.at")) & _marks_allow("head.{}"))
+    votes = met.groupBy("class", F.col("head.class").alias("other")).count()
+    best = votes.groupBy("class").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "other")), False), 1, HEADS).alias("best"))
+    best = best.select("class", F.explode("best.other").alias("other"))
+    return best.select(*_ordered("class", "other")).distinct()
 
 
 def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
@@ -254,7 +299,7 @@ def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
     ``classes`` has a row for each class: ``class, n, sigs, bits``, the columns of ``ROW``, by which its text is found in
     ``texts``, and whether it is found there ``again``.
     """
-    keys = classes.select("class", "n", F.posexplode("sigs").alias("at", "sig"))
+    keys = classes.select("class", "n", *MARK, F.posexplode("sigs").alias("at", "sig"))
     # Each class has a shingle once, so one that occurs twice is of two classes.
     shared = keys.groupBy("sig").agg(F.count("*").alias("c"), F.max(_leads("n", "at")).alias("leads")).where("c > 1 AND leads")
     keys = held.keep(keys.join(shared.select("sig"), "sig", "left_semi"), "shared")
@@ -263,13 +308,7 @@ def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
         if turn >= STARS and links_of_turn * WORTH < judged:
             break
         rows = held.keep(_open(_with_roots(keys, found)), "open")
-        head = F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("o"), "class", "n", "at", "root")).alias("head")
-        met = rows.join(rows.groupBy("sig").agg(head), "sig").where(F.col("root") != F.col("head.root"))
-        met = met.where(_alike(F.col("n"), F.col("head.n"), F.col("at"), F.col("head.at")))
-        # A class is judged with one head a turn, that of most of its shingles.
-        votes = met.groupBy("class", F.col("head.class").alias("other")).count()
-        best = votes.groupBy("class").agg(F.max(F.struct("count", "other")).alias("best"))
-        pairs = held.keep(best.select(*_ordered("class", "best.other")).distinct(), "pairs")
+        pairs = held.keep(_stars(rows, turn), "pairs")
         found = _added(_judged(texts, classes, pairs, held), found, held)
         judged, before, n = pairs.count(), n, found.count()
         links_of_turn = n - before
@@ -302,9 +341,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     marked = held.keep(_with_hashes(texts, _frequent(texts)), "hashes")
     # Nulls come last, so a class with any key has one in its row here.
     best = F.min(F.struct("no_key", "key", "x", "y")).alias("best")
-    classes = marked.groupBy("class").agg(best, *(F.first(c).alias(c) for c in ("n", "sigs", "bits")))
+    classes = marked.groupBy("class").agg(best, *(F.first(c).alias(c) for c in ("n", "sigs", "bits", *MARK)))
     again = marked.groupBy(*ROW).agg((F.count("*") > 1).alias("again")).where("again")
-    classes = classes.select("class", "n", "sigs", "bits", "best.*").join(again, ROW, "left")
+    classes = classes.select("class", "n", "sigs", "bits", *MARK, "best.*").join(again, ROW, "left")
     classes = held.keep(classes.withColumn("again", F.coalesce("again", F.lit(False))), "classes")
     held.drop("hashes")
     found = links(texts, classes, held)
