@@ -273,7 +273,11 @@ def matches(
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
-    """The rows of ``docs`` that hold no copy of any item."""
+    """The rows of ``docs`` that hold no copy of any item.
+
+    Null and empty texts hold none and stay; long ones are searched whole; repeated rows fare alike; other columns stay.
+    Null items and an empty table of items leave all rows, empty ``docs`` give an empty result.
+    """
     for _, block in blocks(items, item_text, item_key):
         (name,) = fresh(docs, "copies")
         docs = with_copies(docs, block, text, name).where(F.size(name) == 0).drop(name)

@@ -251,7 +251,11 @@ def with_uses(
 
 
 def mixed(docs: DataFrame, members: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them."""
+    """The rows of ``docs`` as often as the mix takes them.
+
+    Null and empty texts have no words, long ones count whole; repeated rows share a draw and are taken alike; other columns
+    stay, ``uses`` among them. An empty table gives an empty one.
+    """
     (uses,) = fresh(docs, "uses")
     out, _ = with_uses(docs, members, text, key, uses)
     return out.withColumn(uses, F.explode(uses)).drop(uses)

@@ -296,7 +296,11 @@ def shared_uri(spark: SparkSession, name: str) -> str:
 
 
 def write_and_read(docs: DataFrame, tokenizer: str, end_id: int | None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write the files to a new folder below the shared one and read them back, without the ids themselves."""
+    """Write the files to a new folder below the shared one and read them back, without the ids themselves.
+
+    Nulls, empty and long texts, equal keys and repeated rows are as in ``write``; other columns are not read. An empty table
+    gives an empty result.
+    """
     spark = docs.sparkSession
     path = shared_uri(spark, "token-files")
     write(docs, path, tokenizer, end_id, text, key)

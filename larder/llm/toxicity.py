@@ -280,6 +280,10 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "
 
 
 def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose score is below the threshold, learned from ``labels``."""
+    """The rows of ``docs`` whose score is below the threshold, learned from ``labels``.
+
+    Null, empty and very long texts are scored as any other, whole; repeated rows and equal keys fare alike; other columns
+    stay, ``score`` among them. Empty ``docs`` give an empty result, without labels the given patterns decide.
+    """
     (name,) = fresh(docs, "score")
     return with_scores(docs, fit(docs, labels, text, key), text, name).where(F.col(name) < THRESHOLD).drop(name)

@@ -57,25 +57,42 @@ def normal_form(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(host(url), F.regexp_replace(path(url), "/+$", ""), query))
 
 
+def _without_dots(target: Column) -> Column:
+    """A path and what follows it, with its ``.`` and ``..`` folders resolved; ``..`` above the root stays there."""
+    begin = F.regexp_extract(target, "(?s)^[^?#]*", 0)
+
+    def step(held: Column, part: Column) -> Column:
+        up = F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", held).otherwise(F.array_append(held, part))
+
+    parts = F.aggregate(F.split(begin, "/"), F.array().cast("array<string>"), step)
+    return F.concat(F.array_join(parts, "/"), F.regexp_extract(target, "(?s)^[^?#]*(.*)$", 1))
+
+
 def absolute(target: Column, url: Column) -> Column:
-    """A link's target as a whole url; null if it is relative to a folder or of another kind."""
+    """A link's target as a whole url, relative ones from the page's folder; null for a place in the page and other schemes."""
     scheme = _part(url, r"(?s)^([^:]*)://")
+    site = F.concat(scheme, F.lit("://"), host(url))
+    folder = F.regexp_replace(path(url), "[^/]*$", "")
     return (
         F.when(F.contains(target, F.lit("://")), target)
         .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(scheme, F.lit("://"), host(url), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, _without_dots(target)))
+        .when(target.rlike("^([A-Za-z][A-Za-z0-9+.-]*:|#)"), F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("?")), F.concat(site, path(url), target))
+        .otherwise(F.concat(site, _without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), target))))
     )
 
 
 def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """The longest rule that fits, as a struct of its length, name and verdict; null if none fits.
+    """The longest rule that fits, as a struct with its name and verdict; null if none fits. Of equally long ones an allow wins.
 
     The rules are a parameter and part of the plan, so they should be some thousands at most.
     """
     fits = [
         F.when(
             ((host == F.lit(h)) | F.endswith(host, F.lit("." + h))) & F.startswith(path, F.lit(p)),
-            F.struct(F.lit(len(h + p)).alias("length"), F.lit(h + p).alias("rule"), F.lit(v).alias("verdict")),
+            F.struct(*(F.lit(x).alias(n) for n, x in (("length", len(h + p)), ("allows", v == "allow"), ("rule", h + p), ("verdict", v)))),
         )
         for v, h, p in rules
     ]
@@ -83,10 +100,10 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``source, target``: from each page's url to its canonical link and to its refresh target, as whole urls."""
-    here, body = F.col(quoted(url)), F.col(quoted(html))
-    canonical = _part(F.regexp_extract(body, CANONICAL_TAG, 0), HREF)
-    found = F.array(canonical, _part(body, REFRESH_TARGET))
+    """``source, target``: from each page's url to all its canonical links and refresh targets, as whole urls."""
+    here, body = F.col(quoted(url)), F.coalesce(F.col(quoted(html)), F.lit(""))
+    canonical = F.transform(F.regexp_extract_all(body, F.lit(CANONICAL_TAG), F.lit(0)), lambda tag: F.regexp_extract(tag, HREF, 1))
+    found = F.concat(canonical, F.regexp_extract_all(body, F.lit(REFRESH_TARGET), F.lit(1)))
     links = pages.select(here.alias("source"), F.explode(found).alias("found")).where("found != ''")
     return links.select("source", absolute(F.col("found"), F.col("source")).alias("target")).where("target IS NOT NULL")
 

@@ -168,14 +168,22 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
 
 
 def damaged_copy(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """A replica for drills: every 97th page has its last letter exchanged, every 97th is lost but for its head."""
+    """A replica for drills: every 97th page has its last letter exchanged, every 97th is lost but for its head.
+
+    By ``key``; rows that share it are damaged alike. A page with a null key stays as it is; a null page
+    stays null if its letter is exchanged, an empty one gets a letter. Other columns stay; an empty table gives an empty one.
+    """
     k, body = F.col(quoted(key)), F.col(quoted(html))
     swapped = F.concat(F.substring(body, 1, F.greatest(F.length(body) - 1, F.lit(0))), F.lit("#"))
     return pages.withColumn(html, F.when(F.pmod(k, F.lit(97)) == 3, swapped).when(F.pmod(k, F.lit(97)) == 60, "").otherwise(body))
 
 
 def report(pages: DataFrame, replica: DataFrame) -> DataFrame:
-    """``page_id, file, ordinal, lo, hi, sha256, status`` of each record of ``pages``; intact ones are never descended to."""
+    """``page_id, file, ordinal, lo, hi, sha256, status`` of each record of ``pages``; intact ones are never descended to.
+
+    Null and empty pages are records of an empty body, long ones are hashed whole; repeated rows are records of their own;
+    other columns are not read. An empty table gives an empty result.
+    """
     own = materialise(_manifest(pages), name="primary")
     found = audit(own, materialise(replica_leaves(own, replica), name="replica")).select("file", "ordinal", "status")
     return own.join(found, ["file", "ordinal"], "left").select(

@@ -64,3 +64,23 @@ def test_redirects_join_classes(pages, spark):
 
 def test_empty_table(pages):
     assert url_aliases.verdicts(pages.limit(0)).count() == 0
+
+
+def test_an_allow_wins_among_rules_of_one_length(spark):
+    rules = [("allow", "b.c", "/x/"), ("block", "b.c", "/x/"), ("block", "a.b.c", "/"), ("allow", "b.c", "/xy")]
+    pages = spark.createDataFrame([(1, "http://b.c/x/1", None), (2, "http://a.b.c/xy", None)], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_aliases.verdicts(pages, rules).collect()}
+    assert got == {1: ("b.c/x/", "allow"), 2: ("b.c/xy", "allow")}
+
+
+def test_all_links_of_a_page_are_followed_from_its_folder(spark):
+    url = "https://H.org/a/b/page.html?q=1"
+    tags = ["../up.html", "./same.html", "next.html", "?p=2", "/root", "//other.net/x", "http://full.org/y", "#place", "mailto:x@y", "../../../top"]
+    html = "".join(f'<link rel="canonical" href="{t}">' for t in tags) + '<meta http-equiv="refresh" content="0; url=later.html">'
+    pages = spark.createDataFrame([(1, url, html), (2, url, None), (3, None, html)], "page_id long, url string, html string")
+    got = {r["target"] for r in url_aliases.alias_links(pages).collect() if r["source"]}
+    site = "https://h.org"
+    assert got == {
+        f"{site}/a/up.html", f"{site}/a/b/same.html", f"{site}/a/b/next.html", f"{site}/a/b/page.html?p=2", f"{site}/root",
+        "https://other.net/x", "http://full.org/y", f"{site}/top", f"{site}/a/b/later.html",
+    }
