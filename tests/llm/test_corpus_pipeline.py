@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from larder.llm import mixing
 from larder.llm.registry import TOKENIZER
-from test_simhash import brute_classes, brute_fingerprint
+from test_shingles import brute_kept
 from tokenizers import Tokenizer
 
 
@@ -30,6 +30,9 @@ def folder(spark, words, tmp_path_factory):
             body += " " + items[i % 5][1] + " " + text(9)
         elif i % 10 == 7:
             body = docs[i - 1][1]
+        elif i % 20 == 9:
+            # One word of the last copied text changed at its end, near the bound of 0.8 for short texts.
+            body = " ".join([*docs[i - 3][1].split()[:-1], "other"])
         docs.append((i, body, "en", f"s{i % 4}", len(body)))
         if i % 2:
             labels.append((i, 1, toxic))
@@ -45,16 +48,14 @@ def test_stages(spark, folder):
     docs = spark.read.parquet(f"{place}/documents.parquet")
     texts = {k: t or "" for k, t, *_ in rows}
     left = {k for k in texts if "idiot" not in texts[k]}
+    edited = {k for k in range(9, 300, 20)}
     for (name, stage), n in zip(corpus_pipeline.STAGES[:4], range(4), strict=True):
         docs = stage(spark, docs, place).cache()
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         found = Counter(r["doc_id"] for r in docs.collect())
         if n == 1:
-            classes = brute_classes({brute_fingerprint(texts[k]) for k in left})
-            least = {}
-            for k in sorted(left):
-                least.setdefault(classes[brute_fingerprint(texts[k])], k)
-            left = set(least.values())
+            left = set(brute_kept([(k, texts[k]) for k in left]))
+            assert not left & edited
         if n == 2:
             left = {k for k in left if not any(t in texts[k] for _, t in items)}
         if n < 3:
