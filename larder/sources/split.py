@@ -3,17 +3,21 @@
 A file is read in pieces that end at a byte that may end a record: ``}`` for an array of JSON objects, a line feed for CSV.
 Whether it does depends on the quotes (and braces) before it. Each block of the file is scanned on its own and gives its
 end state for both possible beginnings, inside or outside of quotes. A pass over the blocks, one row each, settles which
-holds. Inside a block, running sums over its pieces tell the records apart. Records that a block's border cuts are a
-fragment on each side; these few are put together by their order.
+holds. A second scan, which knows that, cuts each block into records. Pieces are far smaller than records, so they are put
+together again and looked through batch by batch where they are read; only the few records that a block's border cuts
+are moved: they are a fragment on each side, put together by their order.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,41 +25,28 @@ from pyspark.sql.types import StringType, StructField, StructType
 from larder.session import materialise
 
 BLOCK = ("file", "block")
+QUOTE, BACKSLASH, OPEN, CLOSE = b'"\\{}'
 
 
 @dataclass(frozen=True)
 class Format:
-    """``end``: what ends a piece. ``bare``: the piece without what must not be counted. ``braces``: whether records nest."""
+    """``end``: what ends a piece. ``braces``: whether records nest and quotes are escaped by backslashes."""
 
     end: str
     braces: bool
 
-    def bare(self, piece: Column) -> Column:
-        # A backslash escapes one character of a JSON string; no escape is cut, as none ends in a brace.
-        return F.regexp_replace(piece, r"\\.", "") if self.braces else piece
-
 
 JSON = Format("}", True)
 CSV = Format("\n", False)
 
 
-def _count(text: Column, mark: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(mark)))
-
-
 def _pieces(spark: SparkSession, path: str | Sequence[str], kind: Format) -> DataFrame:
-    """``file, block, at, value`` and what a piece adds: ``quotes``, and braces opened if it begins outside or inside quotes."""
+    """``file, block, value``: in a task, the pieces of a block follow each other in their order."""
     rows = spark.read.option("lineSep", kind.end).text(path)
-    at = F.monotonically_increasing_id().alias("at")
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), at, "value")
-    rows = rows.withColumn("bare", kind.bare(F.col("value"))).withColumn("quotes", _count(F.col("bare"), '"'))
-    if kind.braces:
-        outside = F.regexp_replace("bare", r'"[^"]*("|$)', "")
-        inside = F.regexp_replace(F.regexp_replace("bare", r'^[^"]*("|$)', ""), r'"[^"]*("|$)', "")
-        rows = rows.withColumns({"opened0": _count(outside, "{"), "opened1": _count(inside, "{")})
-    else:
-        rows = rows.withColumns({"opened0": F.lit(0), "opened1": F.lit(0)})
-    return rows.drop("bare")
+    file = F.col("_metadata.file_path")
+    # Pieces of JSON are as small as a word, so the file's name is not repeated with them.
+    file = F.xxhash64(file) if kind.braces else file
+    return rows.select(file.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary"))
 
 
 def _running(column: Column, *keys: str, order: Sequence[str]) -> Column:
@@ -64,49 +55,148 @@ def _running(column: Column, *keys: str, order: Sequence[str]) -> Column:
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
-def _with_depth(pieces: DataFrame, quoted: str, kind: Format) -> DataFrame:
-    """``inside``: whether a piece begins in quotes; ``ends_inside``; ``net``: braces opened less the one that ends it."""
-    begins = (F.col(quoted) + _running(F.col("quotes"), *BLOCK, order=["at"])) % 2
-    rows = pieces.withColumn("inside", begins).withColumn("ends_inside", (F.col("inside") + F.col("quotes")) % 2)
-    opened = F.when(F.col("inside") == 0, F.col("opened0")).otherwise(F.col("opened1"))
-    closed = F.when(F.col("ends_inside") == 0, F.lit(1 if kind.braces else 0)).otherwise(F.lit(0))
-    return rows.withColumn("net", opened - closed)
+def _parts(batch: pa.RecordBatch, end: str) -> Iterator[tuple[pa.RecordBatch, bytes]]:
+    """The rows of each block in a batch, and their text with all ends."""
+    place = [pc.dictionary_encode(batch.column(c)).indices.to_numpy() for c in BLOCK]
+    cuts = 1 + np.flatnonzero((np.diff(place[0]) != 0) | (np.diff(place[1]) != 0))
+    for at, to in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        rows = batch.slice(at, to - at)
+        pieces = rows.column("value").cast(pa.large_binary())
+        whole = pa.LargeListArray.from_arrays(pa.array([0, len(pieces)], pa.int64()), pieces)
+        yield rows, pc.binary_join(whole, pa.scalar(end.encode(), pa.large_binary()))[0].as_py() + end.encode()
+
+
+def _signs(text: bytes, kind: Format) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of quotes and of what may open or end a record, what is there, and whether the quotes up to it are odd."""
+    row = np.frombuffer(text, np.uint8)
+    quotes = row == QUOTE
+    if kind.braces:
+        slashes = np.flatnonzero(row == BACKSLASH)
+        if len(slashes):
+            # An odd run of backslashes escapes what follows it.
+            first = slashes[np.append(True, np.diff(slashes) != 1)]
+            last = slashes[np.append(np.diff(slashes) != 1, True)]
+            quotes[last[(last - first) % 2 == 0] + 1] = False
+        at = np.flatnonzero(quotes | (row == OPEN) | (row == CLOSE))
+    else:
+        at = np.flatnonzero(quotes | (row == ord(kind.end)))
+    return at, row[at], np.cumsum(row[at] == QUOTE) % 2
+
+
+def _net(what: np.ndarray) -> np.ndarray:
+    return (what == OPEN).astype(np.int64) - (what == CLOSE)
+
+
+def _ends(text: bytes, kind: Format, inside: int, depth: int) -> tuple[np.ndarray, int, int]:
+    """Where records end in a text that begins ``inside`` quotes or not and so many braces deep, and the same for its end."""
+    at, what, odd = _signs(text, kind)
+    free = (odd + inside) % 2 == 0
+    then = int((inside + (what == QUOTE).sum()) % 2)
+    at, what = at[free & (what != QUOTE)], what[free & (what != QUOTE)]
+    if not kind.braces:
+        return at, then, depth
+    deep = depth + np.cumsum(_net(what))
+    return at[(what == CLOSE) & (deep == 0)], then, int(deep[-1]) if len(deep) else depth
+
+
+def _scanner(kind: Format) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``blocks``: quotes of a block, and braces opened less those closed if it begins outside or inside quotes."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, found = None, [0, 0, 0, b""]
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({n: [v] for n, v in zip([*BLOCK, "quotes", "net0", "net1", "first"], [*own, *found], strict=True)})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for rows, text in _parts(batch, kind.end):
+                place = [rows.column(c)[0].as_py() for c in BLOCK]
+                if place != own:
+                    if own is not None:
+                        yield row()
+                    # Headers are at the beginning of a file.
+                    own, found = place, [0, 0, 0, b"" if place[1] or kind.braces else rows.column("value")[0].as_py()]
+                _, what, odd = _signs(text, kind)
+                sums = [int((what == QUOTE).sum()), 0, 0]
+                if kind.braces:
+                    # After an odd number of quotes the text is outside of them if it began inside.
+                    flip = found[0] % 2
+                    sums[1:] = [int(_net(what[(odd + flip) % 2 == s]).sum()) for s in (0, 1)]
+                found = [*(a + b for a, b in zip(found[:3], sums, strict=True)), found[3]]
+        if own is not None:
+            yield row()
+
+    return scan
+
+
+def _cutter(kind: Format) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows ``file, block, number, closes, continued, text`` of the records and fragments of each block."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, inside, depth, number, continued, rest = None, 0, 0, 0, False, []
+
+        def made(rows: list[tuple], places: pa.RecordBatch) -> pa.RecordBatch:
+            names = [*BLOCK, "number", "closes", "continued", "text"]
+            types = [*(places.schema.field(c).type for c in BLOCK), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        def left() -> list[tuple]:
+            text = b"".join(rest)
+            return [(*own, number, 0, continued and not number, text[:-1])] if text else []
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            out, last = [], batch
+            for rows, text in _parts(batch, kind.end):
+                place = [rows.column(c)[0].as_py() for c in BLOCK]
+                if place != own:
+                    out += left() if own is not None else []
+                    inside, depth = (rows.column(c)[0].as_py() for c in ("begins", "depth"))
+                    own, number, continued, rest = place, 0, inside == 1 or depth > 0, []
+                ends, inside, depth = _ends(text, kind, inside, depth)
+                start = 0
+                for end in ends.tolist():
+                    rest.append(text[start:end])
+                    out.append((*own, number, 1, continued and not number, b"".join(rest)))
+                    start, number, rest = end + 1, number + 1, []
+                rest.append(text[start:])
+            yield made(out, batch)
+        if own is not None:
+            yield made(left(), last)
+
+    return cut
+
+
+def _types(pieces: DataFrame) -> str:
+    return ", ".join(f"{c} {dict(pieces.dtypes)[c]}" for c in BLOCK)
 
 
 def blocks(pieces: DataFrame, kind: Format) -> DataFrame:
-    """One row for each block: its first piece, and whether and how deep inside a record it begins.
+    """One row for each block: whether and how deep inside a record it begins, and its first piece if that may be a header.
 
     Each block is scanned for both beginnings at once; the order of the blocks then settles them.
     """
-    # Quotes are counted alike for both beginnings, only braces are not.
-    both = pieces.withColumn("start", F.explode(F.array(*map(F.lit, (0, 1) if kind.braces else (0,)))))
-    keyed = both.withColumn("block", F.col("block") * 2 + F.col("start"))
-    net = _with_depth(keyed, "start", kind).groupBy(F.col("file"), F.expr("block div 2").alias("block"), "start")
-    net = net.agg(F.sum("net").alias("net"), F.sum("quotes").alias("quotes"), F.min_by("value", "at").alias("first"))
-    whole = net.groupBy("file", "block").agg(
-        F.max("quotes").alias("quotes"), F.max(F.when(F.col("start") == 0, F.col("net"))).alias("net0"),
-        F.max(F.when(F.col("start") == 1, F.col("net"))).alias("net1"), F.max("first").alias("first"),
-    )
+    whole = pieces.mapInArrow(_scanner(kind), f"{_types(pieces)}, quotes long, net0 long, net1 long, first binary")
     whole = whole.withColumn("begins", _running(F.col("quotes"), "file", order=["block"]) % 2)
-    settled = F.when(F.col("begins") == 0, F.col("net0")).otherwise(F.coalesce("net1", "net0"))
+    settled = F.when(F.col("begins") == 0, F.col("net0")).otherwise(F.col("net1"))
     whole = whole.withColumn("depth", _running(settled, "file", order=["block"]))
-    return whole.select("file", "block", "begins", "depth", "first")
+    return whole.select(*BLOCK, "begins", "depth", F.col("first").cast("string"))
 
 
 def records(pieces: DataFrame, borders: DataFrame, kind: Format) -> DataFrame:
     """``file, block, number, closes, text``: all records, from the pieces and the ``blocks`` of their files.
 
-    ``text`` is without what ends it; ``closes`` is 0 for what is left open at the end of a file.
+    ``text`` is without what ends it; ``closes`` is 0 for what is left open at the end of a file. The borders, a row for
+    each block, go to every task.
     """
-    rows = _with_depth(pieces.join(borders.select(*BLOCK, "begins", "depth"), list(BLOCK)), "begins", kind)
-    depth = F.col("depth") + _running(F.col("net"), *BLOCK, order=["at"]) + F.col("net")
-    rows = rows.withColumn("closes", ((F.col("ends_inside") == 0) & (depth == 0)).cast("int"))
-    rows = rows.withColumn("number", _running(F.col("closes"), *BLOCK, order=["at"]))
-    continued = ((F.col("begins") == 1) | (F.col("depth") > 0)) & (F.col("number") == 0)
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda p: p["value"])  # one record's pieces
-    texts = rows.withColumn("continued", continued).groupBy(*BLOCK, "number").agg(
-        F.max("continued").alias("continued"), F.max("closes").alias("closes"), F.array_join(parts, kind.end).alias("text")
-    )
+    known = pieces.join(F.broadcast(borders.select(*BLOCK, "begins", "depth")), list(BLOCK))
+    texts = known.mapInArrow(_cutter(kind), f"{_types(pieces)}, number long, closes int, continued boolean, text binary")
+    texts = materialise(texts.withColumn("text", F.col("text").cast("string")), name="records")
     whole = texts.where("closes = 1 AND NOT continued")
     # Two fragments a block at most: the end of a record that began before, and one that goes on after.
     cut = texts.where("closes = 0 OR continued")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from larder import schemas
@@ -45,15 +49,24 @@ def s1_array_lines(spark, sf):
     return _layer1_digest(ingest.stage_layer1(read_json_records(spark, path, schemas.RAW_LAYER1, "array_lines")))
 
 
+def _as_array(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of a task, a line feed between them, as one array."""
+    mark = "["
+    for part in parts:
+        for i in range(0, part.num_rows, 100):
+            marks = pa.array([mark, *[","] * (min(100, part.num_rows - i) - 1)])
+            yield pa.RecordBatch.from_pydict({"value": pc.binary_join_element_wise(marks, part.column(0).slice(i, 100).cast(pa.string()), "\n")})
+            mark = ","
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
+
+
 @query("s1_json_array_scan", _LAYER1, b.STAGING)
 def s1_array(spark, sf):
     """Each file one JSON array over many lines, as the raw data set has it."""
     path = scratch(spark, "s1")
     raw = b.raw_layer1(spark, sf)
-    part = F.pmod(F.xxhash64("id"), F.lit(64))
-    records = raw.select(part.alias("part"), F.to_json(F.struct(*raw.columns), {"pretty": "true"}).alias("record"))
-    whole = records.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value"))
-    whole.repartition(64, "part").select("value", "part").write.partitionBy("part").text(path)
+    records = raw.select("id", F.to_json(F.struct(*raw.columns), {"pretty": "true"}).alias("value")).repartition(64, "id")
+    records.select("value").mapInArrow(_as_array, "value string").write.text(path)
     rows = read_json_records(spark, path, schemas.RAW_LAYER1, "array")
     return _layer1_digest(ingest.stage_layer1(rows))
 

@@ -89,3 +89,13 @@ def test_empty_csv_files(spark, tmp_path):
     (tmp_path / "head.csv").write_text("id,name\n")
     for multi_line in (True, False):
         assert read_csv_records(spark, str(tmp_path), RAW_KAGGLE, multi_line).collect() == []
+
+
+def test_pieces_are_not_shuffled(spark, tmp_path):
+    """A piece is as small as a word; what is moved are blocks, a row each, and records at a border."""
+    (tmp_path / "one.json").write_text(json.dumps([{"id": str(i), "n": [{"k": "x"}] * 20} for i in range(50)]))
+    pieces = split._pieces(spark, str(tmp_path), split.JSON)
+    found = split.blocks(pieces, split.JSON)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.index("Exchange") < plan.index("MapInArrow")
+    assert [(r["begins"], r["depth"]) for r in found.collect()] == [(0, 0)]
