@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.filters import holds_text
-from larder.session import scratch
-from larder.sources.tables import write_clustered
+from larder.session import materialise, remove, scratch
+from larder.sources.tables import TEXT_BYTES, planned_bytes, sink_width, write_clustered
 
 SIZE = 3
 # Rows of a cell, about; grams of a pattern that are looked up, the rarest ones.
 CELL = 4096
 LOOKED_UP = 4
+# Rows that are Python objects at a time.
+SLICE = 1000
 
 
 @dataclass(frozen=True)
@@ -28,19 +34,59 @@ class GramIndex:
     column: str
 
 
+def distinct_grams(text: bytes) -> np.ndarray:
+    """The distinct grams of a text as sorted numbers of three times 21 bits."""
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+    return np.unique(points[:-2] << 42 | points[1:-1] << 21 | points[2:])
+
+
+def _gram(number: int) -> str:
+    return "".join(chr(number >> at & 0x1FFFFF) for at in (42, 21, 0))
+
+
+def _grams_of_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each gram of a cell: how many of its rows have it, and their keys in order."""
+    rows = pa.Table.from_batches(batches)
+    rows = rows.take(pc.sort_indices(rows.column("k"))).combine_chunks()
+    keys, grams, holders = rows.column("k").combine_chunks(), [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+    for i in range(0, rows.num_rows, SLICE):
+        for j, text in enumerate(rows.column("text").slice(i, SLICE).to_pylist(), i):
+            own = distinct_grams(text or b"")
+            grams.append(own)
+            holders.append(np.full(len(own), j, np.int32))
+    found, owner = np.concatenate(grams), np.concatenate(holders)
+    order = np.argsort(found, kind="stable")
+    found, owner = found[order], owner[order]
+    cuts = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.empty(0, np.int64)
+    ends = np.append(cuts, len(found))
+    cell = rows.column("cell")[0].as_py()
+    for at in range(0, len(cuts), SLICE):
+        some = ends[at : at + SLICE + 1]
+        lists = pa.ListArray.from_arrays(pa.array((some - some[0]).astype(np.int32)), keys.take(pa.array(owner[some[0] : some[-1]])))
+        names = [_gram(g) for g in found[some[:-1]].tolist()]
+        columns = [pa.array(names, pa.string()), pa.array([cell] * len(names), pa.int64()), pa.array(np.diff(some)), lists]
+        yield pa.RecordBatch.from_arrays(columns, names=["gram", "cell", "n", "keys"])
+
+
 def create_gram_index(df: DataFrame, path: str, key: str, column: str) -> GramIndex:
     """Index the lower-cased ``column`` of ``df``; ``key`` is unique. Null and shorter texts have no gram.
 
+    Texts are shuffled once, by cell; their grams are counted where they then are, in time that grows with their length.
     The table is clustered by gram, so a search reads the files of its grams only. A gram of every row is as many rows as
     there are cells.
     """
-    text = F.lower(column)
-    at = F.sequence(F.lit(1), F.length(text) - (SIZE - 1))
-    grams = F.when(F.length(text) >= SIZE, F.array_distinct(F.transform(at, lambda i: F.substring(text, i, F.lit(SIZE)))))
     cells = max(1, -(-df.count() // CELL))
-    rows = df.select(F.col(key).alias("k"), F.pmod(F.xxhash64(key), F.lit(cells)).alias("cell"), F.explode(grams).alias("gram"))
-    held = rows.groupBy("gram", "cell").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("k")).alias("keys"))  # one cell's keys
+    texts = df.where(F.col(key).isNotNull()).select(
+        F.pmod(F.xxhash64(key), F.lit(cells)).alias("cell"), F.col(key).alias("k"), F.lower(column).cast("binary").alias("text")
+    )
+    # Texts are smaller than what they become, so more tasks than their bytes suggest; a given number is not merged.
+    width = sink_width(planned_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), TEXT_BYTES)
+    made = texts.repartition(width, "cell").groupBy("cell").applyInArrow(_grams_of_cell, f"gram string, cell bigint, n bigint, keys array<{dict(df.dtypes)[key]}>")
+    # The bounds of the ranges come from a pass of their own, which reads this copy.
+    copy = scratch(df.sparkSession, "held-grams")
+    held = materialise(made, copy)
     write_clustered(held, path, ["gram", "cell"])
+    remove(df.sparkSession, copy)
     return open_gram_index(df.sparkSession, path, key, dict(df.dtypes)[key], column)
 
 

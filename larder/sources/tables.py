@@ -13,6 +13,8 @@ MODES = {"replace": "overwrite", "append": "append"}
 
 
 TASK_BYTES = 128 * 1024 * 1024
+# Stored bytes of texts that a task takes apart into their words or grams.
+TEXT_BYTES = 8 * 1024 * 1024
 # The optimizer knows no size of some inputs and puts the largest long in its place, scaled by the columns that are left.
 UNKNOWN_BYTES = 1 << 55
 
@@ -57,10 +59,10 @@ def _file_options(rows_per_file: int, lookup: Sequence[str]) -> dict[str, str]:
 
 
 def write_clustered(
-    df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = ()
+    df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = (), n_bytes: int | None = None
 ) -> None:
     """``lookup`` names columns that get bloom filters: equality on them skips row groups in any order of rows."""
-    clustered(df, by).write.mode("overwrite").options(**_file_options(rows_per_file, lookup)).parquet(path)
+    clustered(df, by, n_bytes).write.mode("overwrite").options(**_file_options(rows_per_file, lookup)).parquet(path)
 
 
 def write_partitioned(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,14 @@ def test_catalog_searches(spark):
         assert ids(lookup.by_ingredient(main, items, query, grams=of_items)) == ids(lookup.by_ingredient(main, items, query))
     assert ids(lookup.advanced(main, items, "tomato", "tomato", 30, titles=titles, grams=of_items)) == ["1"]
     assert ids(lookup.advanced(main, items, max_time=20, titles=titles, grams=of_items)) == ["1", "3"]
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    start = time.monotonic()
+    df = spark.createDataFrame([(1, "in on " * 60_000), (2, "in conaton, hand than"), (3, "and than in onats in")], "id long, t string")
+    made = grams.create_gram_index(df, scratch(spark, "grams"), "id", "t")
+    assert made.grams.where("gram = 'in '").first()["keys"] == [1, 2, 3]
+    # A search that tries each "in" with each "on" behind it takes the length's square.
+    assert [r["id"] for r in df.filter(holds_text("t", "IN%ON%on_ %and th")).collect()] == [2]
+    assert [r["id"] for r in grams.holding(df, made, "in%nat_n%and th").collect()] == [2]
+    assert time.monotonic() - start < 60
