@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -21,19 +21,21 @@ from larder.constants import BM25_B, BM25_K1, FULL_TEXT_ROWS, SEARCH_ROWS
 from larder.functions.text import STEMMERS, words
 from larder.operators.filters import all_of
 from larder.session import concurrently, local_rows, materialise, remove, scratch
-from larder.sources.tables import export, write_clustered
+from larder.sources.tables import TEXT_BYTES, export, planned_bytes, sink_width, write_clustered
 
 
 # Documents of a cell, about, and cells that a search scores before it trusts a bound.
 CELL = 512
 PROBED = 16
+# Lists of postings are larger in a task than stored, about.
+LISTED = 4
 # Sums of the same parts may differ in their last digits.
 SLACK = 1e-9
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """A stored index. ``blocks``: one row per (term, cell) with idf, number of postings, the greatest score factors (all
+    """A stored index. ``blocks``: one row per (term, cell) with the number of postings, the greatest score factors (all
     fields together, and each) and the postings. ``terms``: document frequency and idf per term. ``corpus``: one row,
     document count, mean length and the settings that the index was built with; the numbers are read once, when the index
     is opened.
@@ -73,7 +75,7 @@ def open_index(spark: SparkSession, path: str) -> TextIndex:
     counts = ", ".join(f"`{_tf(f)}`: int" for f in made["fields"])
     tops = ", ".join(f"`{_top(f)}` double" for f in made["fields"])
     docs = f"docs array<struct<`{made['key']}`: {made['key_type']}, dl: int, {counts}>>"
-    blocks = spark.read.schema(f"term string, cell bigint, idf double, n bigint, top double, {tops}, {docs}").parquet(f"{path}/blocks")
+    blocks = spark.read.schema(f"term string, cell bigint, n bigint, top double, {tops}, {docs}").parquet(f"{path}/blocks")
     terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
     return TextIndex(
         blocks, terms, corpus, made["key"], tuple(made["fields"]), made["pattern"], made["stemmer"], made["avgdl"]
@@ -86,17 +88,11 @@ def _factor(tf: Column, dl: Column, avgdl: float | None, k1: float = BM25_K1, b:
     return tf * F.lit(k1 + 1) / (tf + norm)
 
 
-def _with_cells(counted: DataFrame, key: str) -> DataFrame:
-    """Postings with the cell of their document: its class of length, and a part of the class by the key's hash.
-
-    The classes are of logarithms of an int, some 220 at most; their sizes go to the driver.
-    """
-    length = F.floor(F.log1p("dl") * 10).cast("int")
-    sizes = counted.select(key, "dl").distinct().groupBy(length.alias("length")).count().collect()
-    parts = F.create_map(*(F.lit(v) for r in sizes for v in (r["length"], -(-r["count"] // CELL)))) if sizes else F.lit(None)
-    of_class = parts[length] if sizes else F.lit(1)
-    cell = F.shiftleft(length.cast("long"), 40) + F.pmod(F.xxhash64(key), of_class)
-    return counted.withColumn("cell", cell.cast("long"))
+def _cells(length: Column, key: str, sizes: Sequence[Row]) -> Column:
+    """The cell of a document: its class of length, and a part of the class by the key's hash."""
+    parts = F.create_map(*(F.lit(v) for r in sizes for v in (r["length"], -(-r["n"] // CELL)))) if sizes else None
+    of_class = F.lit(1) if parts is None else parts[length]
+    return (F.shiftleft(length.cast("long"), 40) + F.pmod(F.xxhash64(key), of_class)).cast("long")
 
 
 def create_index(
@@ -109,9 +105,9 @@ def create_index(
 ) -> TextIndex:
     """Index text or array columns (array items are read one after the other) and store the index.
 
-    No stop words. ``key`` is unique. The texts, smaller than their postings, are shuffled once by key, so
-    counting words needs no further shuffle and a word found in every document stays spread. The
-    postings are written once, then stored by cells and clustered by term: a query reads the files of its terms only.
+    No stop words. ``key`` is unique. The texts, smaller than their postings, are shuffled once, by cell, so that counting
+    words and listing postings need no further shuffle and a word found in every document stays spread. The lists are
+    written once, then clustered by term: a query reads the files of its terms only.
     A row holds the postings of one cell, so a word of every document is as many rows as there are cells.
     """
     spark = df.sparkSession
@@ -124,37 +120,44 @@ def create_index(
         return F.transform(f"_t{i}", lambda t: F.struct(F.lit(i).alias("field"), t.alias("word")))
 
     parts = range(len(fields))
-    docs = df.select(key, *fields).repartition(key).select(key, *(tokens(f).alias(f"_t{i}") for i, f in enumerate(fields)))
+    size = reduce(add, (F.size(tokens(f)) for f in fields))
+    # The classes are of logarithms of an int, some 220 at most; their numbers go to the driver. Characters are counted, so
+    # that the shuffle waits for no words.
+    chars = reduce(add, (F.coalesce(F.length(F.array_join(f, " ") if isinstance(df.schema[f].dataType, ArrayType) else F.col(f)), F.lit(0)) for f in fields))
+    length = F.floor(F.log1p(chars) * 10).cast("int")
+    sizes = df.select(length.alias("length"), size.alias("dl")).groupBy("length").agg(F.count("*").alias("n"), F.sum("dl").alias("dl")).collect()
+    n_docs, total = sum(r["n"] for r in sizes), sum(r["dl"] for r in sizes)
+    avgdl = total / n_docs if n_docs else None
+    width = sink_width(planned_bytes(df), int(spark.conf.get("spark.sql.shuffle.partitions")), TEXT_BYTES)
+    placed = df.select(key, *fields, _cells(length, key, sizes).alias("_cell")).repartition(width, "_cell")
+    docs = placed.select(key, "_cell", *(tokens(f).alias(f"_t{i}") for i, f in enumerate(fields)))
     occurrences = docs.select(
         key,
+        "_cell",
         reduce(add, (F.size(f"_t{i}") for i in parts)).alias("dl"),
         F.explode(F.concat(*(tagged(i) for i in parts))).alias("t"),
-    ).select(key, "dl", STEMMERS[stemmer](F.col("t.word")).alias("term"), "t.field")
-    counted = occurrences.groupBy(key, "term", "dl").agg(
+    ).select(key, F.col("_cell").alias("cell"), "dl", STEMMERS[stemmer](F.col("t.word")).alias("term"), "t.field")
+    counted = occurrences.groupBy("cell", key, "term", "dl").agg(
         *(F.count_if(F.col("field") == i).cast("int").alias(_tf(f)) for i, f in enumerate(fields))
     )
-    copy = scratch(spark, "postings")
-    counted = materialise(counted, copy)
-    # Documents are counted in the stored index; those without any word are the rest of the input's row count.
-    total, n_docs = counted.agg(F.sum(reduce(add, (F.col(_tf(f)) for f in fields))).alias("n")).first()["n"], df.count()
-    found = F.col("df")
-    idf = F.log((F.lit(n_docs) - found + F.lit(0.5)) / (found + F.lit(0.5)) + F.lit(1.0))
-    terms = counted.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", idf)
-    avgdl = (total or 0) / n_docs if n_docs else None
     tfs = [F.col(_tf(f)) for f in fields]
     tops = {"top": reduce(add, tfs), **{_top(f): tf for f, tf in zip(fields, tfs, strict=True)}}
-    blocks = _with_cells(counted, key).groupBy("term", "cell").agg(
+    blocks = counted.groupBy("term", "cell").agg(
         F.count("*").alias("n"),
         *(F.max(_factor(tf, F.col("dl"), avgdl)).alias(name) for name, tf in tops.items()),
         F.collect_list(F.struct(key, "dl", *tfs)).alias("docs"),  # one cell's documents
     )
-    blocks = blocks.join(terms.select("term", "idf"), "term").select("term", "cell", "idf", "n", *tops, "docs")
+    copy = scratch(spark, "postings")
+    blocks = materialise(blocks, copy)
+    found = F.col("df")
+    idf = F.log((F.lit(n_docs) - found + F.lit(0.5)) / (found + F.lit(0.5)) + F.lit(1.0))
+    terms = blocks.groupBy("term").agg(F.sum("n").alias("df")).withColumn("idf", idf)
     made = [(n_docs, avgdl, key, dict(df.dtypes)[key], list(fields), pattern, stemmer)]
     corpus = spark.createDataFrame(made, CORPUS)
     concurrently(
         spark,
         [
-            lambda: write_clustered(blocks, f"{path}/blocks", ["term", "cell"]),
+            lambda: write_clustered(blocks, f"{path}/blocks", ["term", "cell"], n_bytes=LISTED * planned_bytes(blocks)),
             lambda: write_clustered(terms, f"{path}/terms", ["term"]),
             lambda: export(corpus, f"{path}/corpus"),
         ],
@@ -186,8 +189,9 @@ def _counts(index: TextIndex, blocks: DataFrame, fields: Sequence[str] | None) -
 
 
 def _asked(index: TextIndex, wanted: Sequence[str]) -> DataFrame:
-    """The terms' blocks; the filter reaches the scan."""
-    return index.blocks.filter(F.col("term").isin(list(wanted)))
+    """The terms' blocks with their ``idf``; the filter reaches both scans, and a row for each term goes to the tasks."""
+    of_terms = F.col("term").isin(list(wanted))
+    return index.blocks.filter(of_terms).join(F.broadcast(index.terms.filter(of_terms).select("term", "idf")), "term")
 
 
 def matches(index: TextIndex, query: str, fields: Sequence[str] | None = None) -> DataFrame:

@@ -68,3 +68,14 @@ def test_a_word_of_all_documents_is_many_rows(index):
     rows = index.blocks.where("term = 'w0'").select("n", F.size("docs").alias("m")).collect()
     assert len(rows) > 60 and all(r["n"] == r["m"] for r in rows) and max(r["n"] for r in rows) < 100
     assert sum(r["n"] for r in rows) == index.terms.where("term = 'w0'").first()["df"]
+
+
+def test_the_build_moves_texts_and_no_postings(spark, index, monkeypatch):
+    """Rows are stored without a join with their term, and each is made where the texts of its cell are."""
+    plans = []
+    made = search.materialise
+    monkeypatch.setattr(search, "materialise", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or made(df, *a))
+    df = spark.createDataFrame([(i, f"a b{i}") for i in range(20)], "id long, t string")
+    search.create_index(df, scratch(spark, "moved"), "id", ("t",))
+    assert "idf" not in index.blocks.columns and len(plans) == 1
+    assert plans[0].count("Exchange") == 1
