@@ -18,7 +18,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates (0.8 of their five-word shingles), the one with the least doc_id."""
+    """One document of each class of near duplicates, the one with the least doc_id.
+
+    SimHash fingerprints link, as in ``op1``; what they link is checked exactly (0.8 of the five-word shingles), and what they
+    miss of that likeness is found by the shingles.
+    """
     return shingles.keep_one(docs)
 
 

@@ -6,7 +6,9 @@ The first one that they share is in the first ninth of the smaller set. The orde
 similarity of ``LEAST`` or more is found, and each is judged on whole sets, unless the exclusive-or of two rows of bits
 shows that more than the bound allows differs.
 
-Classes that share a looked-up shingle are first linked to one of them, twice; after that only classes that are not
+Classes whose texts have SimHash fingerprints (``simhash``) within its radius of each other are judged first, those that are
+not alike are no link. Three of 64 bits show few of the pairs near the bound, so the others are looked for by shingles:
+classes that share a looked-up shingle are first linked to one of them, twice; after that only classes that are not
 connected yet meet as pairs. So a large group of near copies is a star, not all its pairs.
 
 Texts are hashed in one pass. Only those of pairs to be judged are read again. Tables of this stage are deleted with it.
@@ -25,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.llm import simhash
 from larder.llm.common import fresh, quoted, takes_worker, with_arrow
 from larder.llm.components import components
 from larder.llm.spotsigs import likeness
@@ -293,17 +296,30 @@ def _stars(rows: DataFrame, turn: int) -> DataFrame:
     return best.select(*_ordered("class", "other")).distinct()
 
 
-def links(texts: DataFrame, classes: DataFrame, held: _Scratch) -> DataFrame:
-    """``a, b``: links that connect all ``classes`` whose sets are alike.
+def _by_fingerprints(prints: DataFrame) -> DataFrame:
+    """``a, b``: classes that fingerprints link, from the rows ``fp, class`` of all texts: those of one fingerprint are a star."""
+    heads = prints.groupBy("fp").agg(F.min("class").alias("head"))
+    same = prints.join(heads, "fp").select("class", F.col("head").alias("other"))
+    near = simhash.links(heads)
+    near = near.join(heads.toDF("a", "class"), "a").join(heads.toDF("b", "other"), "b").select("class", "other")
+    return same.unionByName(near).where("class != other").select(*_ordered("class", "other")).distinct()
+
+
+def links(texts: DataFrame, classes: DataFrame, prints: DataFrame, held: _Scratch) -> DataFrame:
+    """``a, b``: links that connect all ``classes`` whose sets are alike; ``prints`` has their fingerprints.
 
     ``classes`` has a row for each class: ``class, n, sigs, bits``, the columns of ``ROW``, by which its text is found in
     ``texts``, and whether it is found there ``again``.
     """
-    keys = classes.select("class", "n", *MARK, F.posexplode("sigs").alias("at", "sig"))
+    pairs = held.keep(_by_fingerprints(prints), "pairs")
+    found = _added(_judged(texts, classes, pairs, held), None, held)
+    keys = classes.select("class", "n", F.posexplode("sigs").alias("at", "sig"))
     # Each class has a shingle once, so one that occurs twice is of two classes.
     shared = keys.groupBy("sig").agg(F.count("*").alias("c"), F.max(_leads("n", "at")).alias("leads")).where("c > 1 AND leads")
-    keys = held.keep(keys.join(shared.select("sig"), "sig", "left_semi"), "shared")
-    found, n, links_of_turn, judged = None, 0, 0, 1
+    # Most shingles are of one class alone; the marks, far longer than these rows, follow the others only.
+    keys = keys.join(shared.select("sig"), "sig", "left_semi").join(classes.select("class", *MARK), "class")
+    keys = held.keep(keys, "shared")
+    n, links_of_turn, judged = found.count(), 0, 1
     for turn in range(MOST_STARS):
         if turn >= STARS and links_of_turn * WORTH < judged:
             break
@@ -338,7 +354,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     row = [F.coalesce(k, F.lit(0)), k.isNull(), F.xxhash64(t), F.octet_length(t)]
     held = _Scratch(docs.sparkSession)
     texts = docs.select(*(c.alias(n) for c, n in zip(row, ROW, strict=True)), t.alias("text"))
-    marked = held.keep(_with_hashes(texts, _frequent(texts)), "hashes")
+    marked = held.keep(_with_hashes(simhash.with_fingerprints(texts), _frequent(texts)), "hashes")
+    prints = held.keep(marked.select("fp", "class").distinct(), "prints")
     # Nulls come last, so a class with any key has one in its row here.
     best = F.min(F.struct("no_key", "key", "x", "y")).alias("best")
     classes = marked.groupBy("class").agg(best, *(F.first(c).alias(c) for c in ("n", "sigs", "bits", *MARK)))
@@ -346,10 +363,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     classes = classes.select("class", "n", "sigs", "bits", *MARK, "best.*").join(again, ROW, "left")
     classes = held.keep(classes.withColumn("again", F.coalesce("again", F.lit(False))), "classes")
     held.drop("hashes")
-    found = links(texts, classes, held)
+    found = links(texts, classes, prints, held)
     kept = _with_roots(classes, found).groupBy("root").agg(best).select("best.*")
     names = fresh(docs, *ROW)
     kept = materialise(kept.select(*(F.col(n).alias(m) for n, m in zip(ROW, names, strict=True))), name="kept")
-    held.drop("classes", "alike")
+    held.drop("classes", "alike", "prints")
     own = docs.withColumns(dict(zip(names, row, strict=True)))
     return own.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)

@@ -9,7 +9,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from larder.llm import mixing
+from larder.llm import mixing, simhash
 from larder.llm.registry import TOKENIZER
 from test_shingles import brute_kept
 from tokenizers import Tokenizer
@@ -96,3 +96,12 @@ def test_stages_without_labels_and_items(spark, docs, rows, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, str(tmp_path))
     assert docs.count() > 40
+
+
+def test_near_duplicates_go_through_fingerprints(spark, folder, monkeypatch):
+    """Texts that fingerprints link are judged before any is looked for by its shingles."""
+    asked, known = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda found, *a: asked.append({r["fp"] for r in found.collect()}) or known(found, *a))
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, folder[0]).count() < docs.count()
+    assert asked == [{simhash.fingerprint((t or "").encode() if not isinstance(t, bytes) else t) for _, t, *_ in folder[1]}]
