@@ -25,9 +25,9 @@ def _write_raw(spark, sf: str) -> str:
     for name, resource in ingest.RESOURCES.items():
         raw, path = b.RAW[name](spark, sf), f"{root}/{resource.file}"
         if resource.is_csv:
-            raw.write.option("header", True).option("escape", '"').csv(path)
+            raw.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
         else:
-            raw.write.json(path)
+            raw.write.option("compression", "gzip").json(path)
     return root
 
 
