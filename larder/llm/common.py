@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -98,7 +99,12 @@ _owner: list = ["", lambda: None]
 
 
 def takes_worker(name: str, forget: Callable[[], object]) -> None:
-    """An operator says so when it uses a worker process; what another one remembers there is forgotten then."""
+    """An operator says so when it uses a worker process; what another one remembers there is forgotten then.
+
+    The memory goes back to the machine, as idle workers keep what they hold beside the tasks of later stages.
+    """
     if _owner[0] != name:
         _owner[1]()
         _owner[:] = [name, forget]
+        gc.collect()
+        pa.default_memory_pool().release_unused()

@@ -265,6 +265,8 @@ def read(spark: SparkSession, path: str, wanted: list[int] | None = None, tokens
     arrow = pa.schema(types + ([("tokens", pa.list_(pa.int64()))] if tokens else []))
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker that wrote files needs its encoder no more.
+        takes_worker("token_readers", lambda: None)
         store, root = fs.FileSystem.from_uri(path)
         for part in parts:
             for name, base in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):

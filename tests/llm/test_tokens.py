@@ -66,6 +66,18 @@ def test_files_hold_all_documents_in_order(spark, docs, rows, tmp_path):
     assert sorted(r["doc_id"] for r in some.collect()) == [100, 150]
 
 
+def test_readers_give_up_the_encoder_of_their_worker(spark, docs):
+    def held(parts):
+        from larder.llm import common, token_files
+
+        for _ in parts:
+            yield pa.RecordBatch.from_pydict({"owner": [common._owner[0]], "n": [token_files._encoder.cache_info().currsize]})
+
+    assert token_files.write_and_read(docs, TOKENIZER, 1).count() == docs.count()
+    workers = spark.range(0, 64, 1, 64).mapInArrow(held, "owner string, n long").collect()
+    assert {r["n"] for r in workers if r["owner"] == "token_readers"} == {0}
+
+
 def test_only_wanted_frames_are_read_and_damage_is_seen(tmp_path):
     place = tmp_path / "one.zst"
     with place.open("wb") as out:
