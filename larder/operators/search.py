@@ -27,8 +27,9 @@ from larder.sources.tables import TEXT_BYTES, export, planned_bytes, sink_width,
 # Documents of a cell, about, and cells that a search scores before it trusts a bound.
 CELL = 512
 PROBED = 16
-# Lists of postings are larger in a task than stored, about.
-LISTED = 4
+# Index rows of at least so many postings are laid out apart from the others, and bytes of a row and a posting in a task, about.
+FREQUENT = 64
+ROW, POSTING = 64, 72
 # Sums of the same parts may differ in their last digits.
 SLACK = 1e-9
 
@@ -68,6 +69,11 @@ def _top(field: str) -> str:
     return f"top_{field}"
 
 
+def _parts(path: str) -> tuple[str, str]:
+    """The folders of rows with many and with few postings."""
+    return f"{path}/blocks/frequent", f"{path}/blocks/rare"
+
+
 def open_index(spark: SparkSession, path: str) -> TextIndex:
     """The index with the settings it was built with; all schemas are declared, no file is opened to guess one."""
     corpus = spark.read.schema(CORPUS).parquet(f"{path}/corpus")
@@ -75,7 +81,7 @@ def open_index(spark: SparkSession, path: str) -> TextIndex:
     counts = ", ".join(f"`{_tf(f)}`: int" for f in made["fields"])
     tops = ", ".join(f"`{_top(f)}` double" for f in made["fields"])
     docs = f"docs array<struct<`{made['key']}`: {made['key_type']}, dl: int, {counts}>>"
-    blocks = spark.read.schema(f"term string, cell bigint, n bigint, top double, {tops}, {docs}").parquet(f"{path}/blocks")
+    blocks = spark.read.schema(f"term string, cell bigint, n bigint, top double, {tops}, {docs}").parquet(*_parts(path))
     terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
     return TextIndex(
         blocks, terms, corpus, made["key"], tuple(made["fields"]), made["pattern"], made["stemmer"], made["avgdl"]
@@ -107,7 +113,7 @@ def create_index(
 
     No stop words. ``key`` is unique. The texts, smaller than their postings, are shuffled once, by cell, so that counting
     words and listing postings need no further shuffle and a word found in every document stays spread. The lists are
-    written once, then clustered by term: a query reads the files of its terms only.
+    written once, then clustered by term, long and short ones apart: a query reads the files of its terms only.
     A row holds the postings of one cell, so a word of every document is as many rows as there are cells.
     """
     spark = df.sparkSession
@@ -152,12 +158,18 @@ def create_index(
     found = F.col("df")
     idf = F.log((F.lit(n_docs) - found + F.lit(0.5)) / (found + F.lit(0.5)) + F.lit(1.0))
     terms = blocks.groupBy("term").agg(F.sum("n").alias("df")).withColumn("idf", idf)
+    # Ranges hold like numbers of rows, so rows of like size are laid out together: else the long rows of one frequent term fill
+    # a range. Two rows of sums say how wide the layout must be.
+    many = F.col("n") >= FREQUENT
+    sums = {r["many"]: ROW * r["rows"] + POSTING * r["n"] for r in blocks.groupBy(many.alias("many")).agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
+    frequent, rare = _parts(path)
     made = [(n_docs, avgdl, key, dict(df.dtypes)[key], list(fields), pattern, stemmer)]
     corpus = spark.createDataFrame(made, CORPUS)
     concurrently(
         spark,
         [
-            lambda: write_clustered(blocks, f"{path}/blocks", ["term", "cell"], n_bytes=LISTED * planned_bytes(blocks)),
+            lambda: write_clustered(blocks.filter(many), frequent, ["term", "cell"], n_bytes=sums.get(True, 0)),
+            lambda: write_clustered(blocks.filter(~many), rare, ["term", "cell"], n_bytes=sums.get(False, 0)),
             lambda: write_clustered(terms, f"{path}/terms", ["term"]),
             lambda: export(corpus, f"{path}/corpus"),
         ],

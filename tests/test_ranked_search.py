@@ -79,3 +79,22 @@ def test_the_build_moves_texts_and_no_postings(spark, index, monkeypatch):
     search.create_index(df, scratch(spark, "moved"), "id", ("t",))
     assert "idf" not in index.blocks.columns and len(plans) == 1
     assert plans[0].count("Exchange") == 1
+
+
+def test_long_rows_are_laid_out_apart_and_by_their_postings(spark, monkeypatch):
+    """Ranges hold like numbers of rows: beside short ones, the long rows of one term would fill a range."""
+    parts = []
+    made = search.write_clustered
+    monkeypatch.setattr(search, "write_clustered", lambda df, path, by, **k: parts.append((df, by, k)) or made(df, path, by, **k))
+    df = spark.createDataFrame([(i, f"a b{i}") for i in range(900)], "id long, t string")
+    index = search.create_index(df, scratch(spark, "long"), "id", ("t",))
+    terms = index.blocks.groupBy("term").agg(F.sum("n").alias("n")).collect()
+    assert {r["term"]: r["n"] for r in terms} == {"a": 900} | {f"b{i}": 1 for i in range(900)}
+    kept = [spark.read.parquet(p).agg(F.min("n"), F.max("n"), F.sum("n")).first() for p in search._parts(_root(index))]
+    assert kept[0][0] >= search.FREQUENT > kept[1][1]
+    widths = [k["n_bytes"] for _, by, k in parts if by == ["term", "cell"]]
+    assert len(widths) == 2 and all(w >= search.POSTING * r[2] for w, r in zip(sorted(widths), sorted(kept, key=lambda r: r[2]), strict=True))
+
+
+def _root(index):
+    return index.terms.inputFiles()[0].rsplit("/terms/", 1)[0]
