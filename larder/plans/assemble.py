@@ -10,11 +10,14 @@ from pyspark.sql.types import StringType
 
 from larder.functions.text import json_strings
 from larder.operators.dedupe import keep_one
-from larder.operators.joins import frequent_values, left_join, spread_left_join
-from larder.sources.tables import read_table
+from larder.operators.joins import BROADCAST_BYTES, frequent_values, left_join, left_join_on, spread_left_join
+from larder.session import materialise
+from larder.sources.tables import planned_bytes, read_table
 
 # The array columns, which may also arrive as JSON text.
 LISTS = ("ingredients_raw", "image_urls", "ingredients_validated", "tags")
+# Rows of short columns are so many times larger in memory than stored, at most about.
+UNPACKED = 8
 
 
 def decoded(df: DataFrame) -> DataFrame:
@@ -42,6 +45,11 @@ def assemble(staging: Mapping[str, DataFrame], drop_empty_keys: bool = False) ->
     by_title = nutrition.join(kaggle, "title_norm", "full").withColumnRenamed("title_norm", "dim_title")
     if drop_empty_keys:
         by_title = by_title.filter(F.col("dim_title") != "")
+    titles = tables["layer1"].select(F.col("title_norm").alias("dim_title")).distinct()
+    by_title = materialise(by_title.join(titles, "dim_title", "left_semi"), name="by-title")
+    # Rows are larger in a task than stored.
+    if UNPACKED * planned_bytes(by_title) <= BROADCAST_BYTES:
+        return left_join_on(recipes, F.broadcast(by_title), "title_norm", "dim_title")
     hot = frequent_values(tables["layer1"], "title_norm")
     return spread_left_join(recipes, by_title, "title_norm", "dim_title", hot, ["id"])
 

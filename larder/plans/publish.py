@@ -18,7 +18,11 @@ from larder.operators.profile import table_stats
 from larder.plans.assemble import assemble, read_staging
 from larder.plans.ingest import ingest
 from larder.session import concurrently, materialise, remove, scratch
-from larder.sources.tables import read_table, write_clustered, write_partitioned
+from larder.sources.tables import CODEC, planned_bytes, read_table, write_clustered, write_partitioned
+
+# Wide rows are larger in a task than stored, and bytes of an index row in a task, about.
+UNPACKED = 4
+INDEX_ROW = 128
 
 
 def enriched(df: DataFrame) -> DataFrame:
@@ -88,13 +92,15 @@ def store(wide: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
     """Write the three tables from rows that hold the main contract's columns and the macros."""
     catalog = Catalog(out_dir)
     main, index, details = recipes_main(wide), ingredients_index(wide), nutrition_detail(wide)
+    # The optimizer knows no number of items, of which each is a row of the index.
+    items = wide.agg(F.sum(F.greatest("n_ingredients_validated", F.lit(0)))).first()[0] or 0
     concurrently(
         wide.sparkSession,
         [
             lambda: write_partitioned(
-                main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file, lookup=["recipe_id"]
+                main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file, ["recipe_id"], UNPACKED * planned_bytes(main)
             ),
-            lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file),
+            lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file, n_bytes=INDEX_ROW * items),
             lambda: write_clustered(details, catalog.details, ["recipe_id"], rows_per_file),
         ],
     )
@@ -110,7 +116,7 @@ def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catal
     """
     spark = assembled.sparkSession
     copy = scratch(spark, "assembled")
-    catalog = store(materialise(enriched(assembled), copy), out_dir, rows_per_file)
+    catalog = store(materialise(enriched(assembled), copy, compression=CODEC), out_dir, rows_per_file)
     remove(spark, copy)
     return catalog
 

@@ -72,11 +72,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/larder/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None, name: str = "table", compression: str | None = None) -> DataFrame:
     """Write the frame as Parquet and read it back: the lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = path or scratch(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

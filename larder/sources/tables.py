@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 MODES = {"replace": "overwrite", "append": "append"}
-
+# Codec of stored tables: texts take a third less than by the default.
+CODEC = "zstd"
 
 TASK_BYTES = 128 * 1024 * 1024
 # Stored bytes of texts that a task takes apart into their words or grams.
@@ -47,11 +48,11 @@ def clustered(df: DataFrame, by: Sequence[str], n_bytes: int | None = None) -> D
 
 def write_staging(df: DataFrame, path: str, disposition: str = "replace") -> None:
     """``append`` adds files and may repeat known keys; readers deduplicate by key."""
-    df.write.mode(MODES[disposition]).parquet(path)
+    df.write.mode(MODES[disposition]).parquet(path, compression=CODEC)
 
 
 def _file_options(rows_per_file: int, lookup: Sequence[str]) -> dict[str, str]:
-    options = {"maxRecordsPerFile": str(rows_per_file)} if rows_per_file else {}
+    options = {"compression": CODEC} | ({"maxRecordsPerFile": str(rows_per_file)} if rows_per_file else {})
     if lookup:
         options["parquet.bloom.filter.adaptive.enabled"] = "true"
         options |= {f"parquet.bloom.filter.enabled#{column}": "true" for column in lookup}
@@ -66,14 +67,14 @@ def write_clustered(
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = ()
+    df: DataFrame, path: str, partition: str, by: Sequence[str], rows_per_file: int = 0, lookup: Sequence[str] = (), n_bytes: int | None = None
 ) -> None:
     """One folder per partition value, each clustered on ``by``.
 
     Ranges run over (partition, by), so a folder with most of the rows is written by many tasks and a
     task writes to few folders. Null is a folder of its own and reads back as null.
     """
-    writer = clustered(df, [partition, *by]).write.mode("overwrite")
+    writer = clustered(df, [partition, *by], n_bytes).write.mode("overwrite")
     writer.options(**_file_options(rows_per_file, lookup)).partitionBy(partition).parquet(path)
 
 

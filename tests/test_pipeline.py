@@ -147,6 +147,15 @@ def test_assembly_of_json_text_staging(spark):
     assert published["w01"].nutri_score == "D" and published["w03"].has_image is False
 
 
+def test_few_titles_leave_the_wide_rows_where_they_are(spark, monkeypatch):
+    wide = assemble(staging(spark))
+    assert "hashpartitioning(title_norm" not in wide._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("larder.plans.assemble.BROADCAST_BYTES", -1)
+    spread = assemble(staging(spark))
+    assert "hashpartitioning(title_norm" in spread._jdf.queryExecution().executedPlan().toString()
+    assert spread.columns == wide.columns and rows(spread) == rows(wide)
+
+
 def test_append_twice_gives_the_same_catalog(spark, tmp_path, tables):
     raw = write_raw(tmp_path / "raw")
     for _ in range(2):
