@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -43,6 +45,7 @@ def with_arrow(df: DataFrame, name: str, text: str, returns: str, rows: Callable
         for part in parts:
             for some in slices(part):
                 yield rows(texts_of(some))
+        give_back()
 
     # The signature is given, as annotations of local functions are strings here.
     batches.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -95,6 +98,17 @@ def remembered(cache: dict, keys: set, learn: Callable[[list], Iterable], most:
     return cache
 
 
+# Only the C library of Linux has it; elsewhere memory goes back as the library sees fit.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
+def give_back() -> None:
+    """Return the memory that a worker process has freed to the machine; the allocators would keep it for the process."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 _owner: list = ["", lambda: None]
 
 
@@ -107,4 +121,4 @@ def takes_worker(name: str, forget: Callable[[], object]) -> None:
         _owner[1]()
         _owner[:] = [name, forget]
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import decoded, fresh, quoted, slices, texts_of, with_arrow
+from larder.llm.common import decoded, fresh, give_back, quoted, slices, takes_worker, texts_of, with_arrow
 
 SEED_WORDS = 3
 SIMILARITY = 0.8
@@ -211,12 +211,14 @@ def _rare_seeds(docs: DataFrame, block: Block, text: str) -> None:
     """Count the documents that hold each seed, over the whole corpus, and mark each item's rarest seeds."""
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        takes_worker("decontaminate", lambda: None)
         counts = np.zeros(len(block.codes), np.int64)
         for part in parts:
             for some in slices(part):
                 for t in texts_of(some.column(0)):
                     counts[np.unique(block.hits(block.numbers(t))[1])] += 1
         seeds = np.flatnonzero(counts)
+        give_back()
         yield pa.RecordBatch.from_pydict({"seed": pa.array(seeds, pa.int64()), "n": pa.array(counts[seeds], pa.int64())})
 
     rows = docs.select(F.col(quoted(text)).cast("string")).mapInArrow(task, "seed long, n long")
@@ -228,6 +230,7 @@ def _rare_seeds(docs: DataFrame, block: Block, text: str) -> None:
 
 def _found(texts: list[bytes], block: Block) -> pa.Array:
     """For each text the items that it holds a copy of, the best passage of each."""
+    takes_worker("decontaminate", lambda: None)
     out: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
     asked = []
     for row, t in enumerate(texts):

@@ -15,9 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from larder.llm.common import WORD_PATTERN, fresh, quoted
-from larder.session import materialise
+from larder.session import local_rows, materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
 PASSES = 3
@@ -124,9 +125,9 @@ class Mix:
     def copies(self, spark: SparkSession, rows: DataFrame, pattern: str, size: str, draw: str, uses: str) -> DataFrame:
         """``rows`` with ``uses``: for each copy that the mix takes, the source that it counts for."""
         schema = f"`{pattern}` string, cuts array<struct<source: string, pass: int, cut: long>>, closing array<long>"
-        data = [(p["pattern"], [(c["source"], c["pass"], c["cut"]) for c in p["cuts"]], p["closing"]) for p in self.patterns]
+        data = [(p["pattern"], [{k: c[k] for k in ("source", "pass", "cut")} for c in p["cuts"]], p["closing"]) for p in self.patterns]
         # At most MOST_PATTERNS rows, so it may go to every executor.
-        plan = F.broadcast(spark.createDataFrame(data, schema))
+        plan = F.broadcast(local_rows(spark, data, StructType.fromDDL(schema)))
 
         def inside(r: Column, cut: Column) -> Column:
             return (r < cut["pass"]) | ((r == cut["pass"]) & F.coalesce(F.col(draw) <= cut["cut"], F.lit(False)))
@@ -194,7 +195,7 @@ def _find_cuts(rows: DataFrame, ends: list[tuple[str, int, int]], plans: list[di
     sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     order = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
-    points = F.broadcast(spark.createDataFrame(ends, "pattern string, i int, aim long"))
+    points = F.broadcast(local_rows(spark, ends, StructType.fromDDL("pattern string, i int, aim long")))
     hit = sums.join(points, "pattern").where("before <= aim AND aim < before + words").select("pattern", "bucket", "before", "i", "aim")
     inner = Window.partitionBy("pattern", "bucket", "i").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
     run = rows.join(hit, ["pattern", "bucket"]).withColumn("upto", F.col("before") + F.sum("size").over(inner))
@@ -220,7 +221,7 @@ def _close(rows: DataFrame, plans: list[dict], fitting: bool) -> None:
     gaps = [(p["pattern"], p["cuts"][-1]["gap"], p["cuts"][-1]["cut"], p["closing"]) for p in plans if p["cuts"] and p["cuts"][-1]["gap"] > 0]
     if not gaps:
         return
-    open_ends = F.broadcast(rows.sparkSession.createDataFrame(gaps, "pattern string, gap long, cut long, closing array<long>"))
+    open_ends = F.broadcast(local_rows(rows.sparkSession, gaps, StructType.fromDDL("pattern string, gap long, cut long, closing array<long>")))
     rest = rows.join(open_ends, "pattern").where("size > 0 AND (cut IS NULL OR draw > cut) AND NOT array_contains(closing, draw)")
     rest = rest.withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("size <= gap" if fitting else "off < gap")
     best = {r["pattern"]: r["best"] for r in rest.groupBy("pattern").agg(F.min(F.struct("off", "draw", "size")).alias("best")).collect()}
@@ -267,6 +268,6 @@ def report(docs: DataFrame, source: str = "source", text: str = "text", key: str
     slim = docs.select(F.col(quoted(key)).alias("doc_id"), F.col(quoted(source)).alias("source"), F.col(quoted(text)).alias("text"))
     out, mix = with_uses(slim, F.array("source"))
     rows = [(s, size, target) for s, (size, target) in mix.sources.items()]
-    table = F.broadcast(spark.createDataFrame(rows, "name string, source_size long, target double"))
+    table = F.broadcast(local_rows(spark, rows, StructType.fromDDL("name string, source_size long, target double")))
     out = out.withColumn("size", word_count("text")).withColumn("taken", F.col("size") * F.size("uses"))
     return out.join(table, F.col("source").eqNullSafe(F.col("name"))).select("doc_id", "size", "source_size", "target", "taken")

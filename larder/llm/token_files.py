@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larder.llm.common import decoded, groups, quoted, remembered, slices, takes_worker, texts_of
+from larder.llm.common import decoded, give_back, groups, quoted, remembered, slices, takes_worker, texts_of
 from larder.llm.token_counts import Splitter, byte_letters, chunks
 from larder.session import materialise, scratch
 from larder.sources.tables import planned_bytes, sink_width
@@ -45,6 +45,8 @@ SIMPLE = "\u0250"
 CHUNK_END = b"\xff" * 4
 # Chunks and pre-tokens that a worker process remembers before it starts anew.
 MOST_KNOWN = 400_000
+# Bytes of texts that are split into chunks, all of them Python objects, at a time.
+SPLIT_BYTES = 1_000_000
 MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -220,7 +222,7 @@ def write(
         store = name = out = stream = None
         for rows in (some for part in parts for some in slices(part)):
             ids = iter(rows.column(0).to_pylist())
-            for some in groups(texts_of(rows.column(1))):
+            for some in groups(texts_of(rows.column(1)), SPLIT_BYTES):
                 if out is None:
                     store, root = fs.FileSystem.from_uri(path)
                     store.create_dir(root, recursive=True)
@@ -234,6 +236,7 @@ def write(
             out.close()
             stream.close()
             n = sum(d[2] for d in out.docs)
+            give_back()
             yield pa.RecordBatch.from_pydict(
                 {"part": [number], "file": [name], "n_docs": [len(out.docs)], "n_tokens": [n], "n_bytes": [out.written]},
                 schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]),

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from larder.llm import mixing
 from pyspark.sql import functions as F
@@ -99,3 +100,16 @@ def test_mixed_rows_keep_their_columns(docs, no_docs):
     assert max(Counter(r["doc_id"] for r in found.collect() if r["doc_id"] != 140).values()) <= 6
     assert mixing.mixed(no_docs, F.array("source")).count() == 0
     assert mixing.report(no_docs).count() == 0
+
+
+def test_plans_go_to_the_jvm_without_python_workers(spark, docs, monkeypatch):
+    made, create = [], type(spark).createDataFrame
+
+    def seen(self, data, *a, **b):
+        made.append(type(data))
+        return create(self, data, *a, **b)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", seen)
+    found = mixing.report(docs.repartition(2))
+    assert len(made) >= 3 and set(made) == {pa.Table}
+    assert found._jdf.queryExecution().executedPlan().toString().count("LocalTableScan") == 2

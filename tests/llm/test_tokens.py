@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
-from larder.llm import token_counts, token_files
+from larder.llm import common, token_counts, token_files
 from larder.llm.common import with_arrow
 from larder.llm.registry import TOKENIZER
 from tokenizers import Tokenizer
@@ -78,6 +78,21 @@ def test_readers_give_up_the_encoder_of_their_worker(spark, docs):
     assert {r["n"] for r in workers if r["owner"] == "token_readers"} == {0}
 
 
+def test_a_worker_that_changes_hands_returns_what_it_freed():
+    def held():
+        return sum(int(line.split()[1]) for line in Path("/proc/self/smaps_rollup").read_text().splitlines() if line.startswith("Private_Dirty"))
+
+    common.takes_worker("one", lambda: None)
+    rows = [b"x" * 700 + bytes([i % 256]) for i in range(150_000)]
+    # What stays lies between the freed rows, so that the C library keeps their pages by itself.
+    some = rows[::50]
+    del rows
+    before = held()
+    common.takes_worker("other", lambda: None)
+    assert before - held() > 50_000
+    assert len(some) == 3000
+
+
 def test_only_wanted_frames_are_read_and_damage_is_seen(tmp_path):
     place = tmp_path / "one.zst"
     with place.open("wb") as out:
