@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.operators.joins import BROADCAST_BYTES
+from larder.session import materialise
+from larder.sources.tables import planned_bytes
+
 
 def keep_one(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = (), prefer: str = "min"
@@ -30,6 +34,35 @@ def keep_one(
     return picked.select(*(F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns))
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """Equal for equal rows only: JSON shows where nulls are, the hash also sees bytes that are no text."""
+    return F.sha2(F.concat_ws("|", F.to_json(F.struct(*columns)), F.xxhash64(*columns)), 256)
+
+
+def keep_one_stored(df: DataFrame, key: str) -> DataFrame:
+    """``keep_one(df, [key])`` of a stored table of wide rows, which are compared only where rows of a key differ.
+
+    Passes over narrow columns come first, as jobs of their own: keys alone show whether any is repeated, then digests
+    whether repeats differ. Rows of unique keys stay where they are. Any row stands for equal ones, so columns that the
+    caller does not read are not moved, unlike those of a row that is compared as a whole.
+    """
+    if df.groupBy(key).count().filter("count > 1").isEmpty():
+        return df
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.distinct()
+    digests = df.select(key, _digest(rest).alias("_digest")).groupBy(F.col(key).alias("_key"))
+    bounds = digests.agg(F.min("_digest").alias("_low"), F.max("_digest").alias("_high"))
+    differing = materialise(bounds.filter("_low <> _high").select("_key"), name="differing")
+    any_row = lambda rows: rows.groupBy(key).agg(*(F.first(c).alias(c) for c in rest)).select(*df.columns)
+    if differing.isEmpty():
+        return any_row(df)
+    if planned_bytes(differing) > BROADCAST_BYTES:
+        return keep_one(df, [key])
+    differs, differing = df[key].eqNullSafe(differing["_key"]), F.broadcast(differing)
+    return any_row(df.join(differing, differs, "left_anti")).union(keep_one(df.join(differing, differs, "left_semi"), [key]))
+
+
 def first_seen(df: DataFrame, key: str, order_by: str | Column) -> DataFrame:
     """The first row of every non-empty key, in the order of a column (file order does not survive splits)."""
     return keep_one(df.filter(F.col(key) != ""), [key], [order_by])

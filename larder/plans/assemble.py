@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from larder.functions.text import json_strings
-from larder.operators.dedupe import keep_one
+from larder.operators.dedupe import keep_one, keep_one_stored
 from larder.operators.joins import BROADCAST_BYTES, frequent_values, left_join, left_join_on, spread_left_join
 from larder.session import materialise
 from larder.sources.tables import planned_bytes, read_table
@@ -30,15 +30,15 @@ def assemble(staging: Mapping[str, DataFrame], drop_empty_keys: bool = False) ->
     """Left-join the four dimensions to ``layer1``; every recipe stays, once.
 
     Each table is first reduced to one row per key, so no join multiplies rows and appended
-    repeats are harmless. The three tables on ``id`` are partitioned by that reduction and join
-    without another shuffle. The two tables on the title key are merged into one before the recipes
+    repeats are harmless. The three tables on ``id`` move once, for that reduction or, where no id is repeated, for the
+    join. The two tables on the title key are merged into one before the recipes
     move: one shuffle of the wide rows, spread for titles that many recipes share ("" above all).
     ``drop_empty_keys`` keeps untitled recipes from matching an untitled nutrition row.
     """
     tables = {name: decoded(df) for name, df in staging.items()}
-    recipes = keep_one(tables["layer1"], ["id"])
+    recipes = keep_one_stored(tables["layer1"], "id")
     for name in ("layer2", "det_ingrs"):
-        recipes = left_join(recipes, keep_one(tables[name], ["id"]), "id")
+        recipes = left_join(recipes, keep_one_stored(tables[name], "id"), "id")
 
     nutrition = keep_one(tables["nutrition"].drop("title").withColumnRenamed("energy_kcal", "mit_energy_kcal"), ["title_norm"])
     kaggle = keep_one(tables["kaggle"].drop("n_steps"), ["title_norm"], [F.col("kaggle_id").try_cast("bigint")])

@@ -9,7 +9,7 @@ from fixtures import DET, LAYER1, LAYER2, NUTRITION, staging, write_raw
 from pyspark.sql import functions as F
 
 from larder import schemas
-from larder.operators.dedupe import distinct_keys, first_seen, keep_one
+from larder.operators.dedupe import distinct_keys, first_seen, keep_one, keep_one_stored
 from larder.operators.filters import holds_text
 from larder.operators.items import owners_of_all, owners_of_any
 from larder.operators.joins import frequent_values, left_join_on, reassembled, spread_left_join
@@ -238,6 +238,29 @@ def test_keep_one_is_total_and_null_safe(spark):
     assert rows(first_seen(twice.withColumn("n", F.lit(1)), "k", "n")) == [("a", 1)]
 
 
+@pytest.mark.parametrize("most_bytes", [64 << 20, -1])
+def test_stored_rows_are_kept_as_by_keep_one(spark, monkeypatch, most_bytes):
+    monkeypatch.setattr("larder.operators.dedupe.BROADCAST_BYTES", most_bytes)
+    unique = [("u", 1, "x", ["a", None]), ("v", None, None, None)]
+    equal = [("e", 2, "y", []), ("e", 2, "y", []), ("f", None, None, [None]), ("f", None, None, [None])]
+    # Where nulls are tells these rows apart, and where an element ends.
+    differing = [(None, 1, None, ["a"]), (None, None, "a", ["a"]), ("k", 3, "z", ["ab", "c"]), ("k", 3, "z", ["a", "bc"]), ("n", 1, "s", None), ("n", 1, "s", []), ("n", 1, "s", [None])]
+    for data in (unique, unique + equal, unique + equal + differing, differing, []):
+        df = spark.createDataFrame(data, "k string, n int, s string, a array<string>").repartition(3)
+        kept = keep_one_stored(df, "k")
+        assert kept.columns == df.columns and sorted(map(repr, rows(kept))) == sorted(map(repr, rows(keep_one(df, ["k"]))))
+    assert rows(keep_one_stored(spark.createDataFrame([("",), ("a",), ("a",), (None,)], "k string"), "k")) == [(None,), ("",), ("a",)]
+
+
+def test_counts_after_an_append_read_no_texts(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw")
+    for _ in range(2):
+        ingest.ingest(spark, raw, str(tmp_path / "staging"), "append")
+    counts = assemble(read_staging(spark, str(tmp_path / "staging"))).agg(F.count("*"), F.count("image_url"), F.count("mit_energy_kcal"))
+    assert "instructions_text" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert rows(counts) == [(3, 2, 2)]
+
+
 def test_spread_join_equals_plain_join_under_skew(spark):
     base = spark.range(3000).select(
         F.col("id").cast("string").alias("id"),
