@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from larder import schemas
 from larder.constants import MACROS
@@ -14,8 +15,9 @@ from larder.functions.bands import flag, score_band, time_band
 from larder.functions.numbers import narrow_int
 from larder.operators.filters import any_present
 from larder.operators.items import inverted_index
+from larder.operators.packing import packed, unpacked
 from larder.operators.profile import table_stats
-from larder.plans.assemble import assemble, read_staging
+from larder.plans.assemble import prepared, read_staging
 from larder.plans.ingest import ingest
 from larder.session import concurrently, materialise, remove, scratch
 from larder.sources.tables import CODEC, planned_bytes, read_table, write_clustered, write_partitioned
@@ -23,24 +25,43 @@ from larder.sources.tables import CODEC, planned_bytes, read_table, write_cluste
 # Wide rows are larger in a task than stored, and bytes of an index row in a task, about.
 UNPACKED = 4
 INDEX_ROW = 128
+# Columns of texts that move packed, by the names of the packed ones.
+WIDE = {"packed_texts": ("instructions_text", "ingredients_raw"), "packed_items": ("ingredients_validated",)}
 
 
 def enriched(df: DataFrame) -> DataFrame:
     """Derived columns and published names; the columns of the main contract plus the macros."""
     # Numbers are narrowed before they are classed, so a class always describes the published value.
     narrowed = df.withColumns({"n_steps": narrow_int("n_steps"), "cook_minutes": narrow_int("cook_minutes")})
+    is_packed = "ingredients_validated" not in df.columns
     derived = narrowed.withColumns(
         {
             "recipe_id": F.col("id"),
             "source_url": F.col("url"),
-            "n_ingredients_validated": length("ingredients_validated"),
+            "n_ingredients_validated": F.coalesce("n_ingredients_validated", F.lit(0)) if is_packed else length("ingredients_validated"),
             "cook_time_category": time_band("cook_minutes"),
             "has_image": flag("has_image"),
             "nutri_score": score_band("mit_energy_kcal"),
             "tags": or_empty("tags"),
         }
     )
-    return derived.select(*schemas.RECIPES_MAIN.names, *MACROS)
+    held = [c for c in schemas.RECIPES_MAIN.names if c in derived.columns]
+    return derived.select(*held, *(c for c in WIDE if c in derived.columns), *MACROS)
+
+
+def packed_wide(df: DataFrame) -> DataFrame:
+    """The frame with the wide columns that it holds packed; their number of items is counted before."""
+    for into, columns in WIDE.items():
+        if columns[0] in df.columns:
+            df = packed(df, columns, into)
+    return df
+
+
+def unpacked_main(rows: DataFrame) -> DataFrame:
+    """The main table's columns from rows of packed ones."""
+    for column, columns in WIDE.items():
+        rows = unpacked(rows, column, StructType([schemas.RECIPES_MAIN[c] for c in columns]))
+    return recipes_main(rows)
 
 
 def recipes_main(wide: DataFrame) -> DataFrame:
@@ -107,22 +128,56 @@ def store(wide: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
     return catalog
 
 
+def store_packed(rows: DataFrame, details: DataFrame, n_bytes: int, out_dir: str, rows_per_file: int = 0) -> Catalog:
+    """Write the three tables from main rows with packed wide columns, and the rows of the nutrition table.
+
+    Wide columns stay packed until the main table's rows are in their places. The index comes from the main table as
+    written, so it describes exactly its rows. ``n_bytes``: the stored size of the rows.
+    """
+    catalog, spark = Catalog(out_dir), rows.sparkSession
+    main = rows.drop(*MACROS)
+    write_partitioned(
+        main, catalog.main, "nutri_score", ["title", "recipe_id"], rows_per_file, ["recipe_id"], UNPACKED * n_bytes, unpacked_main
+    )
+    written = catalog.read_main(spark)
+    items = written.agg(F.sum(F.greatest("n_ingredients_validated", F.lit(0)))).first()[0] or 0
+    index = ingredients_index(written)
+    concurrently(
+        spark,
+        [
+            lambda: write_clustered(index, catalog.index, ["ingredient", "recipe_id"], rows_per_file, n_bytes=INDEX_ROW * items),
+            lambda: write_clustered(details, catalog.details, ["recipe_id"], rows_per_file),
+        ],
+    )
+    return catalog
+
+
 def publish(assembled: DataFrame, out_dir: str, rows_per_file: int = 0) -> Catalog:
-    """Write the three tables.
+    """Write the three tables from joined rows, whatever they come from.
 
-    The joined rows are written once to the shared scratch folder and all three tables come from that
-    copy: the joins run once although range partitioning reads its input twice, and the index describes
-    exactly the rows of the main table. The copy is removed when all three are written.
+    The rows are written once to the shared scratch folder, wide columns packed: the joins run once although range
+    partitioning reads its input twice. The copy is removed when all three are written.
     """
     spark = assembled.sparkSession
     copy = scratch(spark, "assembled")
-    catalog = store(materialise(enriched(assembled), copy, compression=CODEC), out_dir, rows_per_file)
+    rows = materialise(packed_wide(enriched(assembled)), copy, compression=CODEC)
+    catalog = store_packed(rows, nutrition_detail(rows), planned_bytes(rows), out_dir, rows_per_file)
     remove(spark, copy)
     return catalog
 
 
 def transform(spark: SparkSession, staging_dir: str, out_dir: str) -> Catalog:
-    return publish(assemble(read_staging(spark, staging_dir)), out_dir)
+    """Staging tables to published tables, without a copy of the joined rows.
+
+    Wide columns are packed before the join; the shuffles on ``id`` are read twice, once for the ranges of the main table.
+    The nutrition table's rows are joined by themselves, from their few columns of the stored tables.
+    """
+    staging = read_staging(spark, staging_dir)
+    parts = prepared(staging)
+    counted = parts.det_ingrs.withColumn("n_ingredients_validated", length("ingredients_validated"))
+    moved = replace(parts, layer1=packed_wide(parts.layer1), det_ingrs=packed_wide(counted))
+    n_bytes = sum(planned_bytes(staging[name]) for name in ("layer1", "layer2", "det_ingrs"))
+    return store_packed(enriched(moved.joined()), nutrition_detail(enriched(parts.joined())), n_bytes, out_dir)
 
 
 def run(
